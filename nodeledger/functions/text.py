@@ -1,4 +1,8 @@
-"""Number and label formatting as column expressions."""
+"""Number and label formatting as column expressions.
+
+Numbers are first rounded to a millionth, so that a text does not depend on the order in which a
+sum or mean was added up.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +10,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+NOISE_DECIMALS = 6
+
+
 def format_quantity(value: Column) -> Column:
     """Commas and two decimals from 1 up, four decimals below, ``N/A`` for missing."""
-    number = value.cast("double")
+    number = F.round(value.cast("double"), NOISE_DECIMALS)
     return (
         F.when(number.isNull() | F.isnan(number), F.lit("N/A"))
         .when(F.abs(number) >= 1, F.format_number(number, 2))
@@ -18,7 +25,7 @@ def format_quantity(value: Column) -> Column:
 
 def format_duration(seconds: Column) -> Column:
     """``Xh Ym Zs`` with the fraction of a second dropped, ``N/A`` for missing."""
-    number = seconds.cast("double")
+    number = F.round(seconds.cast("double"), NOISE_DECIMALS)
     whole = F.floor(number)
     parts = F.format_string(
         "%dh %dm %ds", F.floor(whole / 3600), F.floor((whole % 3600) / 60), whole % 60
@@ -28,8 +35,12 @@ def format_duration(seconds: Column) -> Column:
 
 def format_percent(ratio: Column) -> Column:
     """A ratio as a percentage with two decimals; ``nan%`` for missing."""
-    shown = F.format_string("%.2f%%", ratio * 100)
-    return F.when(ratio.isNull(), F.lit("nan%")).otherwise(shown)
+    return F.when(ratio.isNull(), F.lit("nan%")).otherwise(format_hundredths(ratio * 100, "%%"))
+
+
+def format_hundredths(number: Column, rest: str = "") -> Column:
+    """Two decimals, followed by ``rest`` of a format string."""
+    return F.format_string("%.2f" + rest, F.round(number, NOISE_DECIMALS))
 
 
 def format_count(n: Column) -> Column:

@@ -138,10 +138,9 @@ def size_walltime_matrix(
 
     ``max_cell`` repeats the largest cell of the map; a map without any job is left out.
     """
+    filled = F.nullif(F.col("n_jobs"), F.lit(0)).cast("double")
     columns = [
-        F.max(F.when(F.col("walltime_bin") == i, F.nullif(F.col("n_jobs"), F.lit(0)))).alias(
-            b.duration_label
-        )
+        F.max(F.when(F.col("walltime_bin") == i, filled)).alias(b.duration_label)
         for i, b in enumerate(walltime_bins)
     ]
     rows = grid.groupBy(*groups, "size_bin", "size_label").agg(*columns)

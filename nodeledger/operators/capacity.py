@@ -81,13 +81,13 @@ def over_capacity_jobs(
     parts of its day, among which the day's jobs are spread.
     """
     edges = F.array(
-        F.struct(F.col("start_timestamp").alias("at"), "interval_no", F.lit("start").alias("edge")),
-        F.struct(F.col("end_timestamp").alias("at"), "interval_no", F.lit("end").alias("edge")),
+        F.struct(F.col("start_timestamp").alias("instant"), "interval_no", F.lit("start").alias("edge")),
+        F.struct(F.col("end_timestamp").alias("instant"), "interval_no", F.lit("end").alias("edge")),
     )
     keys = slice_keys(slices)
-    moments = intervals.select(*keys, F.inline(edges)).withColumn("_day", F.to_date("at"))
+    moments = intervals.select(*keys, F.inline(edges)).withColumn("_day", F.to_date("instant"))
     by_day = moments.groupBy(*keys, "_day").agg(
-        F.array_sort(F.collect_list(F.struct("at", "interval_no", "edge"))).alias("_moments")
+        F.array_sort(F.collect_list(F.struct("instant", "interval_no", "edge"))).alias("_moments")
     )
     by_day, small = broadcast_if_small(settle(by_day), BROADCAST_DAYS)
 
@@ -102,7 +102,7 @@ def over_capacity_jobs(
         on = [*on, "_part"]
 
     def hit(moment):
-        return (moment["at"] >= F.col("start_timestamp")) & (moment["at"] < F.col("end_timestamp"))
+        return (moment["instant"] >= F.col("start_timestamp")) & (moment["instant"] < F.col("end_timestamp"))
 
     matched = jobs.join(by_day, on).select(*keys, *_JOB, F.inline(F.filter("_moments", hit)))
-    return matched.select(*keys, "interval_no", "edge", "at", *_JOB)
+    return matched.select(*keys, "interval_no", "edge", "instant", *_JOB)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nodeledger.functions.text import (
     format_count,
     format_duration,
+    format_hundredths,
     format_percent,
     format_quantity,
 )
@@ -94,7 +95,8 @@ def queue_summary_lines(
         _line(
             "  Total Core-Hrs: ",
             format_quantity(F.col("core_hours")),
-            F.format_string(" (%.2f%% of total)", F.col("share_percent")),
+            " (",
+            format_hundredths(F.col("share_percent"), "%% of total)"),
         ),
         F.when(rated, F.lit("  Walltime Efficiency (runtime/walltime):")),
         F.when(
@@ -131,16 +133,17 @@ def queue_summary_lines(
 
 def utilization_lines(stats: DataFrame, *, groups: Sequence[str] = ()) -> DataFrame:
     """The utilization statistics as text."""
-    def level(label: str, name: str, pattern: str) -> Column:
-        nodes, percent = F.col(f"{name}_nodes"), F.col(f"{name}_percent")
-        return _line(label, F.format_string(pattern, nodes), F.format_string(" nodes (%.2f %%)", percent))
+    def level(label: str, name: str, whole: bool) -> Column:
+        nodes = F.col(f"{name}_nodes")
+        shown = nodes.cast("string") if whole else format_hundredths(nodes)
+        return _line(label, shown, " nodes (", format_hundredths(F.col(f"{name}_percent"), " %%)"))
 
     lines = [
         _line("Max nodes available: ", F.col("capacity").cast("string")),
-        level("Max utilization: ", "max", "%d"),
-        level("Min utilization: ", "min", "%d"),
-        level("Mean utilization (time-weighted): ", "mean", "%.2f"),
-        level("Std  utilization (time-weighted): ", "std", "%.2f"),
+        level("Max utilization: ", "max", True),
+        level("Min utilization: ", "min", True),
+        level("Mean utilization (time-weighted): ", "mean", False),
+        level("Std  utilization (time-weighted): ", "std", False),
     ]
     return _numbered(stats, lines, [F.col(g) for g in groups])
 
@@ -155,7 +158,7 @@ def over_capacity_lines(intervals: DataFrame, jobs: DataFrame) -> DataFrame:
         _line("Over-capacity interval ", F.col("interval_no").cast("string")),
         _line("Start: ", F.col("start_timestamp").cast("string")),
         _line("End  : ", F.col("end_timestamp").cast("string")),
-        F.format_string("Duration: %.2f min", F.col("duration_seconds") / 60),
+        _line("Duration: ", format_hundredths(F.col("duration_seconds") / 60, " min")),
         _line("Max nodes used: ", F.col("max_nodes_used").cast("string")),
         F.lit(""),
     ]

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nodeledger.operators import (
@@ -38,12 +38,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Round doubles so that results do not depend on the order of additions."""
-    rounded = [
-        (F.round(F.col(f"`{n}`"), DECIMALS) + F.lit(0.0)).alias(n) if t == "double" else F.col(f"`{n}`")
-        for n, t in df.dtypes
-    ]
-    return df.select(*rounded)
+    """Round doubles so that results do not depend on the order of additions.
+
+    The limit between rounding down and up lies just below one half, so that the exact halves of
+    whole-number ratios are rounded up whatever their last bit.
+    """
+    scale = 10.0**DECIMALS
+
+    def rounded(name: str) -> Column:
+        return F.floor(F.col(f"`{name}`") * scale + 0.500001) / scale
+
+    return df.select(
+        *[rounded(n).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes]
+    )
 
 
 def _on(log: Query, operator: Callable[..., DataFrame], *args, **options) -> Query:

@@ -98,7 +98,8 @@ TIMES = _bins("times", MACHINE.walltime_bins)
 
 
 def r(expression: str) -> str:
-    return f"(round({expression}, 4) + 0.0)"
+    """Rounded to four decimals, an exact half always up."""
+    return f"(floor(CAST({expression} AS DOUBLE) * 10000 + 0.500001) / 10000)"
 
 
 def big(expression: str) -> str:
@@ -207,17 +208,17 @@ def _efficiency(source: str, rounded: bool = True) -> str:
 
 
 def _fmt(e: str) -> str:
-    return f"""CASE WHEN {e} IS NULL THEN 'N/A' WHEN abs({e}) >= 1 THEN format('{{:,.2f}}', CAST({e} AS DOUBLE))
-        ELSE format('{{:.4f}}', CAST({e} AS DOUBLE)) END"""
+    return f"""CASE WHEN {e} IS NULL THEN 'N/A' WHEN abs({e}) >= 1 THEN format('{{:,.2f}}', round(CAST({e} AS DOUBLE), 6))
+        ELSE format('{{:.4f}}', round(CAST({e} AS DOUBLE), 6)) END"""
 
 
 def _hms(e: str) -> str:
-    whole = f"CAST(floor({e}) AS BIGINT)"
+    whole = f"CAST(floor(round({e}, 6)) AS BIGINT)"
     return f"concat({whole} // 3600, 'h ', {whole} % 3600 // 60, 'm ', {whole} % 60, 's')"
 
 
 def _percent(e: str) -> str:
-    return f"CASE WHEN {e} IS NULL THEN 'nan%' ELSE format('{{:.2f}}%', 100 * {e}) END"
+    return f"CASE WHEN {e} IS NULL THEN 'nan%' ELSE format('{{:.2f}}%', round(100 * {e}, 6)) END"
 
 
 def _count(e: str) -> str:
@@ -250,7 +251,7 @@ def _lines() -> str:
     blocks = [
         "SELECT queue_name, [repeat('-', 72), concat('Queue: ', queue_name), repeat('-', 72), "
         f"concat('  Jobs:           ', {_count('n_jobs')}), "
-        f"concat('  Total Core-Hrs: ', {_fmt('hours')}, format(' ({{:.2f}}% of total)', 100 * hours / total))]"
+        f"concat('  Total Core-Hrs: ', {_fmt('hours')}, format(' ({{:.2f}}% of total)', round(100 * hours / total, 6)))]"
         " AS part, 0 AS part_no FROM per_queue",
         "SELECT queue_name, ['  Walltime Efficiency (runtime/walltime):', concat('    Mean: ', "
         f"{_percent('mean_efficiency')}, '  Median: ', {_percent('median_efficiency')}, '  Std: ', "
@@ -336,7 +337,7 @@ def _scatter(source: str, lead: str = "", extra: str = "") -> str:
 def _binned() -> dict[str, str]:
     from_bins = f"{SIZES}, {TIMES}"
     matrix = ", ".join(
-        f"max(CASE WHEN walltime_bin = {i} THEN nullif(n_jobs, 0) END) AS \"{b.duration_label}\""
+        f"max(CASE WHEN walltime_bin = {i} THEN CAST(nullif(n_jobs, 0) AS DOUBLE) END) AS \"{b.duration_label}\""
         for i, b in enumerate(MACHINE.walltime_bins)
     )
     return {
@@ -421,11 +422,11 @@ def _temporal() -> dict[str, str]:
     }
 
 
-def _dense_hours(source: str, bucket: str, groups: str = "") -> str:
-    """CTEs that end in ``dense``; ``groups`` are select items for the slicing columns."""
-    names = [g.split(" AS ")[-1].strip() for g in groups.split(",")] if groups else []
+def _dense_hours(source: str, bucket: str, **groups: str) -> str:
+    """CTEs that end in ``dense``; ``groups`` are the slicing columns with their expressions."""
+    names = list(groups)
     lead = "".join(f"{n}, " for n in names)
-    given = f"{groups}, " if groups else ""
+    given = "".join(f"{e} AS {n}, " for n, e in groups.items())
     using = lambda *cols: f"USING ({', '.join([*names, *cols])})"
     queues = f"JOIN q USING ({', '.join(names)})" if names else "CROSS JOIN q"
     return f"""
@@ -459,7 +460,7 @@ def _auto(log: str) -> str:
       sized AS (SELECT *, CASE WHEN floor(days) < 30 THEN 'daily' WHEN floor(days) < 365 THEN 'weekly'
                 ELSE 'monthly' END AS granularity FROM jobs, span),
       {_dense_hours('sized', f"CASE granularity WHEN 'daily' THEN {_DAY} WHEN 'weekly' THEN {_WEEK} ELSE {_MONTH} END",
-                    'granularity')}
+                    granularity='granularity')}
       SELECT granularity, bucket, queue_name, {_HOURS} FROM dense"""
 
 
@@ -474,7 +475,7 @@ def _scope(log: str) -> str:
           CASE WHEN ys > 1 THEN 'all' WHEN ms > 1 THEN strftime(start_timestamp, '%Y')
                ELSE strftime(start_timestamp, '%Y-%m') END AS slice FROM jobs, span),
       {_dense_hours('sized', f"CASE granularity WHEN 'daily' THEN {_DAY} WHEN 'weekly' THEN {_WEEK} ELSE {_MONTH} END",
-                    'scope, granularity, slice')}
+                    scope='scope', granularity='granularity', slice='slice')}
       SELECT scope, granularity, slice, bucket, queue_name, {_HOURS} FROM dense"""
 
 
@@ -488,8 +489,8 @@ def _core_hours() -> dict[str, str]:
         return f"WITH {JOBS},{_dense_hours('jobs', bucket)} SELECT bucket, queue_name, {_HOURS} FROM dense"
 
     def by_slice(bucket: str, pattern: str) -> str:
-        slices = f"strftime(start_timestamp, '{pattern}') AS slice"
-        return f"""WITH {JOBS},{_dense_hours('jobs', bucket, slices)}
+        label = f"strftime(start_timestamp, '{pattern}')"
+        return f"""WITH {JOBS},{_dense_hours('jobs', bucket, slice=label)}
             SELECT slice, bucket, queue_name, {_HOURS} FROM dense"""
 
     running = "sum(core_hours) OVER (PARTITION BY queue_label ORDER BY bucket)"
@@ -551,10 +552,12 @@ def _grid_points(source: str) -> str:
     return f"""{_levels(source)},
     ends AS (SELECT epoch_us(min(t)) // 900000000 AS a, epoch_us(max(t)) // 900000000 AS z FROM levels),
     axis AS (SELECT unnest(range(a, z + 1)) AS grid_index FROM ends),
-    grid AS (SELECT grid_index, make_timestamp(grid_index * 900000000) AS grid_time,
-               coalesce(nodes_in_use, 0) AS nodes_in_use,
-               100.0 * coalesce(nodes_in_use, 0) / {CAPACITY} AS pct
-             FROM axis ASOF LEFT JOIN levels ON make_timestamp(grid_index * 900000000) >= levels.t)"""
+    timeline AS (SELECT t, CAST(NULL AS BIGINT) AS grid_index, nodes_in_use FROM levels UNION ALL
+                 SELECT make_timestamp(grid_index * 900000000), grid_index, NULL FROM axis),
+    filled AS (SELECT t AS grid_time, grid_index, coalesce(last_value(nodes_in_use IGNORE NULLS) OVER (
+                   ORDER BY t, grid_index NULLS FIRST ROWS UNBOUNDED PRECEDING), 0) AS level FROM timeline),
+    grid AS (SELECT grid_index, grid_time, level AS nodes_in_use, 100.0 * level / {CAPACITY} AS pct
+             FROM filled WHERE grid_index IS NOT NULL)"""
 
 
 _INTERVALS = f"""
@@ -600,7 +603,7 @@ def _trend(passes: int) -> str:
 
 
 def _utilization() -> dict[str, str]:
-    hit = "s.start_timestamp <= i.at AND i.at < s.end_timestamp"
+    hit = "s.start_timestamp <= i.instant AND i.instant < s.end_timestamp"
     lines = [
         "concat('Max nodes available: ', capacity)",
         "format('Max utilization: {} nodes ({:.2f} %)', max_nodes, 100.0::DOUBLE * max_nodes / capacity)",
@@ -626,7 +629,7 @@ def _utilization() -> dict[str, str]:
               {r(f'100.0 * mean_nodes / {CAPACITY}')} AS mean_percent,
               {r(f'100.0 * (mean_nodes - std_nodes) / {CAPACITY}')} AS band_low,
               {r(f'100.0 * (mean_nodes + std_nodes) / {CAPACITY}')} AS band_high,
-              50.0::DOUBLE AS half_capacity FROM grid, stats""",
+              CAST(50 AS DOUBLE) AS half_capacity FROM grid, stats""",
         "utilization_rolling": f"""WITH {JOBS},{_grid_points('jobs')}
             SELECT grid_time, nodes_in_use, {r('pct')} AS utilization_percent,
               {r('''avg(pct) OVER (ORDER BY grid_time
@@ -638,9 +641,9 @@ def _utilization() -> dict[str, str]:
             SELECT interval_no, start_timestamp, end_timestamp, {r('duration_seconds')} AS duration_seconds,
               max_nodes_used, {r('mean_nodes_used')} AS mean_nodes_used FROM intervals""",
         "over_capacity_jobs": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS},
-            instants AS (SELECT interval_no, 'start' AS edge, start_timestamp AS at FROM intervals
+            instants AS (SELECT interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
                          UNION ALL SELECT interval_no, 'end', end_timestamp FROM intervals)
-            SELECT interval_no, edge, at, job_name, nodes_used, s.start_timestamp, s.end_timestamp
+            SELECT interval_no, edge, instant, job_name, nodes_used, s.start_timestamp, s.end_timestamp
             FROM instants i JOIN jobs s ON {hit}""",
         "jobs_running_at": f"""WITH {JOBS} SELECT job_name, nodes_used, start_timestamp, end_timestamp FROM jobs
             WHERE start_timestamp <= TIMESTAMP '1998-06-15 12:00:00'
