@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 NOISE_DECIMALS = 6
 
 
+def _decimal(number: Column, pattern: str) -> Column:
+    """Rounded by the exact binary value of the number, unlike ``format_string``."""
+    return F.call_function("format_number", number, F.lit(pattern))
+
+
 def format_quantity(value: Column) -> Column:
     """Commas and two decimals from 1 up, four decimals below, ``N/A`` for missing."""
     number = F.round(value.cast("double"), NOISE_DECIMALS)
     return (
         F.when(number.isNull() | F.isnan(number), F.lit("N/A"))
         .when(F.abs(number) >= 1, F.format_number(number, 2))
-        .otherwise(F.format_string("%.4f", number))
+        .otherwise(_decimal(number, "0.0000"))
     )
 
 
@@ -35,12 +40,11 @@ def format_duration(seconds: Column) -> Column:
 
 def format_percent(ratio: Column) -> Column:
     """A ratio as a percentage with two decimals; ``nan%`` for missing."""
-    return F.when(ratio.isNull(), F.lit("nan%")).otherwise(format_hundredths(ratio * 100, "%%"))
+    return F.when(ratio.isNull(), F.lit("nan%")).otherwise(F.concat(format_hundredths(ratio * 100), F.lit("%")))
 
 
-def format_hundredths(number: Column, rest: str = "") -> Column:
-    """Two decimals, followed by ``rest`` of a format string."""
-    return F.format_string("%.2f" + rest, F.round(number, NOISE_DECIMALS))
+def format_hundredths(number: Column) -> Column:
+    return _decimal(F.round(number, NOISE_DECIMALS), "0.00")
 
 
 def format_count(n: Column) -> Column:

@@ -26,7 +26,15 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     """
     lowered = df.toDF(*[c.strip().lower() for c in df.columns])
     require_columns(lowered, *RAW_TYPES)
-    return lowered.select(*[F.col(c).try_cast(t).alias(c) for c, t in RAW_TYPES.items()])
+    return lowered.select(*typed_columns(lowered, RAW_TYPES))
+
+
+def typed_columns(df: DataFrame, types: dict[str, str]) -> list[Column]:
+    """The named columns with the given types; what cannot be converted becomes null."""
+    present = dict(df.dtypes)
+    return [
+        F.col(c) if present[c] == t else F.col(c).try_cast(t).alias(c) for c, t in types.items()
+    ]
 
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS) -> DataFrame:

@@ -174,6 +174,22 @@ def _scope(df: DataFrame) -> DataFrame:
     return ends.select(by_span.alias("_by_span"), "_years", "_months")
 
 
+def _with_scope(df: DataFrame) -> DataFrame:
+    """Daily sums with the log's extent.
+
+    The extent is declared not null: a null filter on it would be pushed into the scan, which would
+    then wait for the extent and share nothing with the scan that finds it.
+    """
+    sized = attach(_daily_sums(df), _scope(df), ())
+    return sized.withColumns(
+        {
+            "_by_span": F.coalesce("_by_span", F.lit("monthly")),
+            "_years": F.coalesce("_years", F.lit(0)),
+            "_months": F.coalesce("_months", F.lit(0)),
+        }
+    )
+
+
 def _chosen_bucket(granularity: Column) -> Column:
     by = {g: calendar_bucket("_day", g) for g in ("daily", "weekly", "monthly")}
     return (
@@ -190,9 +206,9 @@ def _daily_sums(df: DataFrame) -> DataFrame:
 
 def core_hours_auto(df: DataFrame) -> DataFrame:
     """Core-hours over the full range, daily below 30 days, weekly below 365, else monthly."""
-    sized = attach(_daily_sums(df), _scope(df), ())
     sums = (
-        sized.withColumn("granularity", F.col("_by_span"))
+        _with_scope(df)
+        .withColumn("granularity", F.col("_by_span"))
         .groupBy("granularity", _chosen_bucket(F.col("_by_span")).alias("bucket"), "queue_name")
         .agg(_hours("core_hours"))
     )
@@ -206,7 +222,6 @@ def core_hours_scope(df: DataFrame) -> DataFrame:
     More than one year: the full range as :func:`core_hours_auto`. One year and more than one
     month: each year by week. One month: each month by day.
     """
-    sized = attach(_daily_sums(df), _scope(df), ())
     day = F.col("_day").cast("string")
     many_years, many_months = F.col("_years") > 1, F.col("_months") > 1
     scope = F.when(many_years, F.lit(ALL)).when(many_months, F.lit(YEAR)).otherwise(F.lit(MONTH))
@@ -216,8 +231,10 @@ def core_hours_scope(df: DataFrame) -> DataFrame:
         .when(many_months, F.substring(day, 1, 4))
         .otherwise(F.substring(day, 1, 7))
     )
+    label = F.coalesce(label, F.lit(""))
     sums = (
-        sized.withColumns({"scope": scope, "granularity": detail, SLICE: label})
+        _with_scope(df)
+        .withColumns({"scope": scope, "granularity": detail, SLICE: label})
         .groupBy("scope", "granularity", SLICE, _chosen_bucket(detail).alias("bucket"), "queue_name")
         .agg(_hours("core_hours"))
     )

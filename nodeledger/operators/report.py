@@ -96,7 +96,8 @@ def queue_summary_lines(
             "  Total Core-Hrs: ",
             format_quantity(F.col("core_hours")),
             " (",
-            format_hundredths(F.col("share_percent"), "%% of total)"),
+            format_hundredths(F.col("share_percent")),
+            "% of total)",
         ),
         F.when(rated, F.lit("  Walltime Efficiency (runtime/walltime):")),
         F.when(
@@ -136,7 +137,7 @@ def utilization_lines(stats: DataFrame, *, groups: Sequence[str] = ()) -> DataFr
     def level(label: str, name: str, whole: bool) -> Column:
         nodes = F.col(f"{name}_nodes")
         shown = nodes.cast("string") if whole else format_hundredths(nodes)
-        return _line(label, shown, " nodes (", format_hundredths(F.col(f"{name}_percent"), " %%)"))
+        return _line(label, shown, " nodes (", format_hundredths(F.col(f"{name}_percent")), " %)")
 
     lines = [
         _line("Max nodes available: ", F.col("capacity").cast("string")),
@@ -158,7 +159,7 @@ def over_capacity_lines(intervals: DataFrame, jobs: DataFrame) -> DataFrame:
         _line("Over-capacity interval ", F.col("interval_no").cast("string")),
         _line("Start: ", F.col("start_timestamp").cast("string")),
         _line("End  : ", F.col("end_timestamp").cast("string")),
-        _line("Duration: ", format_hundredths(F.col("duration_seconds") / 60, " min")),
+        _line("Duration: ", format_hundredths(F.col("duration_seconds") / 60), " min"),
         _line("Max nodes used: ", F.col("max_nodes_used").cast("string")),
         F.lit(""),
     ]

@@ -36,7 +36,10 @@ def ordered_scan(
     and not null within ``keys``.
     """
     keys = list(keys)
-    rows = df.withColumn(BUCKET, time_bucket(at, BUCKET_SECONDS))
+    # Never null, and declared so: otherwise each join adds null filters of its own below the
+    # shuffle of ``df``, and the shuffle is repeated instead of reused.
+    zero = F.lit(0).cast("bigint")
+    rows = df.withColumn(BUCKET, F.coalesce(time_bucket(at, BUCKET_SECONDS), zero))
 
     buckets = (
         rows.groupBy(*keys, BUCKET)
@@ -44,7 +47,7 @@ def ordered_scan(
             *[F.coalesce(F.sum(src), F.lit(0)).alias(f"_in_{out}") for out, src in totals.items()],
             F.min(at).alias("_first"),
         )
-        .withColumn(DAY, F.floor(F.col(BUCKET) / BUCKETS_PER_DAY))
+        .withColumn(DAY, F.coalesce(F.floor(F.col(BUCKET) / BUCKETS_PER_DAY), zero))
     )
     days = buckets.groupBy(*keys, DAY).agg(
         *[F.sum(f"_in_{out}").alias(f"_in_{out}") for out in totals],

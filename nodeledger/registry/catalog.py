@@ -128,7 +128,7 @@ def _write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _intervals(log: DataFrame) -> DataFrame:
-    return capacity.over_capacity_intervals(utilization.nodes_in_use(log), CAPACITY)
+    return capacity.over_capacity_intervals(settle(utilization.nodes_in_use(log)), CAPACITY)
 
 
 def _interval_jobs(log: DataFrame) -> DataFrame:

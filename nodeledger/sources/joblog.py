@@ -7,8 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeledger.operators.clean import normalize_columns
-from nodeledger.schema import CLEAN_COLUMNS, RAW_TYPES, TIMESTAMP_COLUMNS
+from nodeledger.operators.clean import normalize_columns, typed_columns
+from nodeledger.schema import CLEAN_COLUMNS, RAW_TYPES, TIMESTAMP_COLUMNS, require_columns
 
 # A file whose name holds one of these is not a raw job log.
 NOT_A_LOG = ("preprocessed", "job_dimension", "walltime", "queue", "max_nodes")
@@ -53,10 +53,8 @@ def _scan_folder(spark: SparkSession, folder: str) -> DataFrame:
         .select("*", F.col("_metadata.file_name").alias("source_file"))
     )
     lowered = raw.toDF(*[c.strip().lower() for c in raw.columns])
-    source = lowered.select(
-        *[F.col(c).try_cast(t).alias(c) for c, t in RAW_TYPES.items()], "source_file"
-    )
-    return source
+    require_columns(lowered, *RAW_TYPES)
+    return lowered.select(*typed_columns(lowered, RAW_TYPES), "source_file")
 
 
 _CLEAN_TYPES = {c: RAW_TYPES.get(c, "double") for c in CLEAN_COLUMNS}
@@ -71,4 +69,4 @@ def read_clean_log(spark: SparkSession, path: str, file_format: str = "parquet")
     text = {c: "string" if c in TIMESTAMP_COLUMNS else t for c, t in _CLEAN_TYPES.items()}
     schema = ", ".join(f"{c} {t}" for c, t in text.items())
     rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
-    return rows.select(*[F.col(c).try_cast(t).alias(c) for c, t in _CLEAN_TYPES.items()])
+    return rows.select(*typed_columns(rows, _CLEAN_TYPES))
