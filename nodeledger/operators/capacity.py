@@ -12,10 +12,11 @@ from nodeledger.functions.times import seconds_between
 from nodeledger.operators.slices import slice_keys, with_slices
 from nodeledger.operators.utilization import valid_intervals, with_capacity
 from nodeledger.plans.ordered_scan import ordered_scan
-from nodeledger.plans.settle import broadcast_if_small, settle
+from nodeledger.plans.settle import has_at_most, settle
 from nodeledger.schema import MIN_OVER_CAPACITY_SECONDS
 
-BROADCAST_DAYS = 10_000
+# A moment takes about 40 bytes, so that at most some 8 MB are broadcast.
+BROADCAST_MOMENTS = 200_000
 DAY_PARTS = 32
 
 
@@ -77,8 +78,9 @@ def over_capacity_jobs(
     """Jobs running at the start and at the end of each interval.
 
     The instants of a day are one sorted array, and a job meets one array per day it touches, so
-    only true matches are produced. Few arrays are broadcast; otherwise each is given to several
-    parts of its day, among which the day's jobs are spread.
+    only true matches are produced. Few moments are broadcast; otherwise each day's array is given
+    to several parts of the day, among which its jobs are spread. Intervals of at least a minute
+    leave at most 2,880 moments in a day.
     """
     edges = F.array(
         F.struct(F.col("start_timestamp").alias("instant"), "interval_no", F.lit("start").alias("edge")),
@@ -86,16 +88,19 @@ def over_capacity_jobs(
     )
     keys = slice_keys(slices)
     moments = intervals.select(*keys, F.inline(edges)).withColumn("_day", F.to_date("instant"))
+    moments = settle(moments)
     by_day = moments.groupBy(*keys, "_day").agg(
         F.array_sort(F.collect_list(F.struct("instant", "interval_no", "edge"))).alias("_moments")
     )
-    by_day, small = broadcast_if_small(settle(by_day), BROADCAST_DAYS)
+    small = has_at_most(moments, BROADCAST_MOMENTS)
 
     touched = F.sequence(F.to_date("start_timestamp"), F.to_date("end_timestamp"))
     jobs = with_slices(valid_intervals(df), slices).select(*keys, *_JOB)
     jobs = jobs.withColumn("_day", F.explode(touched))
     on = [*keys, "_day"]
-    if not small:
+    if small:
+        by_day = F.broadcast(by_day)
+    else:
         part = F.pmod(F.xxhash64("job_name", "start_timestamp", "end_timestamp"), F.lit(DAY_PARTS))
         parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(DAY_PARTS - 1).cast("bigint")))
         jobs, by_day = jobs.withColumn("_part", part), by_day.withColumn("_part", parts)

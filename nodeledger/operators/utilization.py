@@ -157,13 +157,22 @@ def utilization_rolling(
 ) -> DataFrame:
     """Mean utilization of the day that ends at each grid point.
 
-    A point is copied to its own day and the next, and each day is averaged on its own.
+    A point is copied to its own day and the next, and each pair of days is averaged on its own: a
+    day's sum is the running sum less the running sum one day before.
     """
     per_day = _SECONDS_PER_DAY // (minutes * 60)
     own = F.floor(F.col("grid_index") / per_day)
     copies = grid.withColumn("_own", own).withColumn(
         "_day", F.explode(F.array(F.col("_own"), F.col("_own") + 1))
     )
-    day = Window.partitionBy(*keys, "_day").orderBy("grid_index").rowsBetween(1 - per_day, 0)
-    averaged = copies.withColumn("rolling_percent", F.avg("utilization_percent").over(day))
+    two_days = Window.partitionBy(*keys, "_day").orderBy("grid_index")
+    so_far = two_days.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = copies.withColumns(
+        {
+            "_sum": F.sum("utilization_percent").over(so_far),
+            "_points": F.least(F.row_number().over(two_days), F.lit(per_day)),
+        }
+    )
+    before = F.coalesce(F.lag("_sum", per_day).over(two_days), F.lit(0.0))
+    averaged = summed.withColumn("rolling_percent", (F.col("_sum") - before) / F.col("_points"))
     return averaged.filter("_own = _day").select(*grid.columns, "rolling_percent")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -34,8 +33,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark a settled ``df`` for broadcasting if it has at most ``max_rows`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether a settled ``df`` is small, found without reading more than that many rows."""
+    return df.limit(rows + 1).count() <= rows

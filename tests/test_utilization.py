@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from nodeledger.operators import capacity, trend
 from nodeledger.operators import utilization as u
-from nodeledger.plans import settle as settle_module
 from nodeledger.plans.ordered_scan import ordered_scan
+from nodeledger.plans.settle import has_at_most
 
 
 def span(start, end, nodes=1, **more):
@@ -132,9 +132,9 @@ def test_over_capacity_limits(make_jobs):
     assert rows[0].mean_nodes_used == 10.5 and rows[1].mean_nodes_used == 15.0
 
 
-@pytest.mark.parametrize("broadcast_days", [10_000, 0])
-def test_over_capacity_jobs_equal_direct_search(make_jobs, monkeypatch, broadcast_days):
-    monkeypatch.setattr(capacity, "BROADCAST_DAYS", broadcast_days)
+@pytest.mark.parametrize("limit", [200_000, 3])
+def test_over_capacity_jobs_equal_direct_search(make_jobs, monkeypatch, limit):
+    monkeypatch.setattr(capacity, "BROADCAST_MOMENTS", limit)
     jobs = random_jobs(make_jobs, 150, 4)
     intervals = capacity.over_capacity_intervals(u.nodes_in_use(jobs), 180)
     rows = intervals.collect()
@@ -198,6 +198,5 @@ def test_trend_per_slice(make_jobs):
     assert len(a) == len(b) > 100 and np.allclose(a.trend_percent, b.trend_percent)
 
 
-def test_broadcast_only_below_the_limit(spark):
-    assert settle_module.broadcast_if_small(spark.range(3), 3)[1]
-    assert not settle_module.broadcast_if_small(spark.range(4), 3)[1]
+def test_size_check(spark):
+    assert has_at_most(spark.range(3), 3) and not has_at_most(spark.range(4), 3)
