@@ -82,20 +82,11 @@ def _per_queue_distributions(jobs, machine, slices):
 def _queue_analysis(jobs, machine, name, slices):
     valid = clean.valid_queue_jobs(jobs, machine.queues)
     successful = clean.successful_jobs(valid)
-    groups = slice_keys(slices)
-    results = {}
-    if slices:
-        for granularity in ("daily", "weekly", "monthly"):
-            table = core_hours.core_hours(valid, granularity, slices=slices)
-            results[f"{granularity}_core_hours"] = table
-            for chart, data in core_hours.core_hours_charts(table, groups=groups).items():
-                results[f"{granularity}_core_hours_{chart}"] = data
-    else:
-        table = core_hours.core_hours_scope(valid)
-        groups = ["scope", "granularity", "slice"]
-        results["core_hours"] = table
-        for chart, data in core_hours.core_hours_charts(table, groups=groups).items():
-            results[f"core_hours_{chart}"] = data
+    groups = [*slice_keys(slices), *core_hours.SCOPE_KEYS]
+    table = settle(core_hours.core_hours_scope(valid, slices=slices))
+    results = {"core_hours": table}
+    for chart, data in core_hours.core_hours_charts(table, groups=groups).items():
+        results[f"core_hours_{chart}"] = data
     title = f"{name} – Detailed Queue Summary"
     results["queue_summary"] = queue_stats.queue_summary(valid, slices=slices)
     results["queue_summary_lines"] = report.queue_summary_lines(valid, title, slices=slices)

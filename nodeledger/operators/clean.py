@@ -30,11 +30,21 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 
 def typed_columns(df: DataFrame, types: dict[str, str]) -> list[Column]:
-    """The named columns with the given types; what cannot be converted becomes null."""
+    """The named columns with the given types; what cannot be converted becomes null.
+
+    Whole numbers may be written with a decimal point, as a column with missing values often is.
+    """
     present = dict(df.dtypes)
-    return [
-        F.col(c) if present[c] == t else F.col(c).try_cast(t).alias(c) for c, t in types.items()
-    ]
+
+    def converted(name: str, wanted: str) -> Column:
+        value = F.col(name)
+        if present[name] == wanted:
+            return value
+        if present[name] == "string" and wanted in ("bigint", "int"):
+            value = value.try_cast("double")
+        return value.try_cast(wanted).alias(name)
+
+    return [converted(c, t) for c, t in types.items()]
 
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS) -> DataFrame:

@@ -9,13 +9,23 @@ from pyspark.sql import functions as F
 
 from nodeledger.functions.columns import ratio
 from nodeledger.functions.times import calendar_bucket, seconds_between
-from nodeledger.operators.slices import ALL, MONTH, SLICE, YEAR, fan_out, tag_period
+from nodeledger.operators.slices import (
+    ALL,
+    MONTH,
+    SLICE,
+    YEAR,
+    fan_out,
+    period_keys,
+    slice_keys,
+    tag_period,
+)
 from nodeledger.plans.attach import attach
 from nodeledger.plans.dense import densify
 from nodeledger.schema import AREA_SHARE_PERCENT, PIE_SHARE_PERCENT, TOP_QUEUES, require_columns
 
 OTHER = "Other"
 _NEEDED = ("start_timestamp", "queue_name", "used_core_hours")
+SCOPE_KEYS = ("scope", "granularity", "period")
 _DAYS_BEFORE_WEEKLY, _DAYS_BEFORE_MONTHLY = 30, 365
 
 
@@ -150,16 +160,17 @@ def core_hours_share(
     return merged.select(*groups, "queue_label", "core_hours", percent)
 
 
-def _scope(df: DataFrame) -> DataFrame:
-    """One row: the number of years and months with jobs and the granularity of the full range.
+def _scope(df: DataFrame, slices: Sequence[str] | None) -> DataFrame:
+    """Per slice: the number of years and months with jobs and the granularity of its full range.
 
     The span is counted in whole days. A month means the month of any year.
     """
+    groups = slice_keys(slices)
     start = F.col("start_timestamp")
-    months = df.filter(start.isNotNull()).groupBy(
-        F.year(start).alias("_year"), F.month(start).alias("_month")
+    months = tag_period(df.filter(start.isNotNull()), slices).groupBy(
+        *period_keys(slices), F.year(start).alias("_year"), F.month(start).alias("_month")
     ).agg(F.min(start).alias("_first"), F.max(start).alias("_last"))
-    ends = months.agg(
+    ends = fan_out(months, slices).groupBy(*groups).agg(
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
         F.count_distinct("_year").alias("_years"),
@@ -171,16 +182,18 @@ def _scope(df: DataFrame) -> DataFrame:
         .when(days < _DAYS_BEFORE_MONTHLY, F.lit("weekly"))
         .otherwise(F.lit("monthly"))
     )
-    return ends.select(by_span.alias("_by_span"), "_years", "_months")
+    return ends.select(*groups, by_span.alias("_by_span"), "_years", "_months")
 
 
-def _with_scope(df: DataFrame) -> DataFrame:
-    """Daily sums with the log's extent.
+def _with_scope(df: DataFrame, slices: Sequence[str] | None = None) -> DataFrame:
+    """Daily sums with the extent of their slice.
 
     The extent is declared not null: a null filter on it would be pushed into the scan, which would
     then wait for the extent and share nothing with the scan that finds it.
     """
-    sized = attach(_daily_sums(df), _scope(df), ())
+    day = calendar_bucket("start_timestamp", "daily").alias("_day")
+    sums = tag_period(_located(df), slices).groupBy(*period_keys(slices), day, "queue_name").agg(_hours())
+    sized = attach(fan_out(sums, slices), _scope(df, slices), slice_keys(slices))
     return sized.withColumns(
         {
             "_by_span": F.coalesce("_by_span", F.lit("monthly")),
@@ -199,11 +212,6 @@ def _chosen_bucket(granularity: Column) -> Column:
     )
 
 
-def _daily_sums(df: DataFrame) -> DataFrame:
-    day = calendar_bucket("start_timestamp", "daily").alias("_day")
-    return _located(df).groupBy(day, "queue_name").agg(_hours())
-
-
 def core_hours_auto(df: DataFrame) -> DataFrame:
     """Core-hours over the full range, daily below 30 days, weekly below 365, else monthly."""
     sums = (
@@ -216,29 +224,30 @@ def core_hours_auto(df: DataFrame) -> DataFrame:
     return densify(sums, rows, "queue_name", "core_hours", within=rows[:1], total="total_core_hours")
 
 
-def core_hours_scope(df: DataFrame) -> DataFrame:
-    """Core-hours at the detail the log's extent calls for.
+def core_hours_scope(df: DataFrame, *, slices: Sequence[str] | None = None) -> DataFrame:
+    """Core-hours at the detail that the extent of the log, or of each slice, calls for.
 
     More than one year: the full range as :func:`core_hours_auto`. One year and more than one
-    month: each year by week. One month: each month by day.
+    month: each year by week. One month: each month by day. ``period`` names the part of the
+    range that a table is for.
     """
     day = F.col("_day").cast("string")
     many_years, many_months = F.col("_years") > 1, F.col("_months") > 1
     scope = F.when(many_years, F.lit(ALL)).when(many_months, F.lit(YEAR)).otherwise(F.lit(MONTH))
     detail = F.when(many_years, F.col("_by_span")).when(many_months, F.lit("weekly")).otherwise(F.lit("daily"))
-    label = (
+    period = (
         F.when(many_years, F.lit("all"))
         .when(many_months, F.substring(day, 1, 4))
         .otherwise(F.substring(day, 1, 7))
     )
-    label = F.coalesce(label, F.lit(""))
+    period = F.coalesce(period, F.lit(""))
+    groups = [*slice_keys(slices), *SCOPE_KEYS]
     sums = (
-        _with_scope(df)
-        .withColumns({"scope": scope, "granularity": detail, SLICE: label})
-        .groupBy("scope", "granularity", SLICE, _chosen_bucket(detail).alias("bucket"), "queue_name")
+        _with_scope(df, slices)
+        .withColumns({"scope": scope, "granularity": detail, "period": period})
+        .groupBy(*groups, _chosen_bucket(detail).alias("bucket"), "queue_name")
         .agg(_hours("core_hours"))
     )
-    groups = ["scope", "granularity", SLICE]
     return densify(
         sums, [*groups, "bucket"], "queue_name", "core_hours", within=groups, total="total_core_hours"
     )

@@ -114,16 +114,23 @@ def metric_stats(
     return described.join(quantiles, [*groups, "metric"]).select(*groups, "metric", *_STATISTICS)
 
 
+def efficiency_metric() -> dict[str, Column]:
+    return {"efficiency": ratio(F.col("runtime_seconds"), F.col("walltime_seconds"))}
+
+
+def report_metrics(df: DataFrame) -> dict[str, Column]:
+    """The metrics of the report that ``df`` has."""
+    return {m: F.col(m) for m in REPORT_METRICS if m in df.columns}
+
+
 def queue_metric_stats(df: DataFrame, *, slices: Sequence[str] | None = None) -> DataFrame:
     """The report's metrics for each queue."""
-    present = [m for m in REPORT_METRICS if m in df.columns]
-    return metric_stats(df, {m: F.col(m) for m in present}, slices=slices)
+    return metric_stats(df, report_metrics(df), slices=slices)
 
 
 def queue_efficiency(df: DataFrame, *, slices: Sequence[str] | None = None) -> DataFrame:
     """Runtime as a part of the requested walltime for each queue."""
-    efficiency = ratio(F.col("runtime_seconds"), F.col("walltime_seconds"))
-    stats = metric_stats(df, {"efficiency": efficiency}, slices=slices)
+    stats = metric_stats(df, efficiency_metric(), slices=slices)
     return stats.select(
         *slice_keys(slices),
         "queue_name",

@@ -15,10 +15,11 @@ from nodeledger.functions.text import (
     format_quantity,
 )
 from nodeledger.operators.queue_stats import (
-    queue_efficiency,
-    queue_metric_stats,
+    efficiency_metric,
+    metric_stats,
     queue_summary,
     queue_summary_totals,
+    report_metrics,
 )
 from nodeledger.operators.slices import slice_keys
 from nodeledger.schema import DURATION_METRICS, REPORT_METRICS
@@ -68,15 +69,15 @@ def queue_summary_lines(
     """
     groups = slice_keys(slices)
     totals = queue_summary_totals(df, slices=slices)
-    per_metric = queue_metric_stats(df, slices=slices)
+    measured = {**report_metrics(df), **efficiency_metric()}
+    per_metric = metric_stats(df, measured, slices=slices)
     names = ("mean", "median", "std", "p5", "p95", "min", "max")
     stats = per_metric.groupBy(*groups, "queue_name").agg(
         F.map_from_entries(F.collect_list(F.struct("metric", F.struct(*names)))).alias("_stats")
     )
-    on = [*groups, "queue_name"]
-    efficiency = queue_efficiency(df, slices=slices).withColumnRenamed("n_jobs", "_n_rated")
-    blocks = queue_summary(df, slices=slices).join(stats, on, "left").join(efficiency, on, "left")
-    rated = F.col("_n_rated").isNotNull()
+    blocks = queue_summary(df, slices=slices).join(stats, [*groups, "queue_name"], "left")
+    efficiency = F.try_element_at("_stats", F.lit("efficiency"))
+    rated = efficiency.isNotNull()
 
     header = [
         F.lit(title),
@@ -104,11 +105,11 @@ def queue_summary_lines(
             rated,
             _line(
                 "    Mean: ",
-                format_percent(F.col("mean_efficiency")),
+                format_percent(efficiency["mean"]),
                 "  Median: ",
-                format_percent(F.col("median_efficiency")),
+                format_percent(efficiency["median"]),
                 "  Std: ",
-                format_percent(F.col("std_efficiency")),
+                format_percent(efficiency["std"]),
             ),
         ),
         *[line for metric, label in REPORT_METRICS.items() for line in _metric_lines(metric, label)],
@@ -121,15 +122,19 @@ def queue_summary_lines(
         _line("Total Unique Projects: ", format_count(F.col("unique_projects"))),
     ]
 
-    def place(section: int, queue: Column) -> list[Column]:
-        return [*[F.col(g) for g in groups], F.lit(section).alias("section"), queue.alias("queue_name")]
-
-    nobody = F.lit(None).cast("string")
-    return (
-        _numbered(totals, header, place(_HEADER, nobody))
-        .unionByName(_numbered(blocks, block, place(_QUEUE, F.col("queue_name"))))
-        .unionByName(_numbered(totals, footer, place(_FOOTER, nobody)))
-    )
+    kept = [F.col(g) for g in groups]
+    around = [
+        F.struct(
+            F.lit(section).alias("section"),
+            F.lit(None).cast("string").alias("queue_name"),
+            F.lit(i).alias("line_no"),
+            line.alias("line"),
+        )
+        for section, lines in ((_HEADER, header), (_FOOTER, footer))
+        for i, line in enumerate(lines)
+    ]
+    inside = _numbered(blocks, block, [*kept, F.lit(_QUEUE).alias("section"), F.col("queue_name")])
+    return totals.select(*kept, F.inline(F.array(*around))).unionByName(inside)
 
 
 def utilization_lines(stats: DataFrame, *, groups: Sequence[str] = ()) -> DataFrame:

@@ -120,10 +120,10 @@ def _write_and_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the cleaned log in monthly folders and count one year of it."""
+    """Write the cleaned log in monthly folders and count the jobs of each."""
     folder = _new_folder(spark)
     write_clean_jobs(jobs(spark, sf_dir), folder)
-    written = read_clean_log(spark, folder).filter("start_year = 1998")
+    written = read_clean_log(spark, folder)
     return written.groupBy("start_year", "start_month").agg(F.count("*").alias("n_jobs"))
 
 
@@ -237,6 +237,7 @@ def queries() -> dict[str, Query]:
         "core_hours_auto_short": _on(event_jobs, core_hours.core_hours_auto),
         "core_hours_scope": _on(jobs, core_hours.core_hours_scope),
         "core_hours_scope_short": _on(event_jobs, core_hours.core_hours_scope),
+        "core_hours_scope_by_slice": _on(jobs, core_hours.core_hours_scope, slices=EVERY),
         "weekly_core_hours_by_year": _on(jobs, core_hours.weekly_core_hours_by_year),
         "daily_core_hours_by_month": _on(jobs, core_hours.daily_core_hours_by_month),
         # utilization

@@ -130,7 +130,7 @@ def _cleaning() -> dict[str, str]:
         "write_partitioned_jobs": f"""WITH {JOBS}
             SELECT CAST(year(start_timestamp) AS INTEGER) AS start_year,
                    CAST(month(start_timestamp) AS INTEGER) AS start_month, count(*) AS n_jobs
-            FROM jobs WHERE year(start_timestamp) = 1998 GROUP BY 1, 2""",
+            FROM jobs GROUP BY 1, 2""",
         "parse_timestamps": f"WITH {RAW} SELECT job_name, {parsed} FROM raw",
         "derive_wait": f"WITH {RAW},{WAITED} SELECT {_RAW}, {r('wait_seconds')} AS wait_seconds FROM waited",
         "runtime_check": f"""WITH {RAW} SELECT {_RAW},
@@ -464,19 +464,24 @@ def _auto(log: str) -> str:
       SELECT granularity, bucket, queue_name, {_HOURS} FROM dense"""
 
 
-def _scope(log: str) -> str:
+def _scope(log: str, source: str = "jobs", group: str = "") -> str:
+    lead = f"{group}, " if group else ""
+    join = f"JOIN span USING ({group})" if group else "CROSS JOIN span"
+    by = f"GROUP BY {group}" if group else ""
+    kept = {group: group} if group else {}
+    bucket = f"CASE granularity WHEN 'daily' THEN {_DAY} WHEN 'weekly' THEN {_WEEK} ELSE {_MONTH} END"
     return f"""WITH {log},
-      span AS (SELECT epoch_us(max(start_timestamp) - min(start_timestamp)) / 86400e6 AS days,
-                 count(DISTINCT year(start_timestamp)) AS ys, count(DISTINCT month(start_timestamp)) AS ms FROM jobs),
+      span AS (SELECT {lead}epoch_us(max(start_timestamp) - min(start_timestamp)) / 86400e6 AS days,
+                 count(DISTINCT year(start_timestamp)) AS ys, count(DISTINCT month(start_timestamp)) AS ms
+               FROM {source} {by}),
       sized AS (SELECT *, CASE WHEN ys > 1 THEN 'all' WHEN ms > 1 THEN 'year' ELSE 'month' END AS scope,
           CASE WHEN ys > 1 THEN (CASE WHEN floor(days) < 30 THEN 'daily' WHEN floor(days) < 365 THEN 'weekly'
                                  ELSE 'monthly' END)
                WHEN ms > 1 THEN 'weekly' ELSE 'daily' END AS granularity,
           CASE WHEN ys > 1 THEN 'all' WHEN ms > 1 THEN strftime(start_timestamp, '%Y')
-               ELSE strftime(start_timestamp, '%Y-%m') END AS slice FROM jobs, span),
-      {_dense_hours('sized', f"CASE granularity WHEN 'daily' THEN {_DAY} WHEN 'weekly' THEN {_WEEK} ELSE {_MONTH} END",
-                    scope='scope', granularity='granularity', slice='slice')}
-      SELECT scope, granularity, slice, bucket, queue_name, {_HOURS} FROM dense"""
+               ELSE strftime(start_timestamp, '%Y-%m') END AS period FROM {source} {join}),
+      {_dense_hours('sized', bucket, **kept, scope='scope', granularity='granularity', period='period')}
+      SELECT {lead}scope, granularity, period, bucket, queue_name, {_HOURS} FROM dense"""
 
 
 def _core_hours() -> dict[str, str]:
@@ -513,6 +518,7 @@ def _core_hours() -> dict[str, str]:
         "core_hours_auto_short": _auto(EVENT_JOBS),
         "core_hours_scope": _scope(JOBS),
         "core_hours_scope_short": _scope(EVENT_JOBS),
+        "core_hours_scope_by_slice": _scope(f"{JOBS},{SLICED}", "sliced", "slice"),
         "weekly_core_hours_by_year": by_slice(_WEEK, "%Y"),
         "daily_core_hours_by_month": by_slice(_DAY, "%Y-%m"),
     }

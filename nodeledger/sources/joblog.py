@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nodeledger.operators.clean import normalize_columns, typed_columns
-from nodeledger.schema import CLEAN_COLUMNS, RAW_TYPES, TIMESTAMP_COLUMNS, require_columns
+from nodeledger.schema import CLEAN_COLUMNS, RAW_TYPES, require_columns
 
 # A file whose name holds one of these is not a raw job log.
 NOT_A_LOG = ("preprocessed", "job_dimension", "walltime", "queue", "max_nodes")
@@ -66,7 +66,6 @@ def read_clean_log(spark: SparkSession, path: str, file_format: str = "parquet")
         return spark.read.parquet(path)
     if file_format != "csv":
         raise ValueError(f"unknown format {file_format!r}")
-    text = {c: "string" if c in TIMESTAMP_COLUMNS else t for c, t in _CLEAN_TYPES.items()}
-    schema = ", ".join(f"{c} {t}" for c, t in text.items())
+    schema = ", ".join(f"{c} string" for c in _CLEAN_TYPES)
     rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return rows.select(*typed_columns(rows, _CLEAN_TYPES))

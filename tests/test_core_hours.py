@@ -90,7 +90,7 @@ def test_granularity_by_whole_days(make_jobs, days, granularity):
 )
 def test_scope(make_jobs, times, expected):
     jobs = used(make_jobs, [("a", t, 1.0) for t in times])
-    assert {(r.scope, r.granularity, r.slice) for r in ch.core_hours_scope(jobs).collect()} == expected
+    assert {(r.scope, r.granularity, r.period) for r in ch.core_hours_scope(jobs).collect()} == expected
 
 
 def test_week_between_two_years_is_in_both(make_jobs):

@@ -22,7 +22,7 @@ def csv(header, *rows):
 
 
 HEADER = [c.upper() for c in RAW_TYPES]
-ROW = ["j1", "u", "p", "q", "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 02:00:00", "7200", "3600.5", "1", "2", "3.5", "0"]
+ROW = ["j1", "u", "p", "q", "2024-01-01 00:00:00", "2024-01-01 01:00:00", "2024-01-01 02:00:00", "7200", "3600.5", "1", "2.0", "3.5", "0"]
 
 
 def test_scan_skips_other_files_and_reads_by_name(spark, tmp_path):
