@@ -135,6 +135,11 @@ def _interval_jobs(log: DataFrame) -> DataFrame:
     return capacity.over_capacity_jobs(log, settle(_intervals(log)))
 
 
+def _interval_lines(log: DataFrame) -> DataFrame:
+    intervals = settle(_intervals(log))
+    return report.over_capacity_lines(intervals, capacity.over_capacity_jobs(log, intervals))
+
+
 def _stats(log: DataFrame, levels=None) -> DataFrame:
     nodes = utilization.nodes_in_use(log, slices=levels)
     return utilization.utilization_stats(nodes, CAPACITY, keys=slices.slice_keys(levels))
@@ -205,6 +210,7 @@ def queries() -> dict[str, Query]:
             _valid, bins.size_walltime_grid, SIZES, WALLTIMES, **by_queue
         ),
         "job_size_histogram_by_slice": _on(jobs, bins.job_size_histogram, SIZES, slices=EVERY),
+        "walltime_histogram_by_slice": _on(jobs, bins.walltime_histogram, WALLTIMES, slices=EVERY),
         "size_walltime_grid_by_slice": _on(
             jobs, bins.size_walltime_grid, SIZES, WALLTIMES, slices=EVERY
         ),
@@ -220,7 +226,10 @@ def queries() -> dict[str, Query]:
         "weekday_distribution": _on(jobs, temporal.weekday_distribution),
         "dayofyear_distribution": _on(jobs, temporal.dayofyear_distribution),
         "hour_distribution_by_slice": _on(jobs, temporal.hour_distribution, slices=EVERY),
+        "weekday_distribution_by_slice": _on(jobs, temporal.weekday_distribution, slices=EVERY),
+        "dayofyear_distribution_by_slice": _on(jobs, temporal.dayofyear_distribution, slices=EVERY),
         "dataset_profile": _on(jobs, temporal.dataset_profile),
+        "dataset_profile_by_slice": _on(jobs, temporal.dataset_profile, slices=EVERY),
         # core-hours
         "daily_core_hours": _on(jobs, core_hours.daily_core_hours),
         "weekly_core_hours": _on(jobs, core_hours.weekly_core_hours),
@@ -254,5 +263,6 @@ def queries() -> dict[str, Query]:
         "utilization_trend_long": _on(_grid, trend.utilization_trend),
         "over_capacity_intervals": _on(jobs, _intervals),
         "over_capacity_jobs": _on(jobs, _interval_jobs),
+        "over_capacity_lines": _on(jobs, _interval_lines),
         "jobs_running_at": _on(jobs, capacity.jobs_running_at, MOMENT),
     }

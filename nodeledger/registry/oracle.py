@@ -354,6 +354,8 @@ def _binned() -> dict[str, str]:
         "queue_size_walltime_grid": f"WITH {JOBS},{VALID},{from_bins} {_grid('valid', 'queue_name')}",
         "job_size_histogram_by_slice": f"""WITH {JOBS},{SLICED},{SIZES}
             {_histogram('sliced', 'sizes', 'nodes_used', 'slice')}""",
+        "walltime_histogram_by_slice": f"""WITH {JOBS},{SLICED},{TIMES}
+            {_histogram('sliced', 'times', 'walltime_seconds', 'slice')}""",
         "size_walltime_grid_by_slice": f"WITH {JOBS},{SLICED},{from_bins} {_grid('sliced', 'slice')}",
         "scatter_points": f"WITH {JOBS} {_scatter('jobs')}",
         "queue_scatter_points": f"WITH {JOBS},{VALID} {_scatter('valid', 'queue_name, ')}",
@@ -390,6 +392,22 @@ def _temporal() -> dict[str, str]:
     year = ("year(start_timestamp)", "dayofyear(start_timestamp)", 1, 366)
     percent = "100.0 * n_jobs / n_period"
     spread = f"avg({percent}) AS m, stddev_samp({percent}) AS s"
+    profile = f"""count(*) AS n_jobs, count(DISTINCT queue_name) AS n_queues,
+            min(start_timestamp) AS min_start_timestamp, max(start_timestamp) AS max_start_timestamp,
+            min(nodes_used) AS min_nodes_used, max(nodes_used) AS max_nodes_used,
+            {r('min(walltime_seconds)')} AS min_walltime_seconds,
+            {r('max(walltime_seconds)')} AS max_walltime_seconds"""
+
+    def smooth(log: str, source: str, group: str = "") -> str:
+        lead, part = (f"{group}, ", f"PARTITION BY {group} ") if group else ("", "")
+        return f"""WITH {log},
+            d AS (SELECT {lead}bin, {spread} FROM {_period_counts(source, *year, group)} GROUP BY {lead}bin),
+            w AS (SELECT {lead}bin, m, s, avg(m) OVER near AS ms, avg(s) OVER near AS ss FROM d
+                  WINDOW near AS ({part}ORDER BY bin ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
+            SELECT {lead}CAST(bin AS INTEGER) AS day_of_year, {r('m')} AS mean_percent, {r('s')} AS std_percent,
+              {r('ms')} AS mean_smooth, {r('ss')} AS std_smooth, {r('ms - ss')} AS band_low,
+              {r('ms + ss')} AS band_high FROM w"""
+
     return {
         "hourly_counts": f"""WITH {JOBS} SELECT period AS date, CAST(bin AS INTEGER) AS hour, n_jobs, n_period
             FROM {_period_counts('jobs', *hours)}""",
@@ -403,22 +421,19 @@ def _temporal() -> dict[str, str]:
         "weekday_distribution": f"""WITH {JOBS} SELECT CAST(bin AS INTEGER) AS bin_order,
             {_DAYS}[bin + 1] AS weekday, {r('m')} AS mean_percent, {r('s')} AS std_percent
             FROM (SELECT bin, {spread} FROM {_period_counts('jobs', *days)} GROUP BY bin)""",
-        "dayofyear_distribution": f"""WITH {JOBS},
-            d AS (SELECT bin, {spread} FROM {_period_counts('jobs', *year)} GROUP BY bin),
-            w AS (SELECT bin, m, s, avg(m) OVER near AS ms, avg(s) OVER near AS ss FROM d
-                  WINDOW near AS (ORDER BY bin ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))
-            SELECT CAST(bin AS INTEGER) AS day_of_year, {r('m')} AS mean_percent, {r('s')} AS std_percent,
-              {r('ms')} AS mean_smooth, {r('ss')} AS std_smooth, {r('ms - ss')} AS band_low,
-              {r('ms + ss')} AS band_high FROM w""",
+        "dayofyear_distribution": smooth(JOBS, "jobs"),
+        "dayofyear_distribution_by_slice": smooth(f"{JOBS},{SLICED}", "sliced", "slice"),
+        "weekday_distribution_by_slice": f"""WITH {JOBS},{SLICED}
+            SELECT slice, CAST(bin AS INTEGER) AS bin_order, {_DAYS}[bin + 1] AS weekday,
+              {r('m')} AS mean_percent, {r('s')} AS std_percent
+            FROM (SELECT slice, bin, {spread} FROM {_period_counts('sliced', *days, 'slice')}
+                  GROUP BY slice, bin)""",
         "hour_distribution_by_slice": f"""WITH {JOBS},{SLICED}
             SELECT slice, CAST(bin AS INTEGER) AS hour, {r('m')} AS mean_percent, {r('s')} AS std_percent
             FROM (SELECT slice, bin, {spread} FROM {_period_counts('sliced', *hours, 'slice')}
                   GROUP BY slice, bin)""",
-        "dataset_profile": f"""WITH {JOBS} SELECT count(*) AS n_jobs, count(DISTINCT queue_name) AS n_queues,
-            min(start_timestamp) AS min_start_timestamp, max(start_timestamp) AS max_start_timestamp,
-            min(nodes_used) AS min_nodes_used, max(nodes_used) AS max_nodes_used,
-            {r('min(walltime_seconds)')} AS min_walltime_seconds,
-            {r('max(walltime_seconds)')} AS max_walltime_seconds FROM jobs""",
+        "dataset_profile": f"WITH {JOBS} SELECT {profile} FROM jobs",
+        "dataset_profile_by_slice": f"WITH {JOBS},{SLICED} SELECT slice, {profile} FROM sliced GROUP BY slice",
     }
 
 
@@ -609,6 +624,9 @@ def _trend(passes: int) -> str:
 
 
 def _utilization() -> dict[str, str]:
+    instants = """instants AS (
+              SELECT interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
+              UNION ALL SELECT interval_no, 'end', end_timestamp FROM intervals)"""
     hit = "s.start_timestamp <= i.instant AND i.instant < s.end_timestamp"
     lines = [
         "concat('Max nodes available: ', capacity)",
@@ -647,10 +665,24 @@ def _utilization() -> dict[str, str]:
             SELECT interval_no, start_timestamp, end_timestamp, {r('duration_seconds')} AS duration_seconds,
               max_nodes_used, {r('mean_nodes_used')} AS mean_nodes_used FROM intervals""",
         "over_capacity_jobs": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS},
-            instants AS (SELECT interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
-                         UNION ALL SELECT interval_no, 'end', end_timestamp FROM intervals)
+            {instants}
             SELECT interval_no, edge, instant, job_name, nodes_used, s.start_timestamp, s.end_timestamp
             FROM instants i JOIN jobs s ON {hit}""",
+        "over_capacity_lines": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS},
+            {instants},
+            fixed AS (SELECT interval_no, unnest([0, 0, 0, 0, 0, 0, 0, 1, 3, 3, 5]) AS section,
+                unnest([0, 1, 2, 3, 4, 5, 6, 0, 0, 1, 0]) AS line_no,
+                unnest([repeat('=', 80), concat('Over-capacity interval ', interval_no),
+                  concat('Start: ', start_timestamp), concat('End  : ', end_timestamp),
+                  format('Duration: {{:.2f}} min', round(duration_seconds / 60, 6)),
+                  concat('Max nodes used: ', max_nodes_used), '', 'Jobs running at START:', '',
+                  'Jobs running at END:', '']) AS line FROM intervals)
+            SELECT interval_no, CAST(section AS INTEGER) AS section, CAST(NULL AS VARCHAR) AS job_name,
+              CAST(line_no AS INTEGER) AS line_no, line FROM fixed
+            UNION ALL SELECT interval_no, CASE edge WHEN 'start' THEN 2 ELSE 4 END, job_name, 0,
+              concat('  - ', job_name, ': ', nodes_used, ' nodes (start: ', s.start_timestamp, ', end: ',
+                     s.end_timestamp, ')')
+            FROM instants i JOIN jobs s ON {hit}""",
         "jobs_running_at": f"""WITH {JOBS} SELECT job_name, nodes_used, start_timestamp, end_timestamp FROM jobs
             WHERE start_timestamp <= TIMESTAMP '1998-06-15 12:00:00'
               AND TIMESTAMP '1998-06-15 12:00:00' < end_timestamp""",

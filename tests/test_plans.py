@@ -20,6 +20,7 @@ STAGED = {
     "utilization_grid",
     "over_capacity_intervals",
     "over_capacity_jobs",
+    "over_capacity_lines",
     "utilization_trend",
     "utilization_trend_single_pass",
     "utilization_trend_long",
