@@ -11,6 +11,8 @@ array that share a whole window are copies, and the smallest document among them
 from __future__ import annotations
 
 import math
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodeledger.llm.store import written
+from nodeledger.llm.store import cut, shared_folder
 from nodeledger.llm.wordhash import _BASE, _CODE, _INVERSE, mix, powers, text_buffers
 
 GRAM = 16
@@ -213,59 +215,87 @@ def _shared(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc), "key": pa.array(key.astype(np.int64))})
 
 
-def _cut_out(length: int):
-    """Pieces (key, doc_id, print_a, start, piece) of documents whose short keys are among the given ones."""
+def _cut_out(length: int, buckets: int):
+    """Distinct pieces with shared keys, by bucket, and what copies within the chunk already lose.
+
+    Of several documents of a chunk with the same piece the smallest one goes on; the others lose
+    the piece whatever other chunks hold. So a piece comes up once per chunk, however many
+    documents have it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, b, data, offsets in _chunks(batch.column(1)):
-                lists = batch.column(3).slice(a, b - a)
-                wanted = np.sort(lists.flatten().to_numpy().astype(np.uint64))
+                wanted = np.unique(batch.column(2).slice(a, b - a).flatten().to_numpy().astype(np.uint64))
                 text, start, end, key = pieces(data, offsets, length)
-                if not len(wanted) or not len(key):
-                    continue
                 short = key >> (np.uint64(64) - _SHORT)
-                at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
-                keep = wanted[at] == short
-                text, start, end, key = text[keep], start[keep], end[keep], key[keep]
+                at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1) if len(wanted) else short
+                keep = wanted[at] == short if len(wanted) else np.zeros(len(key), bool)
+                doc, start, end, key, where = ids[a:b][text[keep]], start[keep], end[keep], key[keep], offsets[text[keep]]
                 raw = data.tobytes()
-                cutting = [raw[i:j] for i, j in zip((offsets[text] + start).tolist(), (offsets[text] + end).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key.view(np.int64)), pa.array(ids[a:b][text]), batch.column(2).slice(a, b - a).take(pa.array(text)), pa.array(start), pa.array(cutting, pa.binary())],
-                    names=["key", "doc_id", "print_a", "start", "piece"],
-                )
+                seen: dict[bytes, int] = {}
+                first, listed, again = [], [], []
+                for k in np.lexsort((start, doc)).tolist():
+                    piece = raw[where[k] + start[k] : where[k] + end[k]]
+                    if doc[seen.setdefault(piece, k)] < doc[k]:
+                        again.append(k)
+                    else:  # also where one document has it twice
+                        first.append(k)
+                        listed.append(piece)
+                rows = []
+                bucket = (mix(key[first], 62) % np.uint64(buckets)).astype(np.int64)
+                by = np.argsort(bucket, kind="stable")
+                for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
+                    at = np.array(first)[part]
+                    numbers = np.stack([doc[at], start[at], end[at] - start[at]]).astype("<i8").tobytes()
+                    rows.append((int(bucket[part[0]]), False, len(part), zlib.compress(numbers + b"".join(listed[i] for i in part), 1)))
+                if again:
+                    at = np.array(again)
+                    rows.append((int(doc[at[0]]) % buckets, True, len(at), zlib.compress(np.stack([doc[at], start[at], end[at]]).astype("<i8").tobytes(), 1)))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.bool_(), pa.int64(), pa.binary()))], names=["bucket", "known", "n", "packed"])
 
     return run
 
 
 def _first_owner(length: int):
-    """Runs of windows (of a piece) and the smallest document that has them."""
+    """Runs (doc_id, a, b) that a document loses to smaller ones."""
 
     def run(group: pa.Table) -> pa.Table:
-        piece = group.column("piece").combine_chunks()
-        low, high = group.column("low").to_numpy(), group.column("high").to_numpy()
-        raw = piece.to_pylist()
-        size = np.array([*map(len, raw)], np.int64)
-        text = np.frombuffer(b"".join(raw), np.uint8)
-        begin = np.cumsum(size) - size
-        order, words = suffix_array(text, length)
-        owner = np.repeat(np.arange(len(raw)), size)
-        order = order[order - begin[owner[order]] + length <= size[owner[order]]]
-        share = neighbours_share(order, words, length)
-        start = np.flatnonzero(~share)
-        smallest = np.empty(len(text), np.int64)
-        smallest[order] = np.repeat(np.minimum.reduceat(low[owner[order]], start), np.diff(np.append(start, len(order))))
-        place = np.sort(order)
-        who, value = owner[place], smallest[place]
-        new = np.ones(len(place), bool)
-        new[1:] = (who[1:] != who[:-1]) | (value[1:] != value[:-1])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(place)) - 1
-        useful = value[first] < high[who[first]]
-        first, last = first[useful], last[useful]
-        names = group.column("key").to_numpy(), group.column("print").to_numpy()
-        return pa.table({"key": names[0][who[first]], "print": names[1][who[first]], "a": place[first] - begin[who[first]], "b": place[last] - begin[who[first]] + length, "owner": value[first]})
+        out, docs, starts, sizes, raw = [], [], [], [], []
+        for known, n, packed in zip(*(group.column(c).to_pylist() for c in ("known", "n", "packed"))):
+            packed = zlib.decompress(packed)
+            numbers = np.frombuffer(packed, "<i8", 3 * n).reshape(3, n)
+            if known:
+                out.append(numbers)
+                continue
+            docs.append(numbers[0])
+            starts.append(numbers[1])
+            sizes.append(numbers[2])
+            raw.append(packed[24 * n :])
+        if raw:
+            doc, begin_in_doc, size = (np.concatenate(x) for x in (docs, starts, sizes))
+            text = np.frombuffer(b"".join(raw), np.uint8)
+            begin = np.cumsum(size) - size
+            order, words = suffix_array(text, length)
+            owner = np.repeat(np.arange(len(size)), size)
+            order = order[order - begin[owner[order]] + length <= size[owner[order]]]
+            start = np.flatnonzero(~neighbours_share(order, words, length))
+            smallest = np.empty(len(text), np.int64)
+            smallest[order] = np.repeat(np.minimum.reduceat(doc[owner[order]], start), np.diff(np.append(start, len(order))))
+            place = np.sort(order)
+            place = place[smallest[place] < doc[owner[place]]]
+            # windows side by side in a piece are one run
+            new = np.ones(len(place), bool)
+            new[1:] = (np.diff(place) != 1) | (owner[place[1:]] != owner[place[:-1]])
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(place)) - 1
+            last = last[: len(first)]
+            who = owner[place[first]]
+            shift = begin_in_doc[who] - begin[who]
+            out.append(np.stack([doc[who], place[first] + shift, place[last] + shift + length]))
+        doc, a, b = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
+        return pa.table({"doc_id": doc, "a": a, "b": b})
 
     return run
 
@@ -300,35 +330,39 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     bytes. ``length`` is at least 24.
 
     Null and empty texts and those shorter than ``length`` keep all. Rows that share an id don't
-    take from each other. A row without an id keeps all and takes nothing. Repeated rows give as
+    take from each other; if their texts differ, one of them is judged and the others keep all. A row without an id keeps all and takes nothing. Repeated rows give as
     many rows. Other columns of ``docs`` are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    prints = [F.xxhash64("text").alias("print_a"), F.xxhash64(F.lit(1), "text").alias("print_b"), F.octet_length("text").cast("long").alias("n_bytes")]
-    marked = texts.select("doc_id", *prints)
-    same = ["print_a", "print_b", "n_bytes"]
-    named = marked.where("doc_id is not null")
-    rep = named.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    # a copy of a whole earlier document goes as a whole
-    copies = written(named.join(rep, same).where("doc_id > rep").select("doc_id", *same).distinct(), "copies")
-    total = marked.agg(F.sum("n_bytes")).first()[0] or 0
+    named = texts.where("doc_id is not null")
+    own = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").cast("long").alias("n_bytes"))
+    texts_of = cut(named.select("doc_id", own.alias("print")).groupBy("doc_id").agg(F.min("print").alias("print")))
+    total = texts_of.agg(F.sum("print.n_bytes")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET))
-    key = [F.col("doc_id"), *prints]
-    left = texts.where("doc_id is not null").select(*key, "text").join(copies, ["doc_id", *same], "left_anti").select("doc_id", "text", "print_a")
-
-    rows = left.where(F.octet_length("text") >= length)
-    found = rows.select("doc_id", "text").mapInArrow(_keys(length, buckets), "bucket long, known boolean, packed binary").groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
-    shared = written(found, "keys").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    cut_out = rows.join(shared, "doc_id").mapInArrow(_cut_out(length), "key long, doc_id long, print_a long, start long, piece binary")
-    cut_out = written(cut_out.withColumn("print", F.xxhash64("piece")), "pieces")
-    distinct = cut_out.groupBy("key", "print", "piece").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    owners = distinct.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket").applyInArrow(_first_owner(length), "key long, print long, a long, b long, owner long")
-    hits = cut_out.select("key", "print", "doc_id", "print_a", "start").join(owners, ["key", "print"]).where("owner < doc_id")
-    runs = hits.groupBy("doc_id", "print_a").agg(F.collect_list(F.struct((F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b"))).alias("runs"))
-    whole = copies.where(F.col("n_bytes") >= length).select("doc_id", *same, F.lit(True).alias("whole"))
-    runs = written(runs, "runs")
-    judged = texts.select(*key, "text").join(whole, ["doc_id", *same], "left").join(runs, ["doc_id", "print_a"], "left")
-    everything = F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n_bytes").alias("b")))
-    judged = judged.select("doc_id", "text", F.when(F.col("whole"), everything).otherwise(F.col("runs")).alias("runs"))
-    cleaned = judged.mapInArrow(_remove, "doc_id long, kept binary, n_removed long, n_spans long")
+    earliest = texts_of.groupBy("print").agg(F.min("doc_id").alias("rep"))
+    # a copy of a whole earlier document goes as a whole and is not compared any further
+    states = texts_of.join(earliest, "print").select("doc_id", "print", (F.col("doc_id") > F.col("rep")).alias("copy"))
+    marked = texts.join(states, "doc_id", "left").withColumn("judged", F.coalesce(F.col("print") == own, F.lit(False)))
+    stored = _bucketed(marked.select("doc_id", "text", "judged", (F.col("judged") & F.col("copy")).alias("copy")))
+
+    rows = stored.where(F.col("judged") & ~F.col("copy") & (F.octet_length("text") >= length)).select("doc_id", "text")
+    found = rows.mapInArrow(_keys(length, buckets), "bucket long, known boolean, packed binary").groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
+    shared = found.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    packed = rows.join(shared, "doc_id").select("doc_id", "text", "keys").mapInArrow(_cut_out(length, buckets), "bucket long, known boolean, n long, packed binary")
+    lost = packed.groupBy("bucket").applyInArrow(_first_owner(length), "doc_id long, a long, b long")
+    runs = lost.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    size = F.octet_length("text").cast("long")
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("a"), size.alias("b")))
+    lose = F.when(F.col("copy") & (size >= length), everything).when(F.col("judged") & ~F.col("copy"), F.col("runs"))
+    cleaned = stored.join(runs, "doc_id", "left").select("doc_id", "text", lose.alias("runs")).mapInArrow(_remove, "doc_id long, kept binary, n_removed long, n_spans long")
     return cleaned.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
+
+
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """The rows as a table bucketed by doc_id in the shared folder: joins on it move only the other side."""
+    spark = rows.sparkSession
+    name = f"llm_texts_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = rows.write.format("parquet").option("compression", "zstd").option("path", f"{shared_folder(spark)}/{name}")
+    writer.bucketBy(parts, "doc_id").saveAsTable(name)
+    return spark.table(name)
