@@ -3,9 +3,9 @@
 Every shingle is hashed once; its bin is one part of the hash and its value another, so a signature
 takes one pass (one-permutation hashing). Empty bins copy the value of a bin that a hash of (bin,
 attempt) picks, tried until it is not empty (optimal densification). Bands of bins give buckets.
-In a bucket only pairs with its smallest document are candidates, so a bucket of n documents gives
-n - 1 pairs; documents that turn out unlike it form a new star among themselves, until none is
-left. Candidates are confirmed on the full shingle sets.
+In a bucket only pairs with one document, its centre, are candidates, so a bucket of n documents
+gives n - 1 pairs. Documents of a bucket that stay in different components meet again in finer
+buckets around other centres, until a round joins none. Candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -132,7 +132,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     members = written(spread.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "buckets")
     named = members.select("doc_id").distinct()
     sets = written(docs.join(named, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
-    links = _confirmed(members, sets, percent)
+    links = _confirmed(members, reps, sets, percent)
     place = components(links).toDF("rep", "component")
     own = signed.join(same, ["set_a", "set_b", "n_shingles"], "left").join(place, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
@@ -150,25 +150,54 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
 
 
-def _confirmed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (src, dst) found by stars in ``members(bucket, doc_id)`` until every bucket is used up."""
-    tested = links = None
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (doc_id, centre) whose full sets are alike, as links (src, dst)."""
+    size = lambda c: F.size(c).cast("long")
+    both = pairs.join(sets, "doc_id").join(sets.toDF("centre", "other"), "centre")
+    both = both.withColumn("common", size(F.array_intersect("shingles", "other")))
+    alike = 100 * F.col("common") >= percent * (size("shingles") + size("other") - F.col("common"))
+    return both.where(alike).select(F.col("doc_id").alias("src"), F.col("centre").alias("dst")).distinct()
+
+
+def _confirmed(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (src, dst) between documents of ``members(bucket, doc_id)``, confirmed on full sets.
+
+    First every bucket is a star around its smallest document. Where that leaves documents of a
+    bucket in different components, they form finer buckets of two bands each, whose stars have
+    other centres in each round, until a round joins no more components.
+    """
+    centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
+    pairs = members.join(centre, "bucket").where("doc_id <> centre").select("doc_id", "centre").distinct()
+    links = cut(_alike(pairs, sets, percent))
+    place = cut(components(links))
+    located = _located(members, place)
+    mixed_up = located.join(_mixed(located).select("bucket"), "bucket").select("doc_id").distinct()
+    pairs_of_bands = F.expr(
+        "flatten(transform(sequence(1, 4), s -> transform(sequence(1, size(bands)), i -> "
+        "xxhash64(i, s, element_at(bands, i), element_at(bands, (i + s - 1) % size(bands) + 1)))))"
+    )
+    finer = reps.join(mixed_up, "doc_id", "left_semi").select("doc_id", F.explode(pairs_of_bands).alias("bucket")).distinct()
+    finer = cut(finer)
+    tested, turn = pairs.limit(0), 0
     while True:
-        centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"), F.max("doc_id").alias("last")).where("centre < last")
-        stars = cut(members.join(centre.select("bucket", "centre"), "bucket").where("doc_id <> centre"))
-        if stars.isEmpty():
-            return links if links is not None else stars.select(F.col("doc_id").alias("src"), F.col("centre").alias("dst"))
-        pairs = stars.select("doc_id", "centre").distinct()
-        new = pairs if tested is None else pairs.join(tested, ["doc_id", "centre"], "left_anti")
-        size = lambda c: F.size(c).cast("long")
-        both = new.join(sets, "doc_id").join(sets.toDF("centre", "other"), "centre")
-        common = both.withColumn("common", size(F.array_intersect("shingles", "other")))
-        alike = 100 * F.col("common") >= percent * (size("shingles") + size("other") - F.col("common"))
-        judged = cut(common.select("doc_id", "centre", alike.alias("alike")).groupBy("doc_id", "centre").agg(F.max("alike").alias("alike")))
-        found = judged.where("alike").select(F.col("doc_id").alias("src"), F.col("centre").alias("dst"))
-        links = found if links is None else links.unionByName(found)
-        judged = judged.select("doc_id", "centre")
-        tested = judged if tested is None else tested.unionByName(judged)
-        # what is linked with its centre is settled in this bucket; the rest forms another star
-        rest = stars.join(links.toDF("doc_id", "centre"), ["doc_id", "centre"], "left_anti")
-        members = rest.select("bucket", "doc_id")
+        located = _located(finer, place)
+        turn += 1
+        order = F.struct(F.xxhash64(F.lit(turn), "bucket", "doc_id"), F.col("doc_id").alias("id"), F.col("component").alias("of"))
+        heads = _mixed(located, F.min(order).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of"))
+        stars = located.join(heads, "bucket").where("component <> of").select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre"))
+        new = cut(stars.distinct().join(tested, ["doc_id", "centre"], "left_anti"))
+        found = cut(_alike(new, sets, percent))
+        if found.isEmpty():
+            return links
+        tested = tested.unionByName(new)
+        links = links.unionByName(found)
+        place = cut(components(links))
+
+
+def _located(members: DataFrame, place: DataFrame) -> DataFrame:
+    return members.join(place.toDF("doc_id", "at"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("at", "doc_id").alias("component"))
+
+
+def _mixed(located: DataFrame, *more) -> DataFrame:
+    """The buckets with documents of more than one component."""
+    return located.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), *more).where("low < high")
