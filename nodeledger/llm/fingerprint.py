@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -183,30 +184,54 @@ def with_edits(docs: DataFrame) -> DataFrame:
     by the first as many of the next document in ascending doc_id, the first one following the
     last. ``common_bytes`` is the longest common extension of the beginnings of text and edit.
 
-    Rows that share an id have the same next document; of several texts of that one the first in
-    text order serves. A row without an id has no next document: nothing is put in, near_next is 0.
+    Rows that share an id have the same next document; of several texts of that one any
+    serves, always the same one. A row without an id has no next document: nothing is put in, near_next is 0.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ids = texts.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("n_chars"))
-    placed = texts.join(cut(followers(ids)), "doc_id", "left")
-    # the next document's head travels to the one before it, the texts themselves are shuffled once
-    sent = placed.where("before is not null").select(F.col("before").alias("doc_id"), F.expr("substring(text, 1, cast(n_before div 4 as int))").alias("head"), "text")
-    heads = fingerprints(sent, "head").groupBy("doc_id").agg(F.min(F.struct("head", "fingerprint")).alias("next"))
-    n = F.length("text").cast("long")
-    both = placed.join(heads, "doc_id", "left").withColumn("n_chars", n)
-    edited = F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 4 as int)), coalesce(substring(next.head, 1, cast(n_chars div 4 as int)), ''))")
-    rows = both.select("doc_id", "text", edited.alias("edited"), F.col("next.fingerprint").alias("next_fingerprint"), "n_chars")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, len(batch), 500):
-                part = batch.slice(i, 500)
-                out = []
-                for text, edit, following in zip(_views(part.column(1)), _views(part.column(2)), part.column(3).to_pylist()):
-                    a, b = Text(text), Text(edit)
-                    own, new = a.fingerprint(), b.fingerprint()
-                    out.append((own, new, likeness(own, new), likeness(own, following) if following else 0.0, a.common_extension(0, b, 0)))
-                columns = [pa.array(c, k) for c, k in zip(zip(*out), (pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(4), part.column(2), *columns], names=["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_bytes"])
-
-    return rows.mapInArrow(run, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_bytes long")
+    # texts travel compressed, and once: both uses of the join below share its shuffle
+    packed = texts.mapInArrow(_pack, "doc_id long, packed binary")
+    placed = packed.join(cut(followers(ids)), "doc_id", "left")
+    sent = placed.select(F.col("before").alias("doc_id"), "packed", F.col("n_before")).mapInArrow(_heads, "doc_id long, head binary, fingerprint string")
+    heads = sent.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("head", "fingerprint")).alias("next"))
+    rows = placed.join(heads, "doc_id", "left").select("doc_id", "packed", F.col("next.head").alias("head"), F.col("next.fingerprint").alias("next_fingerprint"))
+    return rows.mapInArrow(_compare, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_bytes long")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codec = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.compress(t) for t in _views(batch.column(1))], pa.binary())], names=["doc_id", "packed"])
+
+
+def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The part of each text that the document before it takes, and the text's fingerprint."""
+    pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    for batch in batches:
+        heads, prints = [], []
+        for before, packed, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if before is None:
+                heads.append(None)
+                prints.append(None)
+                continue
+            text = unpack.decompress(packed)
+            heads.append(pack.compress(text.decode()[: n // 4].encode()))
+            prints.append(Text(text).fingerprint())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.binary()), pa.array(prints, pa.string())], names=["doc_id", "head", "fingerprint"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for i in range(0, len(batch), 500):
+            part, out = batch.slice(i, 500), []
+            for packed, head, following in zip(*(c.to_pylist() for c in part.columns[1:])):
+                raw = unpack.decompress(packed)
+                text = raw.decode()
+                quarter = len(text) // 4
+                edited = text[: len(text) - quarter] + (unpack.decompress(head).decode()[:quarter] if head is not None else "")
+                a, b = Text(raw), Text(edited)
+                own, new = a.fingerprint(), b.fingerprint()
+                out.append((len(text), edited, own, new, likeness(own, new), likeness(own, following) if following else 0.0, a.common_extension(0, b, 0)))
+            kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_bytes"])
