@@ -207,26 +207,43 @@ def loaded(path: str) -> WordTokenizer:
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of unsigned 32-bit values."""
+def pack(values: np.ndarray, counts: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    """Control and data bytes of documents with ``counts`` unsigned 32-bit values each, with offsets."""
     values = np.ascontiguousarray(values, "<u4")
-    size = 1 + (values > 0xFF) + (values > 0xFFFF).astype(int) + (values > 0xFFFFFF)
-    codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = size - 1
-    control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), values.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]].tobytes()
-
-
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    size = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
+    size = 1 + (values > 0xFF) + (values > 0xFFFF).astype(np.int64) + (values > 0xFFFFFF)
+    lines = np.concatenate([[0], np.cumsum(-(-counts // 4))])
+    codes = np.zeros(4 * lines[-1], np.uint8)
+    codes[np.arange(len(values)) + np.repeat(4 * lines[:-1] - (np.cumsum(counts) - counts), counts)] = size - 1
+    control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
+    at = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
+    return (control, lines), (values.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]], at)
+
+
+def unpack(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The values of documents whose control and data bytes follow each other."""
+    lines = -(-counts // 4)
+    used = np.arange(counts.sum()) + np.repeat(4 * (np.cumsum(lines) - lines) - (np.cumsum(counts) - counts), counts)
+    size = _LENGTHS[control].ravel()[used]
     at = np.cumsum(size) - size
-    padded = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    out = padded[at]
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    out = padded[at].astype(np.uint32)
     for k in range(1, int(size.max(initial=1))):
-        out |= np.where(size > k, padded[at + k], 0).astype(np.uint32) << np.uint32(8 * k)
+        longer = np.flatnonzero(size > k)
+        out[longer] |= padded[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
 
 
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column and the size of each entry."""
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8), np.diff(at)
+
+
+def _binary(data: np.ndarray, at: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 # --- Spark --------------------------------------------------------------------------------------
 
 
@@ -262,8 +279,7 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 1)
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in (b"".join(batch.column(0)[i : i + 64].to_pylist()) for i in range(0, len(batch), 64)):
-                total += np.bincount(np.frombuffer(ids, kind), minlength=vocabulary)
+            total += np.bincount(_bytes_of(batch.column(0))[0].view(kind), minlength=vocabulary)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
@@ -276,9 +292,10 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 1)
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [np.frombuffer(x.as_buffer(), kind) for x in batch.column(1)]
-            control, data = zip(*(pack(rank_of[x]) for x in ids)) if ids else ((), ())
-            columns = [batch.column(0), pa.array([*map(len, ids)], pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())]
+            raw, size = _bytes_of(batch.column(1))
+            n = size // np.dtype(kind).itemsize
+            control, data = pack(rank_of[raw.view(kind)], n)
+            columns = [batch.column(0), pa.array(n, pa.int64()), _binary(*control), _binary(*data)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "control", "data"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,8 +325,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_id, n, control, data, part, before = batch.columns
-            out = [ids[unpack(c.as_py(), d.as_py(), k)].tobytes() for c, d, k in zip(control, data, n.to_pylist())]
-            yield pa.RecordBatch.from_arrays([doc_id, n, pa.array(out, pa.binary()), part, before], names=["doc_id", "n_tokens", "ids", "part", "before"])
+            counts = n.to_numpy()
+            values = ids[unpack(_bytes_of(control)[0], _bytes_of(data)[0], counts)]
+            out = _binary(values.view(np.uint8), 4 * np.concatenate([[0], np.cumsum(counts)]))
+            yield pa.RecordBatch.from_arrays([doc_id, n, out, part, before], names=["doc_id", "n_tokens", "ids", "part", "before"])
 
     decoded = rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, part int, before long")
     return decoded.join(F.broadcast(ahead), "part").select("doc_id", (F.col("before") + F.col("ahead")).alias("start"), "n_tokens", "ids")
