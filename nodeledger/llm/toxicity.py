@@ -109,7 +109,9 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     votes[owner[which >= 0], which[which >= 0]] = 1
     posterior = label_model(votes, float(np.clip(y.mean(), 0.02, 0.98)))
     weights, bias = linear.fit_ftrl(rows, posterior, alpha=0.3, l1=5.0, width=len(known))
-    return known[weights != 0], weights[weights != 0], bias
+    used = weights != 0
+    used[0] = True  # at least one feature to look up
+    return known[used], weights[used], bias
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
