@@ -107,7 +107,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
     owner, which = np.repeat(np.arange(len(y)), np.diff(rows.at)), column[rows.index]
     votes = np.zeros((len(y), len(chosen)))
     votes[owner[which >= 0], which[which >= 0]] = 1
-    posterior = label_model(votes, float(np.clip(y.mean(), 0.02, 0.98)))
+    # even odds before any vote: the voter for clean texts carries how common those are
+    posterior = label_model(votes, 0.5)
     weights, bias = linear.fit_ftrl(rows, posterior, alpha=0.3, l1=5.0, width=len(known))
     used = weights != 0
     used[0] = True  # at least one feature to look up
