@@ -19,6 +19,14 @@ from nodeledger.schema import (
 )
 
 
+# Texts that stand for a missing value, and the range of times with nanoseconds in 64 bits.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+FIRST_TIME, LAST_TIME = "1677-09-21 00:12:43.145225", "2262-04-11 23:47:16.854775"
+
+
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Lower-case names, keep the known columns in order and give them their types.
 
@@ -33,23 +41,37 @@ def typed_columns(df: DataFrame, types: dict[str, str]) -> list[Column]:
     """The named columns with the given types; what cannot be converted becomes null.
 
     Whole numbers may be written with a decimal point, as a column with missing values often is.
+    Texts that stand for a missing value become null, and so does a double that is not a number.
     """
     present = dict(df.dtypes)
 
     def converted(name: str, wanted: str) -> Column:
         value = F.col(name)
+        if present[name] == "string":
+            value = F.when(~value.isin(*MISSING_TEXTS), value)
+        elif present[name] in ("double", "float"):
+            value = F.when(~F.isnan(value), value)
         if present[name] == wanted:
-            return value
+            return value.alias(name)
         if present[name] == "string" and wanted in ("bigint", "int"):
             value = value.try_cast("double")
-        return value.try_cast(wanted).alias(name)
+        value = value.try_cast(wanted)
+        if present[name] == "string" and wanted == "double":
+            value = F.when(~F.isnan(value), value)
+        return value.alias(name)
 
     return [converted(c, t) for c, t in types.items()]
 
 
 def parse_timestamps(df: DataFrame, columns: Sequence[str] = TIMESTAMP_COLUMNS) -> DataFrame:
-    """Turn text times into timestamps; unreadable text becomes null."""
-    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in columns if c in df.columns})
+    """Turn text times into timestamps; unreadable text and times out of range become null."""
+    first, last = (F.lit(t).cast("timestamp_ntz") for t in (FIRST_TIME, LAST_TIME))
+
+    def parsed(name: str) -> Column:
+        time = F.col(name).try_cast("timestamp_ntz")
+        return F.when(time.between(first, last), time)
+
+    return df.withColumns({c: parsed(c) for c in columns if c in df.columns})
 
 
 def _not_negative(value: Column) -> Column:

@@ -76,7 +76,16 @@ def slices_present(df: DataFrame) -> DataFrame:
 
 
 def in_period(df: DataFrame, year: int, month: int | None = None) -> DataFrame:
-    """Jobs that started in one year, or in one month of it."""
+    """Jobs that started in one year, or in one month of it.
+
+    The period is a range of the start time, which a scan can use, and names the folders of a log
+    that is partitioned by start year and month.
+    """
+    after = (year + 1, 1) if month is None or month == 12 else (year, month + 1)
+    first, end = (F.lit(f"{y:04d}-{m:02d}-01").cast("timestamp_ntz") for y, m in ((year, month or 1), after))
     start = F.col("start_timestamp")
-    kept = df.filter(F.year(start) == year)
-    return kept if month is None else kept.filter(F.month(start) == month)
+    kept = df.filter((start >= first) & (start < end))
+    for name, value in (("start_year", year), ("start_month", month)):
+        if name in df.columns and value is not None:
+            kept = kept.filter(F.col(name) == value)
+    return kept

@@ -158,8 +158,10 @@ def utilization_rolling(
     """Mean utilization of the day that ends at each grid point.
 
     A point is copied to its own day and the next, and each pair of days is averaged on its own: a
-    day's sum is the running sum less the running sum one day before.
+    day's sum is the running sum less the running sum one day before. ``minutes`` divides a day.
     """
+    if _SECONDS_PER_DAY % (minutes * 60):
+        raise ValueError(f"a day has no whole number of steps of {minutes} minutes")
     per_day = _SECONDS_PER_DAY // (minutes * 60)
     own = F.floor(F.col("grid_index") / per_day)
     copies = grid.withColumn("_own", own).withColumn(

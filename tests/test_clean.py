@@ -117,3 +117,19 @@ def test_success_and_valid_queues(make_jobs):
     assert (dropped.rows_before, dropped.rows_kept, dropped.rows_dropped) == (4, 2, 2)
     with pytest.raises(ValueError):
         clean.valid_queue_jobs(jobs, None)
+
+
+def test_missing_value_texts_and_times_out_of_range(spark, tmp_path):
+    from nodeledger.operators.clean import clean_jobs, normalize_columns, parse_timestamps
+    from nodeledger.schema import RAW_TYPES
+
+    good = {c: "1" for c in RAW_TYPES} | {"walltime_seconds": "7200", "runtime_seconds": "3600", "exit_code": "0"}
+    good |= {"queued_timestamp": "2024-01-01 00:00:00", "start_timestamp": "2024-01-01 01:00:00", "end_timestamp": "2024-01-01 02:00:00"}
+    words = ("NaN", "nan", "NA", "N/A", "null", "")
+    rows = [good | {c: w} for c in RAW_TYPES for w in words] + [good | {"end_timestamp": "9999-12-31 00:00:00"}]
+    raw = spark.createDataFrame([tuple(r[c] for c in RAW_TYPES) for r in rows], ", ".join(f"{c} string" for c in RAW_TYPES))
+    typed = parse_timestamps(normalize_columns(raw)).collect()
+    for k, c in enumerate(RAW_TYPES):
+        assert all(r[c] is None for r in typed[k * len(words) : (k + 1) * len(words)])
+    assert typed[-1]["end_timestamp"] is None
+    assert all(r.queue_name != "NaN" and r.walltime_seconds == r.walltime_seconds for r in clean_jobs(raw).collect())
