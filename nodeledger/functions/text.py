@@ -49,11 +49,3 @@ def format_hundredths(number: Column) -> Column:
 
 def format_count(n: Column) -> Column:
     return F.format_number(n, 0)
-
-
-def compact_seconds(seconds: float) -> str:
-    """Largest whole unit of a bin bound, e.g. ``30m``."""
-    for size, unit in ((3600, "h"), (60, "m")):
-        if seconds >= size:
-            return f"{int(seconds / size)}{unit}"
-    return f"{int(seconds)}s"

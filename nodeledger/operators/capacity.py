@@ -5,19 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nodeledger.functions.times import seconds_between
 from nodeledger.operators.slices import slice_keys, with_slices
 from nodeledger.operators.utilization import valid_intervals, with_capacity
 from nodeledger.plans.ordered_scan import ordered_scan
-from nodeledger.plans.settle import has_at_most, settle
+from nodeledger.plans.settle import settle
 from nodeledger.schema import MIN_OVER_CAPACITY_SECONDS
 
-# A moment takes about 40 bytes, so that at most some 8 MB are broadcast.
-BROADCAST_MOMENTS = 200_000
-DAY_PARTS = 32
+# Moments of a day that travel together: some 40 kB.
+MOMENTS_TOGETHER = 1000
 
 
 def over_capacity_intervals(
@@ -77,10 +76,10 @@ def over_capacity_jobs(
 ) -> DataFrame:
     """Jobs running at the start and at the end of each interval.
 
-    The instants of a day are one sorted array, and a job meets one array per day it touches, so
-    only true matches are produced. Few moments are broadcast; otherwise each day's array is given
-    to several parts of the day, among which its jobs are spread. Intervals of at least a minute
-    leave at most 2,880 moments in a day.
+    The instants of a day are packed into arrays of at most a thousand, and a job meets those of
+    each day it touches, so only true matches are produced. Jobs are reduced to the days that have
+    instants before anything else; the adaptive planner broadcasts few arrays and splits a day
+    that has most jobs.
     """
     edges = F.array(
         F.struct(F.col("start_timestamp").alias("instant"), "interval_no", F.lit("start").alias("edge")),
@@ -89,25 +88,20 @@ def over_capacity_jobs(
     keys = slice_keys(slices)
     moments = intervals.select(*keys, F.inline(edges)).withColumn("_day", F.to_date("instant"))
     moments = settle(moments)
-    by_day = moments.groupBy(*keys, "_day").agg(
-        F.array_sort(F.collect_list(F.struct("instant", "interval_no", "edge"))).alias("_moments")
+    in_day = Window.partitionBy(*keys, "_day").orderBy("instant", "interval_no", "edge")
+    together = F.floor((F.row_number().over(in_day) - 1) / MOMENTS_TOGETHER)
+    packed = (
+        moments.withColumn("_pack", together)
+        .groupBy(*keys, "_day", "_pack")
+        .agg(F.collect_list(F.struct("instant", "interval_no", "edge")).alias("_moments"))
     )
-    small = has_at_most(moments, BROADCAST_MOMENTS)
 
     touched = F.sequence(F.to_date("start_timestamp"), F.to_date("end_timestamp"))
-    jobs = with_slices(valid_intervals(df), slices).select(*keys, *_JOB)
-    jobs = jobs.withColumn("_day", F.explode(touched))
-    on = [*keys, "_day"]
-    if small:
-        by_day = F.broadcast(by_day)
-    else:
-        part = F.pmod(F.xxhash64("job_name", "start_timestamp", "end_timestamp"), F.lit(DAY_PARTS))
-        parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(DAY_PARTS - 1).cast("bigint")))
-        jobs, by_day = jobs.withColumn("_part", part), by_day.withColumn("_part", parts)
-        on = [*on, "_part"]
+    jobs = valid_intervals(df).select(*_JOB).withColumn("_day", F.explode(touched))
+    jobs = with_slices(jobs.join(moments.select("_day").distinct(), "_day", "left_semi"), slices)
 
     def hit(moment):
         return (moment["instant"] >= F.col("start_timestamp")) & (moment["instant"] < F.col("end_timestamp"))
 
-    matched = jobs.join(by_day, on).select(*keys, *_JOB, F.inline(F.filter("_moments", hit)))
+    matched = jobs.join(packed, [*keys, "_day"]).select(*keys, *_JOB, F.inline(F.filter("_moments", hit)))
     return matched.select(*keys, "interval_no", "edge", "instant", *_JOB)

@@ -167,22 +167,33 @@ def successful_jobs(df: DataFrame) -> DataFrame:
     return df.filter(F.col("exit_code").isin(*SUCCESS_EXIT_CODES))
 
 
-def _require_queues(queues) -> tuple[str, ...]:
-    if not queues:
+def _marked(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:
+    """``df`` with ``_valid``: whether the job's queue is configured."""
+    if queues is None or (not isinstance(queues, DataFrame) and not queues):
         raise ValueError("a list of valid queues is required")
-    return tuple(q for q in queues if q is not None)
+    if isinstance(queues, DataFrame):
+        names = queues.select(F.col("queue_name"), F.lit(True).alias("_valid")).dropna().distinct()
+        return df.join(names, "queue_name", "left").withColumn("_valid", F.coalesce("_valid", F.lit(False)))
+    listed = F.col("queue_name").isin(*[q for q in queues if q is not None])
+    return df.withColumn("_valid", F.coalesce(listed, F.lit(False)))
 
 
-def valid_queue_jobs(df: DataFrame, queues: Sequence[str]) -> DataFrame:
-    """Jobs of the configured queues. The list is literal, so the filter reaches the scan."""
-    return df.filter(F.col("queue_name").isin(*_require_queues(queues)))
+def valid_queue_jobs(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:
+    """Jobs of the configured queues: a table ``queues(queue_name)``, or a few names written out.
+
+    A table of any length is a semi-join; names are literals of a filter that reaches the scan.
+    """
+    if isinstance(queues, DataFrame):
+        return df.join(queues.select("queue_name"), "queue_name", "left_semi").select(*df.columns)
+    return _marked(df, queues).filter("_valid").select(*df.columns)
 
 
-def dropped_queue_jobs(df: DataFrame, queues: Sequence[str]) -> DataFrame:
+def dropped_queue_jobs(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:
     """Number of jobs kept and dropped by :func:`valid_queue_jobs`."""
-    kept = F.coalesce(F.col("queue_name").isin(*_require_queues(queues)), F.lit(False))
-    return df.agg(
-        F.count("*").alias("rows_before"),
-        F.count_if(kept).alias("rows_kept"),
-        F.count_if(~kept).alias("rows_dropped"),
+    per_queue = df.groupBy("queue_name").agg(F.count("*").alias("_jobs"))
+    jobs = lambda of: F.coalesce(F.sum(F.when(of, F.col("_jobs"))), F.lit(0))
+    return _marked(per_queue, queues).agg(
+        jobs(F.lit(True)).alias("rows_before"),
+        jobs(F.col("_valid")).alias("rows_kept"),
+        jobs(~F.col("_valid")).alias("rows_dropped"),
     )

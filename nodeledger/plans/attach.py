@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 def attach(df: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the columns of ``summary``, which has one row per key, to ``df``.
 
-    Keys are slices and queues. A summary therefore has at most one row per month of the calendar
-    and configured queue, whatever the number of jobs, and is broadcast: a shuffle by slice would
-    put the whole log's slice into one task. Without keys the summary is a single row and becomes
-    a scalar subquery.
+    Both are aggregates. The adaptive planner broadcasts the summary where its measured size allows
+    that, and splits a slice that holds most rows otherwise. Without keys the summary is a single
+    row and becomes a scalar subquery.
     """
     added = [c for c in summary.columns if c not in keys]
     if keys:
-        return df.join(F.broadcast(summary), list(keys))
+        return df.join(summary, list(keys))
     packed = summary.select(F.struct(*added).alias("_summary")).scalar()
     return df.withColumn("_summary", packed).select(*df.columns, *[F.col(f"_summary.{c}") for c in added])

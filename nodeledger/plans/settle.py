@@ -31,8 +31,3 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from there."""
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether a settled ``df`` is small, found without reading more than that many rows."""
-    return df.limit(rows + 1).count() <= rows

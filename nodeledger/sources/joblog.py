@@ -28,28 +28,42 @@ def read_raw_log(spark: SparkSession, path: str) -> DataFrame:
 def scan_job_logs(spark: SparkSession, *folders: str) -> DataFrame:
     """All raw logs in the given folders; configuration and already cleaned files are skipped.
 
-    The files of a folder must share one column layout: it is taken from one of them, and reading
-    stops with an error at a file whose header differs. Folders may differ from each other.
-    Files are chosen by name while they are listed, so a skipped file is never opened.
+    Files may differ in the order of their columns and in additional ones; columns are taken by name.
+    A file without one of the columns is an error.
     ``source_file`` is the name of the file a row is from.
     """
     return reduce(DataFrame.unionByName, [_scan_folder(spark, f) for f in folders])
 
 
+def _layouts(spark: SparkSession, folder: str) -> list[list[str]]:
+    """The log files of a folder, grouped by their first line.
+
+    First lines are found by a pass over the text; what comes back are paths, which Spark lists to
+    plan a scan anyway.
+    """
+    text = spark.read.option("pathGlobFilter", LOG_FILES).text(folder)
+    lines = text.select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line")
+    ).filter(_is_log(F.col("name")) & (F.col("at") == 0))
+    first = lines.groupBy("path").agg(F.min_by("value", "line").alias("header"))
+    return [r.paths for r in first.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()]
+
+
 def _scan_folder(spark: SparkSession, folder: str) -> DataFrame:
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", LOG_FILES).load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    sample = listed.select("path").filter(_is_log(name)).limit(1).collect()
-    if not sample:
+    layouts = _layouts(spark, folder)
+    if not layouts:
         raise FileNotFoundError(f"no job log in {folder}")
-    names = spark.read.option("header", True).csv(sample[0][0]).columns
+    return reduce(DataFrame.unionByName, [_scan_layout(spark, paths) for paths in layouts])
+
+
+def _scan_layout(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Files with one header between them; a file with another one stops the reading."""
+    names = spark.read.option("header", True).csv(paths[0]).columns
     raw = (
         spark.read.schema(", ".join(f"`{c}` string" for c in names))
         .option("header", True)
         .option("enforceSchema", False)
-        .option("pathGlobFilter", LOG_FILES)
-        .csv(folder)
-        .filter(_is_log(F.col("_metadata.file_name")))
+        .csv(paths)
         .select("*", F.col("_metadata.file_name").alias("source_file"))
     )
     lowered = raw.toDF(*[c.strip().lower() for c in raw.columns])

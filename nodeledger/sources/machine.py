@@ -1,7 +1,7 @@
 """Machine configuration: bins, capacity and the list of valid queues.
 
-These are hand-written files of a few rows. They become plan literals, so that binning is a
-projection and queue filters reach the scan; a file too long to be one is refused.
+Bins and capacity become plan literals, so that binning is a projection: every bin is a row or a
+column of the results. The queue list stays a table, whatever its length.
 """
 
 from __future__ import annotations
@@ -13,9 +13,15 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeledger.functions.text import compact_seconds
 
-MAX_CONFIG_ROWS = 10_000
+# Seconds of the units of short labels.
+UNITS = {"h": 3600, "m": 60, "s": 1}
+
+
+def _short(seconds: float) -> str:
+    """Whole number of the largest unit that fits."""
+    unit = next((u for u, size in UNITS.items() if size <= seconds), "s")
+    return f"{math.floor(seconds / UNITS[unit])}{unit}"
 
 
 @dataclass(frozen=True)
@@ -34,9 +40,8 @@ class Bin:
 
     @property
     def duration_label(self) -> str:
-        if math.isinf(self.hi):
-            return f">{compact_seconds(self.lo)}"
-        return f"{compact_seconds(self.lo)}–{compact_seconds(self.hi)}"
+        ends = [_short(b) for b in (self.lo, self.hi) if b < math.inf]
+        return "–".join(ends) if len(ends) == 2 else ">" + ends[0]
 
 
 @dataclass(frozen=True)
@@ -46,14 +51,7 @@ class Machine:
     size_bins: tuple[Bin, ...]
     walltime_bins: tuple[Bin, ...]
     max_nodes: int = 0
-    queues: tuple[str, ...] | None = None
-
-
-def _config_rows(df: DataFrame) -> list:
-    rows = df.limit(MAX_CONFIG_ROWS + 1).collect()
-    if len(rows) > MAX_CONFIG_ROWS:
-        raise ValueError(f"a configuration file has more than {MAX_CONFIG_ROWS} rows")
-    return rows
+    queues: DataFrame | tuple[str, ...] | None = None
 
 
 def _read_config(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -67,20 +65,19 @@ def _read_config(spark: SparkSession, directory: str, name: str) -> DataFrame:
 def read_bins(spark: SparkSession, directory: str, name: str) -> tuple[Bin, ...]:
     df = _read_config(spark, directory, name)
     bounds = df.select("name", F.col("min").cast("double"), F.col("max").cast("double"))
-    return tuple(Bin(r[0], r[1], r[2]) for r in _config_rows(bounds))
+    return tuple(Bin(r[0], r[1], r[2]) for r in bounds.collect())
 
 
 def read_machine(spark: SparkSession, directory: str, with_queues: bool = False) -> Machine:
     """Read ``job_dimension.csv``, ``walltime.csv``, ``max_nodes.csv`` and, on request,
-    ``queue_names.csv`` of a machine directory."""
-    capacity = _config_rows(_read_config(spark, directory, "max_nodes.csv").select("max_nodes"))
+    ``queue_names.csv`` of a machine directory. The queues are a table with one column."""
+    capacity = _read_config(spark, directory, "max_nodes.csv").select("max_nodes").first()
     queues = None
     if with_queues:
-        names = _read_config(spark, directory, "queue_names.csv").select("queue_name")
-        queues = tuple(sorted(r[0] for r in _config_rows(names.dropna().distinct())))
+        queues = _read_config(spark, directory, "queue_names.csv").select("queue_name").dropna().distinct()
     return Machine(
         size_bins=read_bins(spark, directory, "job_dimension.csv"),
         walltime_bins=read_bins(spark, directory, "walltime.csv"),
-        max_nodes=int(capacity[0][0]),
+        max_nodes=int(capacity[0]),
         queues=queues,
     )

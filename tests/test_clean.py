@@ -117,6 +117,9 @@ def test_success_and_valid_queues(make_jobs):
     assert (dropped.rows_before, dropped.rows_kept, dropped.rows_dropped) == (4, 2, 2)
     with pytest.raises(ValueError):
         clean.valid_queue_jobs(jobs, None)
+    many = jobs.sparkSession.range(20_000).selectExpr("if(id = 7, 'q', concat('other', id)) queue_name")
+    assert names(clean.valid_queue_jobs(jobs, many)) == ["a", "d"]
+    assert clean.dropped_queue_jobs(jobs, many).first() == dropped
 
 
 def test_missing_value_texts_and_times_out_of_range(spark, tmp_path):

@@ -45,11 +45,17 @@ def test_scan_skips_other_files_and_reads_by_name(spark, tmp_path):
     assert joblog.read_raw_log(spark, str(two / "c.csv")).first().nodes_used == 2
 
 
-def test_scan_fails_on_a_differing_layout_and_without_logs(spark, tmp_path):
+def test_scan_reads_every_layout_of_a_folder_and_fails_without_logs(spark, tmp_path):
     write(tmp_path / "a.csv", csv(HEADER, ROW))
-    write(tmp_path / "b.csv", csv(list(reversed(HEADER)), list(reversed(ROW))))
-    with pytest.raises(Exception, match="header"):
-        joblog.scan_job_logs(spark, str(tmp_path)).collect()
+    write(tmp_path / "b.csv", csv(["more", *reversed(HEADER)], ["0", *reversed(["j2", *ROW[1:]])]))
+    write(tmp_path / "c.csv.gz", csv([c.lower() for c in HEADER], ["j3", *ROW[1:]]), packed=True)
+    write(tmp_path / "max_nodes.csv", "max_nodes\n12\n")
+    rows = {r.job_name: r for r in joblog.scan_job_logs(spark, str(tmp_path)).collect()}
+    assert {n: r.source_file for n, r in rows.items()} == {"j1": "a.csv", "j2": "b.csv", "j3": "c.csv.gz"}
+    assert {(r.queue_name, r.used_core_hours) for r in rows.values()} == {("q", 3.5)}
+    write(tmp_path / "d.csv", csv(HEADER[1:], ROW[1:]))
+    with pytest.raises(ValueError, match="job_name"):
+        joblog.scan_job_logs(spark, str(tmp_path))
     empty = tmp_path / "empty"
     empty.mkdir()
     with pytest.raises(FileNotFoundError):
@@ -107,7 +113,8 @@ def test_machine_configuration(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="queue_names"):
         machine.read_machine(spark, str(tmp_path), with_queues=True)
     write(tmp_path / "queue_names.csv", "queue_name,min_nodes\nq,1\n,\nr,1\n")
-    assert machine.read_machine(spark, str(tmp_path), with_queues=True).queues == ("q", "r")
+    queues = machine.read_machine(spark, str(tmp_path), with_queues=True).queues
+    assert sorted(r.queue_name for r in queues.collect()) == ["q", "r"]
 
 
 @pytest.mark.parametrize("levels", [None, ("all", "year", "month")])

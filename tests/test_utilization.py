@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from nodeledger.operators import capacity, trend
 from nodeledger.operators import utilization as u
 from nodeledger.plans.ordered_scan import ordered_scan
-from nodeledger.plans.settle import has_at_most
 
 
 def span(start, end, nodes=1, **more):
@@ -198,5 +197,13 @@ def test_trend_per_slice(make_jobs):
     assert len(a) == len(b) > 100 and np.allclose(a.trend_percent, b.trend_percent)
 
 
-def test_size_check(spark):
-    assert has_at_most(spark.range(3), 3) and not has_at_most(spark.range(4), 3)
+def test_jobs_at_more_moments_than_travel_together(make_jobs, monkeypatch):
+    monkeypatch.setattr(capacity, "MOMENTS_TOGETHER", 2)
+    peaks = [span(DAY + f"0{h}:00:00", DAY + f"0{h}:30:00", 20) for h in range(1, 6)]
+    jobs = make_jobs([span(DAY + "00:00:00", DAY + "09:00:00", 5), *peaks])
+    intervals = capacity.over_capacity_intervals(u.nodes_in_use(jobs), 12)
+    edges = {(r.interval_no, e, r[f"{e}_timestamp"]) for r in intervals.collect() for e in ("start", "end")}
+    runs = jobs.filter("nodes_used > 0 and start_timestamp < end_timestamp").collect()
+    expected = sorted((n, e, j.job_name) for n, e, t in edges for j in runs if j.start_timestamp <= t < j.end_timestamp)
+    found = capacity.over_capacity_jobs(jobs, intervals).collect()
+    assert sorted((r.interval_no, r.edge, r.job_name) for r in found) == expected and len(edges) == 10
