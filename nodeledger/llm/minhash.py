@@ -3,9 +3,9 @@
 Every shingle is hashed once; its bin is one part of the hash and its value another, so a signature
 takes one pass (one-permutation hashing). Empty bins copy the value of a bin that a hash of (bin,
 attempt) picks, tried until it is not empty (optimal densification). Bands of bins give buckets.
-In a bucket only pairs with one document, its centre, are candidates, so a bucket of n documents
-gives n - 1 pairs. Documents of a bucket that stay in different components meet again in finer
-buckets around other centres, until a round joins none. Candidates are confirmed on the full sets.
+In a bucket only pairs with one document, its centre, are candidates at first, so a bucket of n
+documents gives n - 1 pairs. Documents of a bucket that stay in different components are compared
+by an exact join on their rarest shingles. Candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from nodeledger.llm.wordhash import Block, blocks, mix
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 SETS = "doc_id long, shingles array<long>"
+#: Stars end when a round finds at most so many links per mixed bucket; counters by which shingles are ordered, in bits.
+FEW, RARITY_BITS = 0.02, 20
 
 
 def shingles(block: Block, words: int) -> list[np.ndarray]:
@@ -116,6 +118,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
 
     Two documents are linked if 100 * |A and B| >= percent * |A or B| for their shingle sets.
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is the own one.
+    A pair that shares a bucket is linked or joined by way of others for sure.
     With the default bands a pair at 0.85 misses all buckets with probability 0.000003.
 
     Null, empty and word-less texts have no shingles and are linked with nothing. A null doc_id has
@@ -132,7 +135,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     members = written(spread.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "buckets")
     named = members.select("doc_id").distinct()
     sets = written(docs.join(named, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
-    links = _confirmed(members, reps, sets, percent)
+    links = _confirmed(members, sets, percent)
     place = components(links).toDF("rep", "component")
     own = signed.join(same, ["set_a", "set_b", "n_shingles"], "left").join(place, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
@@ -159,39 +162,96 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(alike).select(F.col("doc_id").alias("src"), F.col("centre").alias("dst")).distinct()
 
 
-def _confirmed(members: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (src, dst) between documents of ``members(bucket, doc_id)``, confirmed on full sets.
+def _confirmed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (src, dst) that join all documents of ``members(bucket, doc_id)`` that are alike and share a bucket.
 
-    First every bucket is a star around its smallest document. Where that leaves documents of a
-    bucket in different components, they form finer buckets of two bands each, whose stars have
-    other centres in each round, until a round joins no more components.
+    Stars come first, around the smallest document of each bucket, then around one drawn anew in
+    each round: they join large groups with few pairs. When a round joins little, every pair that
+    shares a bucket and lies in two components is still open; `_between` tests those exactly.
     """
     centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
     pairs = members.join(centre, "bucket").where("doc_id <> centre").select("doc_id", "centre").distinct()
     links = cut(_alike(pairs, sets, percent))
-    place = cut(components(links))
-    located = _located(members, place)
-    mixed_up = located.join(_mixed(located).select("bucket"), "bucket").select("doc_id").distinct()
-    pairs_of_bands = F.expr(
-        "flatten(transform(sequence(1, 4), s -> transform(sequence(1, size(bands)), i -> "
-        "xxhash64(i, s, element_at(bands, i), element_at(bands, (i + s - 1) % size(bands) + 1)))))"
-    )
-    finer = reps.join(mixed_up, "doc_id", "left_semi").select("doc_id", F.explode(pairs_of_bands).alias("bucket")).distinct()
-    finer = cut(finer)
-    tested, turn = pairs.limit(0), 0
+    turn = 0
     while True:
-        located = _located(finer, place)
+        place = cut(components(links))
+        located = _located(members, place)
         turn += 1
         order = F.struct(F.xxhash64(F.lit(turn), "bucket", "doc_id"), F.col("doc_id").alias("id"), F.col("component").alias("of"))
-        heads = _mixed(located, F.min(order).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of"))
-        stars = located.join(heads, "bucket").where("component <> of").select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre"))
-        new = cut(stars.distinct().join(tested, ["doc_id", "centre"], "left_anti"))
-        found = cut(_alike(new, sets, percent))
-        if found.isEmpty():
+        mixed = cut(_mixed(located, F.min(order).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of")))
+        if mixed.isEmpty():
             return links
-        tested = tested.unionByName(new)
+        open_now = located.join(mixed, "bucket")
+        stars = open_now.where("component <> of").select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre"))
+        found = cut(_alike(stars.distinct(), sets, percent))
+        joined = found.count()
         links = links.unionByName(found)
-        place = cut(components(links))
+        if joined <= FEW * mixed.count():
+            break
+    place = cut(components(links)) if joined else place
+    located = _located(members, place)
+    left = located.join(_mixed(located).select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct()
+    return links.unionByName(_between(cut(left), sets, percent))
+
+
+def _rarity(sets: list[np.ndarray]) -> np.ndarray:
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+    return np.bincount((mix(flat.view(np.uint64), 31) >> np.uint64(64 - RARITY_BITS)).astype(np.int64), minlength=1 << RARITY_BITS)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(1 << RARITY_BITS, np.int64)
+    for batch in batches:
+        total += _rarity([batch.column(0).flatten().to_numpy()])
+    slot = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+
+
+def _prefixes(counts: np.ndarray, percent: int):
+    """The rarest shingles of each set, as many as it takes for two sets that are alike to share one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            size = np.diff(at)
+            owner = np.repeat(np.arange(len(size)), size)
+            rare = counts[(mix(flat.view(np.uint64), 31) >> np.uint64(64 - RARITY_BITS)).astype(np.int64)]
+            order = np.lexsort((flat, rare, owner))
+            rank = np.arange(len(flat)) - at[owner]
+            wanted = rank <= (size - -(-size * percent // 100))[owner]
+            flat, owner, rank = flat[order][wanted], owner[wanted], rank[wanted]
+            take = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([pa.array(flat), batch.column(0).take(take), batch.column(1).take(take), pa.array(size[owner]), pa.array(rank)], names=["shingle", "doc_id", "component", "n", "rank"])
+
+    return run
+
+
+def _between(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links between documents of ``left(doc_id, component)`` in different components, without a miss.
+
+    Sets of n and m shingles that are alike have at least percent / (100 + percent) * (n + m) in
+    common, so in any fixed order of shingles each has a common one among its first ones. The order
+    is from rare to frequent, so shingles of templates and common lines come last.
+    """
+    mine = cut(left.join(sets, "doc_id").select("doc_id", "component", "shingles"))
+    counts = np.zeros(1 << RARITY_BITS, np.int64)
+    slots = mine.select("shingles").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
+    entry = mine.mapInArrow(_prefixes(counts, percent), "shingle long, doc_id long, component long, n long, rank long")
+    # a shingle of one component has no pair; of the others, pairs within its largest component are not formed
+    by = entry.groupBy("shingle", "component").count().groupBy("shingle")
+    several = by.agg(F.count("*").alias("kinds"), F.max_by("component", F.struct("count", "component")).alias("most")).where("kinds > 1")
+    entry = cut(entry.join(several.select("shingle", "most"), "shingle"))
+    a, b = entry.where("component <> most").alias("a"), entry.alias("b")
+    need = "ceil({p} * (a.n + b.n) / (100 + {p}))".format(p=percent)
+    fits = F.expr(
+        "a.component <> b.component and (b.component = b.most or a.doc_id < b.doc_id) and 100 * least(a.n, b.n) >= {p} * greatest(a.n, b.n) "
+        "and a.rank <= a.n - {need} and b.rank <= b.n - {need}".format(p=percent, need=need)
+    )
+    pairs = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & fits)
+    pairs = pairs.select(F.least("a.doc_id", "b.doc_id").alias("doc_id"), F.greatest("a.doc_id", "b.doc_id").alias("centre")).distinct()
+    return cut(_alike(pairs, sets, percent))
 
 
 def _located(members: DataFrame, place: DataFrame) -> DataFrame:

@@ -278,3 +278,26 @@ def test_pipeline_stages_equal_their_operators(spark):
     assert {r.doc_id for r in rows} == kept
     for r in rows[:20]:
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, r.ids)).encode()).hexdigest()
+
+
+def templates(n, pairs, seed=6, length=160, own=24):
+    """(id, text): one template with words of each document's own after it; the last ones nearly copy some of the others."""
+    r = np.random.default_rng(seed)
+    words = lambda k: [f"w{x}" for x in r.integers(0, 10**6, k)]
+    template = words(length)
+    tails = [words(own + int(x)) for x in r.integers(0, 12, n)]
+    tails += [[*t[:-1], "changed"] for t in tails[n // 2 : n // 2 + pairs]]
+    ids = r.permutation(10 * n)[: n + pairs]
+    return [(int(i), " ".join(template + t)) for i, t in zip(ids, tails)]
+
+
+def all_pairs(rows, words, percent):
+    sets = {i: {tuple(t.split()[k : k + words]) for k in range(len(t.split()) - words + 1)} for i, t in rows}
+    return grouped(sets, lambda a, b: 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]))
+
+
+def test_near_duplicates_among_unlinked_templates(spark):
+    rows = templates(300, 2)
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, bands=4, rows=1).collect()
+    want = all_pairs(rows, 5, 80)
+    assert {r.doc_id: r.component_id for r in found} == want and len(set(want.values())) == len(rows) - 2
