@@ -23,8 +23,10 @@ from nodeledger.llm.wordhash import Block, blocks, mix
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 SETS = "doc_id long, shingles array<long>"
+#: Bins of a signature at most.
+BINS = 320
 #: Stars end when a round finds at most so many links per mixed bucket; counters by which shingles are ordered, in bits.
-FEW, RARITY_BITS = 0.02, 20
+FEW, RARITY_BITS = 0.02, 16
 
 
 def shingles(block: Block, words: int) -> list[np.ndarray]:
@@ -113,18 +115,33 @@ def _sets(words: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 40, rows: int = 8) -> DataFrame:
+def missed(similarity: float, bands: int, rows: int) -> float:
+    """The probability that a pair shares no bucket, on independent bins."""
+    return (1 - similarity**rows) ** bands
+
+
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows) of at most ``BINS`` bins: the longest bands that miss a pair at ``percent`` in one of 100,000 cases at most."""
+    rows = max((r for r in range(1, 17) if missed(percent / 100, BINS // r, r) <= 1e-5), default=1)
+    return BINS // rows, rows
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int | None = None, rows: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs(doc_id, text)``.
 
     Two documents are linked if 100 * |A and B| >= percent * |A or B| for their shingle sets.
     ``component_id`` is the smallest id reachable over links, ``kept`` whether it is the own one.
     A pair that shares a bucket is linked or joined by way of others for sure.
-    With the default bands a pair at 0.85 misses all buckets with probability 0.000003.
+    ``bands`` and ``rows`` follow from ``percent`` unless both are given. The search misses a pair
+    if it shares no bucket, on independent bins with probability 0.0000001 at 0.80 (53 bands of 6)
+    and 0.000003 at 0.85 (40 bands of 8).
 
     Null, empty and word-less texts have no shingles and are linked with nothing. A null doc_id has
     a null component and is kept. Repeated rows give as many rows; rows that share an id are one
     document for links. Other columns of ``docs`` are not read.
     """
+    if bands is None or rows is None:
+        bands, rows = banding(percent)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(docs.mapInArrow(_sign(words, bands, rows), SIGNATURE), "minhash")
     same = signed.where("n_shingles > 0").groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))

@@ -301,3 +301,11 @@ def test_near_duplicates_among_unlinked_templates(spark):
     found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80, bands=4, rows=1).collect()
     want = all_pairs(rows, 5, 80)
     assert {r.doc_id: r.component_id for r in found} == want and len(set(want.values())) == len(rows) - 2
+
+
+def test_bands_follow_the_threshold():
+    for percent in (50, 70, 80, 85, 95):
+        bands, rows = minhash.banding(percent)
+        assert bands * rows <= minhash.BINS and minhash.missed(percent / 100, bands, rows) <= 1e-5
+    assert (minhash.banding(80), minhash.banding(85)) == ((53, 6), (40, 8))
+    assert 0.5e-7 < minhash.missed(0.8, 53, 6) < 1.5e-7 and 2.5e-6 < minhash.missed(0.85, 40, 8) < 3.5e-6
