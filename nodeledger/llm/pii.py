@@ -2,10 +2,10 @@
 
 The base finds e-mail addresses, IP addresses, card and phone numbers by pattern and check. The
 network learns from spans the base has labelled in a sample, also rewritten in other spellings, and
-adds spans of such spellings. A span holds a digit or an "@"; that is part of the model, so windows
-lie over all text around such characters and nothing elsewhere can change the result. Windows
-overlap; each is decoded by itself, and the spans found in all windows of a text are reconciled by
-choosing the disjoint ones of the highest total score.
+adds spans of such spellings. A span holds a digit, an "@" or its respelling ("[at]", "at ... dot");
+windows lie over the text around those, from the words beside an "@" on. Windows overlap by the
+longest span wanted; each is decoded by itself, and the spans found in all windows of a text are
+reconciled by choosing the disjoint ones of the highest total score.
 """
 
 from __future__ import annotations
@@ -29,9 +29,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 Span = tuple[int, int, int]  # start, kind, end
 
-#: Documents the network is trained on at most, hidden units, window length and overlap, context of an anchor.
-SAMPLE, HIDDEN, WINDOW, OVERLAP, CONTEXT = 500, 16, 64, 40, 12
-_ANCHOR = re.compile(r"[0-9@]")
+#: Documents the network is trained on at most, hidden units, context of an anchor.
+SAMPLE, HIDDEN, CONTEXT = 500, 16, 12
+#: Characters of a window and of the overlap of windows: to learn from, and to decode. The longest
+#: address is 64 + 1 + 255 characters; the overlap leaves room for its other spellings.
+LEARN, WINDOW, LONGEST = (64, 40), 1024, 352
+_BRACKETED, _SPOKEN = r"[\[({<]\s*at\s*[\])}>]", r"(?<=\s)at\s+(?=[a-z0-9.-]+(?:\s+dot\s|\s*[\[({<]\s*dot))"
+_ANCHOR = re.compile(rf"[0-9@]|{_BRACKETED}|{_SPOKEN}", re.I)
+_AT, _DOT = re.compile(rf"\s*{_BRACKETED}\s*|\s+{_SPOKEN}", re.I), re.compile(r"\s*[\[({<]\s*dot\s*[\])}>]\s*|\s+dot\s+", re.I)
+_DOT_BEFORE = re.compile(rf"(?:{_DOT.pattern})\Z", re.I)
+_MAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _TAGS = 1 + 2 * len(KINDS)
 _PAD = 132
 
@@ -194,39 +201,56 @@ class Tagger:
         return tags, e
 
 
-def windows(text: str) -> list[int]:
-    """Where windows begin so that every anchor has its context in one, and stretches overlap."""
-    starts: list[int] = []
-    low = high = -1
-    stretches = []
+def _beside(text: str, at: int, step: int) -> int:
+    """The last character of the word beside the place before or after ``at``, ``LONGEST`` away at most."""
+    seen, k = False, at + step
+    while 0 <= k < len(text) and abs(k - at) <= LONGEST and not (seen and text[k].isspace()):
+        seen = seen or text[k].isalnum()
+        k += step
+    return k - step
+
+
+def windows(text: str, width: int = WINDOW, overlap: int = LONGEST) -> list[tuple[int, int]]:
+    """Where windows begin and end so that every anchor has its context and the words beside an "@" in one."""
+    out: list[tuple[int, int]] = []
+    stretches: list[list[int]] = []
     for m in _ANCHOR.finditer(text):
-        if m.start() - CONTEXT > high:
-            if high >= 0:
-                stretches.append((low, high))
-            low = max(m.start() - CONTEXT, 0)
-        high = m.start() + CONTEXT
-    if high >= 0:
-        stretches.append((low, high))
+        low, high = m.start(), m.end() - 1
+        if not text[low].isdigit():
+            first, last = low - LONGEST, high + LONGEST
+            low, high = _beside(text, low, -1), _beside(text, high, 1)
+            while low > first and (dot := _DOT_BEFORE.search(text, max(low - 12, 0), low)):
+                low = _beside(text, dot.start(), -1)
+            while high < last and (dot := _DOT.match(text, high + 1)):
+                high = _beside(text, dot.end() - 1, 1)
+        low, high = max(low - CONTEXT, 0), high + CONTEXT
+        while stretches and low <= stretches[-1][1]:
+            before = stretches.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        stretches.append([low, high])
     for low, high in stretches:
-        starts += range(low, max(high - OVERLAP, low + 1), WINDOW - OVERLAP)
-    return starts
+        starts = range(low, max(high - overlap, low + 1), width - overlap)
+        out += [(s, max(min(s + width, high + 1), s + LEARN[0])) for s in starts]
+    return out
 
 
-def _cut(text: str, starts: list[int]) -> np.ndarray:
-    out = np.full((len(starts), WINDOW), _PAD)
-    for k, s in enumerate(starts):
-        c = codes(text[s : s + WINDOW])
+def _cut(text: str, places: list[tuple[int, int]], width: int) -> np.ndarray:
+    out = np.full((len(places), width), _PAD)
+    for k, (a, b) in enumerate(places):
+        c = codes(text[a:b])
         out[k, : len(c)] = c
     return out
 
 
-def _tags(spans: list[Span], start: int) -> np.ndarray:
-    out = np.zeros(WINDOW, np.int64)
+def _tags(spans: list[Span], start: int, width: int = LEARN[0]) -> np.ndarray:
+    """Tags of a window; the part of a cut span that lies in it is tagged as a part."""
+    out = np.zeros(width, np.int64)
     for a, kind, b in spans:
         a, b = a - start, b - start
-        if 0 <= a and b <= WINDOW:
-            out[a:b] = 2 + 2 * kind
-            out[a] = 1 + 2 * kind
+        if b > 0 and a < width:
+            out[max(a, 0) : b] = 2 + 2 * kind
+            if a >= 0:
+                out[a] = 1 + 2 * kind
     return out
 
 
@@ -238,10 +262,11 @@ def respelled(text: str, spans: list[Span], r: np.random.Generator) -> tuple[str
             continue
         s = text[a:b]
         digits = "".join(re.findall("[0-9]", s))
-        way = int(r.integers(3))
+        way = int(r.integers(6 if kind == 0 else 3))
         if kind == 0:
             name, host = s.split("@", 1)
-            s = (f"{name} @ {host}", f"{name}(@){host}", f"{name}@ {host}")[way]
+            dots = host.replace(".", " dot ")
+            s = (f"{name} @ {host}", f"{name}(@){host}", f"{name}@ {host}", f"{name} [at] {host}", f"{name}(at){host}", f"{name} at {dots}")[way]
         elif kind == 1:
             s = s.replace(".", ("[.]", " . ", "(.)")[way])
         elif kind == 2:
@@ -263,10 +288,10 @@ def train(texts: list[str], most_windows: int = 1000) -> Tagger:
     for text in texts:
         own = base_spans(text)
         for t, spans in ((text, own), respelled(text, own, r)):
-            starts = windows(t)
-            if starts:
-                x.append(_cut(t, starts))
-                y.append(np.stack([_tags(spans, s) for s in starts]))
+            places = windows(t, *LEARN)
+            if places:
+                x.append(_cut(t, [(s, s + LEARN[0]) for s, _ in places], LEARN[0]))
+                y.append(np.stack([_tags(spans, s) for s, _ in places]))
     tagger = Tagger()
     if x:
         x, y = np.concatenate(x), np.concatenate(y)
@@ -277,20 +302,20 @@ def train(texts: list[str], most_windows: int = 1000) -> Tagger:
     return tagger
 
 
-def candidates(text: str, starts: list[int], tags: np.ndarray, e: np.ndarray) -> list[tuple[int, int, int, float]]:
+def candidates(text: str, places: list[tuple[int, int]], tags: np.ndarray, e: np.ndarray) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, score) of the spans decoded in the windows of a text, without cut ones."""
     out = []
-    for s, line, scores in zip(starts, tags, e):
-        t = 0
-        while t < WINDOW:
+    for (s, end), line, scores in zip(places, tags, e):
+        t, width = 0, min(end - s, len(line))
+        while t < width:
             if line[t] == 0:
                 t += 1
                 continue
             a, kind = t, (line[t] - 1) // 2
             t += 1
-            while t < WINDOW and line[t] == 2 + 2 * kind:
+            while t < width and line[t] == 2 + 2 * kind:
                 t += 1
-            if (a > 0 or s == 0) and (t < WINDOW or s + t >= len(text)) and s + t <= len(text):
+            if (a > 0 or s == 0) and (t < width or s + t >= len(text)) and s + t <= len(text):
                 gain = float((scores[np.arange(a, t), line[a:t]] - scores[a:t, 0]).sum())
                 out.append((s + a, int(kind), s + t, gain))
     return out
@@ -308,8 +333,9 @@ def added_spans(text: str, found: list[tuple[int, int, int, float]], base: list[
         if not piece or score < 2 * (b - a) or not _ANCHOR.search(piece) or any(a < y and x < b for x, _, y in base):
             continue
         digits = re.findall("[0-9]+", piece)
+        plain = _DOT.sub(".", _AT.sub("@", piece))
         right = (
-            piece.count("@") == 1 and "." in piece.split("@")[1] and piece[0] != "@",
+            (piece.count("@") == 1 and "." in piece.split("@")[1] and piece[0] != "@") or ("@" not in piece and bool(_MAIL.fullmatch(plain))),
             len(digits) == 4 and all(len(d) <= 3 and int(d) <= 255 for d in digits),
             valid(2, piece) if kind == 2 else False,
             valid(3, piece) if kind == 3 else False,
@@ -336,16 +362,21 @@ def added_spans(text: str, found: list[tuple[int, int, int, float]], base: list[
 def find(texts: list[str], tagger: Tagger) -> list[tuple[list[Span], list[Span]]]:
     """(base spans, all spans) of each text."""
     base = [base_spans(t) if _ANCHOR.search(t) or "+" in t else [] for t in texts]
-    starts = [windows(t) for t in texts]
     found: list[list] = [[] for _ in texts]
-    queue = [(i, s) for i, ss in enumerate(starts) for s in ss]
-    for k in range(0, len(queue), 512):
-        part = queue[k : k + 512]
-        x = np.concatenate([_cut(texts[i], [s]) for i, s in part])
-        tags, e = tagger.decode(x)
-        for row, (i, s) in enumerate(part):
+    queue = sorted(((i, p) for i, t in enumerate(texts) for p in windows(t)), key=lambda q: q[1][1] - q[1][0])
+    k = 0
+    while k < len(queue):
+        # windows of like width side by side, as many as fill 512 narrow ones
+        size = max(1, 512 * LEARN[0] // (queue[k][1][1] - queue[k][1][0]))
+        part = queue[k : k + size]
+        while len(part) > 1 and part[-1][1][1] - part[-1][1][0] > 1.25 * (part[0][1][1] - part[0][1][0]):
+            part = part[: len(part) // 2]
+        k += len(part)
+        width = part[-1][1][1] - part[-1][1][0]
+        tags, e = tagger.decode(np.concatenate([_cut(texts[i], [p], width) for i, p in part]))
+        for row, (i, p) in enumerate(part):
             if tags[row].any():
-                found[i] += candidates(texts[i], [s], tags[row : row + 1], e[row : row + 1])
+                found[i] += candidates(texts[i], [p], tags[row : row + 1], e[row : row + 1])
     return [(b, sorted(b + added_spans(t, f, b)) if f else b) for t, f, b in zip(texts, found, base)]
 
 

@@ -309,3 +309,26 @@ def test_bands_follow_the_threshold():
         assert bands * rows <= minhash.BINS and minhash.missed(percent / 100, bands, rows) <= 1e-5
     assert (minhash.banding(80), minhash.banding(85)) == ((53, 6), (40, 8))
     assert 0.5e-7 < minhash.missed(0.8, 53, 6) < 1.5e-7 and 2.5e-6 < minhash.missed(0.85, 40, 8) < 3.5e-6
+
+
+def test_windows_hold_whole_addresses():
+    names = ("maria.gonzalez", "a.very.long.local.part.of.an.address", "x" * 64)
+    for name, at in itertools.product(names, (" @ ", "(@)", "@ ", " [at] ", "(at)", " at ")):
+        host = "mail.department dot example dot org" if at == " at " else "mail.department.of.a.university.example.org"
+        text = "so please write to " + name + at + host + " before the end of the week"
+        a, b = text.index(name), text.index(host) + len(host)
+        assert any(s < a and b < e for s, e in pii.windows(text)), text
+        assert pii.added_spans(text, [(a, 0, b, 1e3)], []) == [(a, 0, b)]
+    long = "see " + "1 " * 3000
+    places = pii.windows(long)
+    assert all(any(s < a and a + 320 <= e for s, e in places) for a in range(4, 5600))
+    assert (pii._tags([(10, 0, 30)], 20)[:11] == [2] * 10 + [0]).all()
+
+
+def test_network_adds_long_addresses():
+    r = np.random.default_rng(7)
+    name = lambda: "".join(r.choice([*"abcdefghiklmnoprstu"], r.integers(6, 12)))
+    tagger = pii.train([f"please write to {name()}.{name()}.{name()}@{name()}.example.org today" for _ in range(150)], 1000)
+    text = "please write to maria.magdalena.gonzalez @ institute.example.org today"
+    a, b = text.index("maria"), text.index(" today")
+    assert pii.find([text], tagger)[0][1] == [(a, 0, b)]
