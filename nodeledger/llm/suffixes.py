@@ -5,11 +5,13 @@ windows have equal smallest hashes, so all copies of a window lie in pieces with
 single document cannot repeat; pieces of the other keys, each distinct one once, are sorted in
 suffix arrays bucket by bucket. Arrays are built in two stages: suffixes smaller than their
 successors are sorted directly, the others are induced by scanning buckets. Neighbours in the
-array that share a whole window are copies, and the smallest document among them keeps it.
+array that share a whole window are copies, and the smallest document among them keeps it. Pieces of
+a key with more than ``HEAVY`` bytes are cut into single windows, dealt by their whole content.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import uuid
 import zlib
@@ -20,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodeledger.llm.store import cut, shared_folder
+from nodeledger.llm.store import cut, shared_folder, written
 from nodeledger.llm.wordhash import _BASE, _CODE, _INVERSE, mix, powers, text_buffers
 
 GRAM = 16
 #: Bytes of documents handled at a time, and per bucket of keys.
 CHUNK, BUCKET = 1 << 21, 1 << 22
+#: Bytes of pieces under one key, copies counted, above which the key is split.
+HEAVY = 1 << 21
 #: Keys have so many bits where they are only compared for being shared.
 _SHORT = np.uint64(48)
 
@@ -154,13 +158,14 @@ def _keys(length: int, buckets: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, b, data, offsets in _chunks(batch.column(1)):
-                text, _, _, key = pieces(data, offsets, length)
+                text, start, end, key = pieces(data, offsets, length)
                 key >>= np.uint64(64) - _SHORT
                 doc = ids[a:b][text]
                 order = np.lexsort((doc, key))
-                key, doc = key[order], doc[order]
+                key, doc, size = key[order], doc[order], (end - start)[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                size = np.add.reduceat(size, np.flatnonzero(new)) if len(key) else size
                 key, doc = key[new], doc[new]
                 first = np.ones(len(key), bool)
                 first[1:] = key[1:] != key[:-1]
@@ -169,53 +174,62 @@ def _keys(length: int, buckets: int):
                 # a key of several documents here is shared; of those the first and the last go on for others
                 bucket = (key[edge] % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
-                k, d, bucket = key[edge][by], doc[edge][by], bucket[by]
+                # the first entry of a key carries the bytes of all its pieces here
+                weight = np.zeros(len(key), np.int64)
+                if len(key):
+                    weight[first] = np.add.reduceat(size, np.flatnonzero(first))
+                k, d, w, bucket = key[edge][by], doc[edge][by], weight[edge][by], bucket[by]
                 cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))[: len(bucket)], len(bucket))
-                rows = [(int(bucket[i]), False, k[i:j], d[i:j]) for i, j in zip(cuts[:-1], cuts[1:])] if len(k) else []
+                rows = [(int(bucket[i]), False, k[i:j], d[i:j], w[i:j]) for i, j in zip(cuts[:-1], cuts[1:])] if len(k) else []
                 if (~lonely).any():
-                    rows.append((int(doc[0]) % buckets, True, key[~lonely], doc[~lonely]))
+                    rows.append((int(doc[0]) % buckets, True, key[~lonely], doc[~lonely], np.zeros(0, np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_())] + [pa.array([_packed(r[2], r[3]) for r in rows], pa.binary())],
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.bool_())] + [pa.array([_packed(*r[2:]) for r in rows], pa.binary())],
                     names=["bucket", "known", "packed"],
                 )
 
     return run
 
 
-def _packed(key: np.ndarray, doc: np.ndarray) -> bytes:
-    """Keys in 6 bytes, documents in 4 where they lie close together, else in 8."""
+def _packed(key: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> bytes:
+    """Keys in 6 bytes, documents in 4 where they lie close together, else in 8, weights in one: 8 times the binary logarithm, rounded up."""
     low = int(doc.min())
     kind = "<u4" if int(doc.max()) - low < 2**32 else "<u8"
     head = np.array([len(key), low, 4 if kind == "<u4" else 8], "<i8").tobytes()
-    return head + key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + (doc - low).astype(kind).tobytes()
+    scaled = np.ceil(8 * np.log2(weight + 1)).astype(np.uint8).tobytes()
+    return head + key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() + (doc - low).astype(kind).tobytes() + scaled
 
 
-def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, low, size = np.frombuffer(packed, "<i8", 3).tolist()
     key = np.zeros((n, 8), np.uint8)
     key[:, :6] = np.frombuffer(packed, np.uint8, 6 * n, 24).reshape(n, 6)
-    return key.view("<u8").ravel(), np.frombuffer(packed, f"<u{size}", n, 24 + 6 * n).astype(np.int64) + low
+    weight = np.exp2(np.frombuffer(packed, np.uint8, -1, 24 + (6 + size) * n) / 8) - 1
+    return key.view("<u8").ravel(), np.frombuffer(packed, f"<u{size}", n, 24 + 6 * n).astype(np.int64) + low, weight
 
 
 def _shared(group: pa.Table) -> pa.Table:
-    """(doc_id, key) for the keys that more than one document has."""
+    """(doc_id, key) for the keys that more than one document has, and (null, key) for the heavy keys."""
     known = group.column("known").to_pylist()
     parts = [_unpacked(p) for p in group.column("packed").to_pylist()]
-    out = [p for p, k in zip(parts, known) if k]
+    out = [p[:2] for p, k in zip(parts, known) if k]
+    heavy = np.zeros(0, np.uint64)
     rest = [p for p, k in zip(parts, known) if not k]
     if rest:
-        key, doc = (np.concatenate(x) for x in zip(*rest))
+        key, doc, weight = (np.concatenate(x) for x in zip(*rest))
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         new = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        heavy = key[new][np.add.reduceat(weight[order], new) > HEAVY]
         last = np.append(new[1:], len(key)) - 1
         several = np.repeat(doc[new] < doc[last], last - new + 1)
         out.append((key[several], doc[several]))
     key, doc = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    return pa.table({"doc_id": pa.array(doc), "key": pa.array(key.astype(np.int64))})
+    none = pa.nulls(len(heavy), pa.int64())
+    return pa.table({"doc_id": pa.chunked_array([pa.array(doc), none]), "key": pa.chunked_array([pa.array(key.astype(np.int64)), pa.array(heavy.astype(np.int64))])})
 
 
-def _cut_out(length: int, buckets: int):
+def _cut_out(length: int, buckets: int, heavy: np.ndarray):
     """Distinct pieces with shared keys, by bucket, and what copies within the chunk already lose.
 
     Of several documents of a chunk with the same piece the smallest one goes on; the others lose
@@ -234,6 +248,14 @@ def _cut_out(length: int, buckets: int):
                 keep = wanted[at] == short if len(wanted) else np.zeros(len(key), bool)
                 doc, start, end, key, where = ids[a:b][text[keep]], start[keep], end[keep], key[keep], offsets[text[keep]]
                 raw = data.tobytes()
+                split = np.isin(key >> (np.uint64(64) - _SHORT), heavy)
+                if split.any():
+                    many = np.where(split, end - start - length + 1, 1)
+                    nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                    doc, start, end, key, where, split = (np.repeat(x, many) for x in (doc, start, end, key, where, split))
+                    start = start + nth
+                    end = np.where(split, start + length, end)
+                    key[split] = [int.from_bytes(hashlib.blake2b(raw[i : i + length], digest_size=8).digest(), "little") for i in (where + start)[split].tolist()]
                 seen: dict[bytes, int] = {}
                 first, listed, again = [], [], []
                 for k in np.lexsort((start, doc)).tolist():
@@ -347,8 +369,11 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     rows = stored.where(F.col("judged") & ~F.col("copy") & (F.octet_length("text") >= length)).select("doc_id", "text")
     found = rows.mapInArrow(_keys(length, buckets), "bucket long, known boolean, packed binary").groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
-    shared = found.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    packed = rows.join(shared, "doc_id").select("doc_id", "text", "keys").mapInArrow(_cut_out(length, buckets), "bucket long, known boolean, n long, packed binary")
+    found = written(found, "keys")
+    # at most one heavy key for each HEAVY / 50 windows of the corpus
+    heavy = found.where("doc_id is null").select("key").distinct().toArrow().column("key").to_numpy().astype(np.uint64)
+    shared = found.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    packed = rows.join(shared, "doc_id").select("doc_id", "text", "keys").mapInArrow(_cut_out(length, buckets, heavy), "bucket long, known boolean, n long, packed binary")
     lost = packed.groupBy("bucket").applyInArrow(_first_owner(length), "doc_id long, a long, b long")
     runs = lost.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
     size = F.octet_length("text").cast("long")

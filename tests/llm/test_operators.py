@@ -6,6 +6,8 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 import corpus_pipeline
@@ -332,3 +334,37 @@ def test_network_adds_long_addresses():
     text = "please write to maria.magdalena.gonzalez @ institute.example.org today"
     a, b = text.index("maria"), text.index(" today")
     assert pii.find([text], tagger)[0][1] == [(a, 0, b)]
+
+
+def test_pieces_of_a_heavy_key_are_split(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    line = "this line of some forty bytes is frequent"
+    rows = [(k, "".join(r.choice([*"abcdefgh"], 60)) + line + "".join(r.choice([*"abc"], 9 if k % 3 else 70))) for k in range(120)]
+    rows += [(200 + k, rows[k][1][20:] + "z") for k in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    columns = ("doc_id", "n_removed", "n_spans", "kept")
+    want = sorted(map(tuple, suffixes.without_repeats(table).select(*columns).collect()))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [k for k, _ in rows], "text": [t for _, t in rows]})
+    packed = pa.Table.from_batches(list(suffixes._keys(50, 1)(iter([batch]))))
+    monkeypatch.setattr(suffixes, "HEAVY", 2000)
+    found = suffixes._shared(packed)
+    heavy = np.array(found.filter(pc.is_null(found["doc_id"]))["key"].to_pylist(), np.uint64)
+    assert len(heavy)
+    keys = pa.array([found["key"].to_pylist()] * len(rows))
+    largest = {}
+    for split in (heavy, heavy[:0]):
+        out = pa.Table.from_batches(list(suffixes._cut_out(50, 1 << 20, split)(iter([batch.append_column("keys", keys)]))))
+        largest[len(split) > 0] = max(n for n, known in zip(out["n"].to_pylist(), out["known"].to_pylist()) if not known)
+    # a bucket of one key holds what 2,000 bytes can
+    assert largest[True] <= 2000 // 50 < largest[False]
+    whole = suffixes.without_repeats
+    monkeypatch.setattr(suffixes, "_shared", _all_heavy(suffixes._shared))
+    assert sorted(map(tuple, whole(table).select(*columns).collect())) == want and any(w[1] for w in want)
+
+
+def _all_heavy(shared):
+    def run(group: pa.Table) -> pa.Table:
+        found = shared(group)
+        return pa.concat_tables([found, pa.table({"doc_id": pa.nulls(len(found), pa.int64()), "key": found["key"]})])
+
+    return run
