@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodeledger.llm import bpe, fingerprint, gridjoin, minhash, mixing, pii, quality, suffixes, tokenfiles, toxicity
+from nodeledger.llm import bpe, divergence, fingerprint, gridjoin, lexical, minhash, mixing, pii, quality, repetition, suffixes, tokenfiles, toxicity
+from nodeledger.llm.sql import SQL, repetition_sql
 from nodeledger.llm.store import shared_folder
 
 
@@ -87,8 +88,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"), least=30, ranks=50)
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build_index(_table(spark, sf_dir, "documents"))
+    return lexical.ranked_search(index, _table(spark, sf_dir, "benchmark"), ranks=10)
+
+
+def op13_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_pii, op2_bpe, op3_tokens, op4_quality, op5_minhash, op6_mixing, op7_fingerprints, op8_toxicity, op9_embeddings, op10_repeats)
+    own = (op1_pii, op2_bpe, op3_tokens, op4_quality, op5_minhash, op6_mixing, op7_fingerprints, op8_toxicity, op9_embeddings, op10_repeats, op11_divergence, op12_lexical, op13_repetition)
     return {f.__name__: f for f in own} | {"pipeline": _pipeline}
 
 
@@ -99,4 +113,5 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    rules = repetition_sql(repetition.NGRAMS, repetition.LINES, repetition.LINE_CHARS, repetition.MANY_SYMBOLS)
+    return SQL | {"op13_repetition": rules}
