@@ -126,7 +126,7 @@ def _counts(sieve: Sieve):
 def term_table(docs: DataFrame) -> DataFrame:
     """The terms of ``docs(text, lang, source)`` in the shared folder, as the other functions read them."""
     empty = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    return written(docs.select(empty("lang"), empty("source"), empty("text")).mapInArrow(_term_table, TABLE), "terms")
+    return written(docs.select(empty("lang"), empty("source"), empty("text")).mapInArrow(_term_table, TABLE), "terms", group_mb=16)
 
 
 def kept_terms(table: DataFrame, least: int) -> DataFrame:

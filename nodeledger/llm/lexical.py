@@ -78,7 +78,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame) -> DataFrame:
     """The index of every row of ``docs(doc_id, text)``, a table in the shared folder, one row per block."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return written(rows.mapInArrow(_index, INDEX), "slices")
+    return written(rows.mapInArrow(_index, INDEX), "slices", group_mb=16)
 
 
 class Queries:

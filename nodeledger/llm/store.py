@@ -32,8 +32,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
-    """The rows as a compressed, column-pruned table in the shared folder."""
+def written(df: DataFrame, what: str, compression: str = "zstd", group_mb: int = 128) -> DataFrame:
+    """The rows as a compressed, column-pruned table in the shared folder.
+
+    Writers and readers hold a row group of ``group_mb`` in memory: fewer for rows of megabytes.
+    """
     path = f"{shared_folder(df.sparkSession)}/llm-{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("parquet.block.size", group_mb << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
