@@ -5,19 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nodeledger.functions.times import seconds_between
 from nodeledger.operators.slices import slice_keys, with_slices
 from nodeledger.operators.utilization import valid_intervals, with_capacity
 from nodeledger.plans.ordered_scan import ordered_scan
-from nodeledger.plans.settle import settle
+from nodeledger.plans.stabbing import LEVEL, NODE, moments_in_spans, packed_moments, with_nodes
 from nodeledger.schema import MIN_OVER_CAPACITY_SECONDS
 
-# Moments of a day that travel together: some 40 kB.
-MOMENTS_TOGETHER = 1000
-
 
 def over_capacity_intervals(
     nodes: DataFrame,
@@ -61,14 +58,14 @@ def over_capacity_intervals(
     )
 
 
-_JOB = ("job_name", "nodes_used", "start_timestamp", "end_timestamp")
+JOB_COLUMNS = ("job_name", "nodes_used", "start_timestamp", "end_timestamp")
 
 
 def jobs_running_at(df: DataFrame, at: datetime) -> DataFrame:
     """Jobs that have started by ``at`` and not yet ended."""
     moment = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     running = (F.col("start_timestamp") <= moment) & (moment < F.col("end_timestamp"))
-    return df.filter(running).select(*_JOB)
+    return df.filter(running).select(*JOB_COLUMNS)
 
 
 def over_capacity_jobs(
@@ -76,32 +73,19 @@ def over_capacity_jobs(
 ) -> DataFrame:
     """Jobs running at the start and at the end of each interval.
 
-    The instants of a day are packed into arrays of at most a thousand, and a job meets those of
-    each day it touches, so only true matches are produced. Jobs are reduced to the days that have
-    instants before anything else; the adaptive planner broadcasts few arrays and splits a day
-    that has most jobs.
+    Jobs and instants meet in the nodes of a binary hierarchy of hours, so a job is a few rows
+    however long it runs. Rows of nodes without an instant go first, before jobs are copied to their
+    slices. ``intervals`` is read twice; the adaptive planner broadcasts few instants.
     """
     edges = F.array(
         F.struct(F.col("start_timestamp").alias("instant"), "interval_no", F.lit("start").alias("edge")),
         F.struct(F.col("end_timestamp").alias("instant"), "interval_no", F.lit("end").alias("edge")),
     )
     keys = slice_keys(slices)
-    moments = intervals.select(*keys, F.inline(edges)).withColumn("_day", F.to_date("instant"))
-    moments = settle(moments)
-    in_day = Window.partitionBy(*keys, "_day").orderBy("instant", "interval_no", "edge")
-    together = F.floor((F.row_number().over(in_day) - 1) / MOMENTS_TOGETHER)
-    packed = (
-        moments.withColumn("_pack", together)
-        .groupBy(*keys, "_day", "_pack")
-        .agg(F.collect_list(F.struct("instant", "interval_no", "edge")).alias("_moments"))
-    )
-
-    touched = F.sequence(F.to_date("start_timestamp"), F.to_date("end_timestamp"))
-    jobs = valid_intervals(df).select(*_JOB).withColumn("_day", F.explode(touched))
-    jobs = with_slices(jobs.join(moments.select("_day").distinct(), "_day", "left_semi"), slices)
-
-    def hit(moment):
-        return (moment["instant"] >= F.col("start_timestamp")) & (moment["instant"] < F.col("end_timestamp"))
-
-    matched = jobs.join(packed, [*keys, "_day"]).select(*keys, *_JOB, F.inline(F.filter("_moments", hit)))
-    return matched.select(*keys, "interval_no", "edge", "instant", *_JOB)
+    packs = packed_moments(intervals.select(*keys, F.inline(edges)), "instant", keys)
+    nodes = with_nodes(valid_intervals(df).select(*JOB_COLUMNS), "start_timestamp", "end_timestamp")
+    if slices:
+        nodes = nodes.join(packs.select(LEVEL, NODE).distinct(), [LEVEL, NODE], "left_semi")
+    nodes = with_slices(nodes, slices)
+    found = moments_in_spans(nodes, packs, "instant", "start_timestamp", "end_timestamp", keys)
+    return found.select(*keys, "interval_no", "edge", "instant", *JOB_COLUMNS)

@@ -131,13 +131,20 @@ def _intervals(log: DataFrame) -> DataFrame:
     return capacity.over_capacity_intervals(settle(utilization.nodes_in_use(log)), CAPACITY)
 
 
+def _running(log: DataFrame) -> DataFrame:
+    """What intervals and the jobs behind them both read, written once."""
+    return settle(utilization.valid_intervals(log).select(*capacity.JOB_COLUMNS))
+
+
 def _interval_jobs(log: DataFrame) -> DataFrame:
-    return capacity.over_capacity_jobs(log, settle(_intervals(log)))
+    running = _running(log)
+    return capacity.over_capacity_jobs(running, settle(_intervals(running)))
 
 
 def _interval_lines(log: DataFrame) -> DataFrame:
-    intervals = settle(_intervals(log))
-    return report.over_capacity_lines(intervals, capacity.over_capacity_jobs(log, intervals))
+    running = _running(log)
+    intervals = settle(_intervals(running))
+    return report.over_capacity_lines(intervals, capacity.over_capacity_jobs(running, intervals))
 
 
 def _stats(log: DataFrame, levels=None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nodeledger.operators import capacity, trend
 from nodeledger.operators import utilization as u
+from nodeledger.plans import stabbing
 from nodeledger.plans.ordered_scan import ordered_scan
 
 
@@ -131,9 +132,9 @@ def test_over_capacity_limits(make_jobs):
     assert rows[0].mean_nodes_used == 10.5 and rows[1].mean_nodes_used == 15.0
 
 
-@pytest.mark.parametrize("limit", [200_000, 3])
+@pytest.mark.parametrize("limit", [1000, 1])
 def test_over_capacity_jobs_equal_direct_search(make_jobs, monkeypatch, limit):
-    monkeypatch.setattr(capacity, "BROADCAST_MOMENTS", limit)
+    monkeypatch.setattr(stabbing, "MOMENTS_TOGETHER", limit)
     jobs = random_jobs(make_jobs, 150, 4)
     intervals = capacity.over_capacity_intervals(u.nodes_in_use(jobs), 180)
     rows = intervals.collect()
@@ -198,7 +199,7 @@ def test_trend_per_slice(make_jobs):
 
 
 def test_jobs_at_more_moments_than_travel_together(make_jobs, monkeypatch):
-    monkeypatch.setattr(capacity, "MOMENTS_TOGETHER", 2)
+    monkeypatch.setattr(stabbing, "MOMENTS_TOGETHER", 2)
     peaks = [span(DAY + f"0{h}:00:00", DAY + f"0{h}:30:00", 20) for h in range(1, 6)]
     jobs = make_jobs([span(DAY + "00:00:00", DAY + "09:00:00", 5), *peaks])
     intervals = capacity.over_capacity_intervals(u.nodes_in_use(jobs), 12)
@@ -207,3 +208,36 @@ def test_jobs_at_more_moments_than_travel_together(make_jobs, monkeypatch):
     expected = sorted((n, e, j.job_name) for n, e, t in edges for j in runs if j.start_timestamp <= t < j.end_timestamp)
     found = capacity.over_capacity_jobs(jobs, intervals).collect()
     assert sorted((r.interval_no, r.edge, r.job_name) for r in found) == expected and len(edges) == 10
+
+
+def test_covering_nodes_are_few_and_cover_each_unit_once(spark):
+    ends = [(0, 0), (0, 1), (5, 5), (7, 8), (-3, 4), (-17, -2), (1, 1022), (0, 1023), (123, 4567), (2_000_000, 3_753_000), (-(2**22), 2**22)]
+    rows = spark.createDataFrame(ends, "a bigint, b bigint").select("a", "b", stabbing.covering_nodes("a", "b").alias("nodes")).collect()
+    for r in rows:
+        spans = sorted((n["_node"] << n["_level"], (n["_node"] + 1) << n["_level"]) for n in r.nodes)
+        assert spans[0][0] == r.a and spans[-1][1] == r.b + 1
+        assert all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+        assert len(spans) <= 2 * max(1, (r.b - r.a + 1).bit_length())
+
+
+def test_jobs_of_centuries_are_few_rows(make_jobs):
+    """A job from 1700 to 2200 that two short peaks meet, and one of half a second."""
+    jobs = make_jobs([span("1700-01-01 00:00:00", "2200-01-01 00:00:00", 5), span(DAY + "01:00:00", DAY + "02:00:00", 9), span(DAY + "01:00:00.5", DAY + "01:00:01", 9)])
+    nodes = stabbing.with_nodes(jobs.select("job_name", "start_timestamp", "end_timestamp"), "start_timestamp", "end_timestamp")
+    counts = sorted(r["count"] for r in nodes.groupBy("job_name").count().collect())
+    assert counts[-1] <= 45 and counts[0] == 1
+    intervals = capacity.over_capacity_intervals(u.nodes_in_use(jobs), 10)
+    found = {(r.edge, r.job_name) for r in capacity.over_capacity_jobs(jobs, intervals).collect()}
+    assert found == {("start", "j0"), ("start", "j1"), ("end", "j0")}
+
+
+def test_interval_jobs_by_slice_equal_each_slice_alone(make_jobs):
+    jobs = random_jobs(make_jobs, 200, 9, seconds=6_000_000)
+    levels = ("all", "year", "month")
+    by_slice = capacity.over_capacity_intervals(u.nodes_in_use(jobs, slices=levels), 60, keys=["slice"])
+    found = capacity.over_capacity_jobs(jobs, by_slice, slices=levels).collect()
+    assert len({r.slice for r in found}) > 2
+    for name in {r.slice for r in found}:
+        alone = jobs if name == "all" else jobs.filter(F.date_format("start_timestamp", "yyyy-MM").startswith(name))
+        expected = capacity.over_capacity_jobs(alone, capacity.over_capacity_intervals(u.nodes_in_use(alone), 60)).collect()
+        assert sorted((r.interval_no, r.edge, r.job_name) for r in found if r.slice == name) == sorted((r.interval_no, r.edge, r.job_name) for r in expected)
