@@ -2,13 +2,15 @@
 
 The nearest neighbours of a grid point are a fixed stretch of the grid, so the grid is cut into
 chunks at least one stretch long and each chunk is fitted with a copy of its two neighbours. The
-robust passes need the median residual of the whole series; the series is settled between passes
+tricube weight is a polynomial of the distance on either side of a point, so the sums of a fit follow
+from running sums of powers and cost the same for any number of neighbours. The robust passes need the median residual of the whole series; the series is settled between passes
 so that a pass reads the previous one and does not repeat it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -22,10 +24,12 @@ from nodeledger.schema import TREND_FRACTION, TREND_ROBUST_PASSES
 
 MIN_CHUNK = 512
 MIN_NEIGHBOURS = 3
+FEW_NEIGHBOURS = 64
 
 
-def _tricube(distance: np.ndarray) -> np.ndarray:
-    return np.clip(1.0 - distance**3, 0.0, None) ** 3
+# (1 - u**3)**3 by powers of u
+_TRICUBE = ((0, 1.0), (3, -3.0), (6, 3.0), (9, -1.0))
+_DEGREE = 11
 
 
 def _line_at_zero(weight, weight_d, weight_dd, value, value_d, own):
@@ -38,34 +42,83 @@ def _line_at_zero(weight, weight_d, weight_dd, value, value_d, own):
     return np.where(weight > 0, fitted, own)
 
 
+def _side_sums(moments: np.ndarray, first: np.ndarray, last: np.ndarray, shift: np.ndarray, shrink: np.ndarray, side: int, p: int) -> np.ndarray:
+    """For each point, the sum over one side of its neighbours of tricube weight, value and distance**p.
+
+    ``moments[q]`` are running sums of value * z**q for positions z around the stretch's centre,
+    ``shift`` is a point's own z, ``shrink`` its reach in units of z.
+    """
+    between = [m[last] - m[first] for m in moments]
+    total = np.zeros(len(first))
+    for power, coefficient in _TRICUBE:
+        q = power + p
+        about = np.zeros(len(first))
+        for s in range(q + 1):  # (z - shift)**q
+            about += comb(q, s) * between[s] * (-shift) ** (q - s)
+        # distances are negative on the left, their sizes are not
+        total += coefficient * side**power * about / shrink**power
+    return total
+
+
+def _by_moments(r, v, left, points, k, half):
+    """The five sums of each fit from running sums of powers, in a time that doesn't grow with ``k``."""
+    centre = (points[0] + points[-1]) / 2
+    z = (np.arange(len(r)) - centre) / half
+    powers = np.cumprod(np.vstack([np.ones_like(z), np.tile(z, (_DEGREE, 1))]), axis=0)
+    reach = np.maximum(points - left, left + k - 1 - points)
+    shift, shrink = (points - centre) / half, reach / half
+
+    def sums(value, degree):
+        running = np.hstack([np.zeros((_DEGREE + 1, 1)), np.cumsum(powers * value, axis=1)])
+        for p in range(degree + 1):
+            before = _side_sums(running, left, points, shift, shrink, -1, p)
+            yield (before + _side_sums(running, points, left + k, shift, shrink, 1, p)) * float(half) ** p
+
+    return [*sums(r, 2), *sums(r * v, 1)]
+
+
+def _one_by_one(r, v, left, points, k):
+    """The same sums, neighbour by neighbour."""
+    reach = np.maximum(points - left, left + k - 1 - points)
+    sums = np.zeros((5, len(points)))
+    for j in range(k):
+        at = left + j
+        d = (at - points).astype(float)
+        w = np.clip(1 - (np.abs(d) / reach) ** 3, 0, None) ** 3 * r[at]
+        sums += [w, w * d, w * d * d, w * v[at], w * v[at] * d]
+    return list(sums)
+
+
 def fit_stretch(y, robust, begin, end, offset, n, k) -> np.ndarray:
     """Fit positions ``begin`` to ``end`` of a series of ``n`` points with ``k`` neighbours each.
 
-    ``y`` and ``robust`` start at position ``offset`` and cover all neighbours needed.
+    ``y`` and ``robust`` start at position ``offset`` and cover all neighbours needed. Running sums are
+    centred anew for every eighth of a neighbourhood, which keeps the powers of distances small.
+    Where nearly all weight lies on one neighbour, rounding would decide; these points, and all of
+    a series with few neighbours, are summed neighbour by neighbour.
     """
-    fitted = np.empty(end - begin)
     half = k // 2
-    middle_begin = min(max(begin, half), end)
-    middle_end = max(min(end, n - k + half + 1), middle_begin)
-
-    if middle_end > middle_begin:
-        d = np.arange(-half, k - half, dtype=float)
-        tri = _tricube(np.abs(d) / half)
-        stretch = slice(middle_begin - half - offset, middle_end - 1 - half + k - offset)
-        r, ry = robust[stretch], robust[stretch] * y[stretch]
-        sums = [np.correlate(s, tri * d**p, "valid") for s, p in ((r, 0), (r, 1), (r, 2), (ry, 0), (ry, 1))]
-        own = y[middle_begin - offset : middle_end - offset]
-        fitted[middle_begin - begin : middle_end - begin] = _line_at_zero(*sums, own)
-
-    # At both ends of the series the neighbours stay put while the point moves.
-    for i in (*range(begin, middle_begin), *range(middle_end, end)):
-        left = min(max(i - half, 0), n - k)
-        d = np.arange(left - i, left + k - i, dtype=float)
-        w = _tricube(np.abs(d) / np.abs(d).max()) * robust[left - offset : left + k - offset]
-        v = w * y[left - offset : left + k - offset]
-        fitted[i - begin] = _line_at_zero(
-            w.sum(), (w * d).sum(), (w * d * d).sum(), v.sum(), (v * d).sum(), y[i - offset]
-        )
+    fitted = np.empty(end - begin)
+    step = max(64, half // 4)
+    for low in range(begin, end, step):
+        points = np.arange(low, min(low + step, end))
+        left = np.minimum(np.maximum(points - half, 0), n - k)
+        base = int(left[0])
+        here = slice(base - offset, int(left[-1]) + k - offset)
+        r, v = robust[here], y[here]
+        left, points = left - base, points - base
+        if k < FEW_NEIGHBOURS:
+            five = _one_by_one(r, v, left, points, k)
+        else:
+            five = _by_moments(r, v, left, points, k, half)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                spread = five[2] / five[0] - (five[1] / five[0]) ** 2
+            sure = (five[0] > 1e-6) & (spread > 1e-6 * half**2)
+            if not sure.all():
+                again = np.flatnonzero(~sure)
+                for total, part in zip(five, _one_by_one(r, v, left[again], points[again], k)):
+                    total[again] = part
+        fitted[low - begin : low - begin + len(points)] = _line_at_zero(*five, v[points])
     return fitted
 
 

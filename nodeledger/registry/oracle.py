@@ -623,6 +623,42 @@ def _trend(passes: int) -> str:
       FROM p{passes} JOIN f{passes} USING (x)"""
 
 
+def _long_trend(passes: int) -> str:
+    """The same over the whole log: inside the series every neighbourhood is a slice of its block's
+    values, multiplied with the fixed weights; the neighbourhoods at both ends are joined as above."""
+    fitted = lambda w, wd, wdd, wy, wdy: f"""CASE WHEN {w} > 0 THEN {wy} / {w} - ({wd} / {w}) * ({wdy} / {w} - ({wd} / {w}) * ({wy} / {w}))
+                / greatest({wdd} / {w} - ({wd} / {w}) * ({wd} / {w}), 1e-12) ELSE own END"""
+    steps = [
+        f"""{JOBS},{_grid_points('jobs')},
+    sized AS (SELECT count(*) AS n, CAST(floor(count(*) * 0.01 + 1e-10) AS BIGINT) AS k, min(grid_index) AS a FROM grid),
+    p0 AS (SELECT grid_time, grid_index - a AS x, pct AS y, 1.0::DOUBLE AS rw, n, k FROM grid, sized),
+    offsets AS (SELECT d, pow(1 - pow(abs(d) / (k // 2), 3), 3) AS w FROM (SELECT unnest(range(-(k // 2), k - k // 2)) AS d, k FROM sized)),
+    weights AS (SELECT list(w ORDER BY d) AS t0, list(w * d ORDER BY d) AS t1, list(w * d * d ORDER BY d) AS t2 FROM offsets),
+    near AS (SELECT x, y, k, l, greatest(x - l, l + k - 1 - x) AS h
+             FROM (SELECT *, least(greatest(x - k // 2, 0), n - k) AS l FROM p0) WHERE l <> x - k // 2)"""
+    ]
+    for i in range(passes + 1):
+        steps.append(f"""
+    b{i} AS (SELECT block, min(x) AS x0, list(rw ORDER BY x) AS rs, list(rw * y ORDER BY x) AS vs FROM (
+               SELECT x, y, rw, unnest([x // k - 1, x // k, x // k + 1]) AS block FROM p{i}) GROUP BY block),
+    m{i} AS (SELECT p.x, p.y AS own, rs[p.x - k // 2 - x0 + 1 : p.x - k // 2 - x0 + k] AS r, vs[p.x - k // 2 - x0 + 1 : p.x - k // 2 - x0 + k] AS v
+             FROM p{i} p JOIN b{i} ON block = p.x // k WHERE p.x >= k // 2 AND p.x - k // 2 <= n - k),
+    w{i} AS (SELECT c.x, c.y AS own, o.x - c.x AS d, o.y AS y, o.rw * pow(1 - pow(abs(o.x - c.x) / c.h, 3), 3) AS w
+             FROM near c JOIN p{i} o ON o.x >= c.l AND o.x < c.l + c.k),
+    s{i} AS (SELECT x, any_value(own) AS own, sum(w) AS w, sum(w * d) AS wd, sum(w * d * d) AS wdd, sum(w * y) AS wy, sum(w * d * y) AS wdy
+             FROM w{i} GROUP BY x
+             UNION ALL SELECT x, own, list_dot_product(r, t0), list_dot_product(r, t1), list_dot_product(r, t2), list_dot_product(v, t0), list_dot_product(v, t1)
+             FROM m{i}, weights),
+    f{i} AS (SELECT x, {fitted('w', 'wd', 'wdd', 'wy', 'wdy')} AS fit FROM s{i})""")
+        if i < passes:
+            steps.append(f"""
+    e{i} AS MATERIALIZED (SELECT grid_time, x, y, n, k, abs(y - fit) AS e FROM p{i} JOIN f{i} USING (x)),
+    p{i + 1} AS MATERIALIZED (SELECT grid_time, x, y, n, k, pow(1 - pow(least(1.0, CASE WHEN med = 0
+                 THEN (CASE WHEN e > 0 THEN 1.0 ELSE 0.0 END) ELSE e / (6 * med) END), 2), 2) AS rw FROM e{i}, (SELECT median(e) AS med FROM e{i}))""")
+    return f"""WITH {','.join(steps)}
+      SELECT grid_time, {r('y')} AS utilization_percent, {r('fit')} AS trend_percent FROM p{passes} JOIN f{passes} USING (x)"""
+
+
 def _utilization() -> dict[str, str]:
     instants = """instants AS (
               SELECT interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
@@ -661,6 +697,7 @@ def _utilization() -> dict[str, str]:
             FROM grid""",
         "utilization_trend": _trend(3),
         "utilization_trend_single_pass": _trend(0),
+        "utilization_trend_long": _long_trend(3),
         "over_capacity_intervals": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS}
             SELECT interval_no, start_timestamp, end_timestamp, {r('duration_seconds')} AS duration_seconds,
               max_nodes_used, {r('mean_nodes_used')} AS mean_nodes_used FROM intervals""",
@@ -690,8 +727,7 @@ def _utilization() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Equivalent SQL per query. ``utilization_trend_long`` has none: its neighbourhoods grow with
-    the square of the log's length, and it is tested against a direct fit instead."""
+    """Equivalent SQL of every query."""
     return {
         **_cleaning(),
         **_queues(),
