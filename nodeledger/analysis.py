@@ -47,17 +47,17 @@ def analyse(
 
 
 def _distributions(jobs, machine, slices):
-    grid = bins.size_walltime_grid(jobs, machine.size_bins, machine.walltime_bins, slices=slices)
+    counts = bins.job_counts(jobs, machine.size_bins, machine.walltime_bins, slices=slices)
     return {
         "dataset_profile": temporal.dataset_profile(jobs, slices=slices),
         "slices": slices_present(jobs),
         "hour_distribution": temporal.hour_distribution(jobs, slices=slices),
         "weekday_distribution": temporal.weekday_distribution(jobs, slices=slices),
         "dayofyear_distribution": temporal.dayofyear_distribution(jobs, slices=slices),
-        "job_size_histogram": bins.job_size_histogram(jobs, machine.size_bins, slices=slices),
-        "walltime_histogram": bins.walltime_histogram(jobs, machine.walltime_bins, slices=slices),
+        "job_size_histogram": counts["job_size"],
+        "walltime_histogram": counts["walltime"],
         "size_walltime_matrix": bins.size_walltime_matrix(
-            grid, machine.walltime_bins, groups=slice_keys(slices)
+            counts["size_walltime"], machine.walltime_bins, groups=slice_keys(slices)
         ),
         "scatter_points": bins.scatter_points(jobs, machine.max_nodes, slices=slices),
     }
@@ -66,14 +66,12 @@ def _distributions(jobs, machine, slices):
 def _per_queue_distributions(jobs, machine, slices):
     valid = clean.valid_queue_jobs(jobs, machine.queues)
     by_queue = {"keys": ("queue_name",), "slices": slices}
-    grid = bins.size_walltime_grid(valid, machine.size_bins, machine.walltime_bins, **by_queue)
+    counts = bins.job_counts(valid, machine.size_bins, machine.walltime_bins, **by_queue)
     return {
-        "queue_job_size_histogram": bins.job_size_histogram(valid, machine.size_bins, **by_queue),
-        "queue_walltime_histogram": bins.walltime_histogram(
-            valid, machine.walltime_bins, **by_queue
-        ),
+        "queue_job_size_histogram": counts["job_size"],
+        "queue_walltime_histogram": counts["walltime"],
         "queue_size_walltime_matrix": bins.size_walltime_matrix(
-            grid, machine.walltime_bins, groups=[*slice_keys(slices), "queue_name"]
+            counts["size_walltime"], machine.walltime_bins, groups=[*slice_keys(slices), "queue_name"]
         ),
         "queue_scatter_points": bins.scatter_points(valid, machine.max_nodes, **by_queue),
     }

@@ -18,6 +18,7 @@ from nodeledger.operators.slices import (
 )
 from nodeledger.plans.attach import attach
 from nodeledger.plans.dense import densify
+from nodeledger.plans.settle import settle
 from nodeledger.schema import MIN_SCATTER_WALLTIME
 from nodeledger.sources.machine import Bin
 
@@ -72,9 +73,11 @@ def histogram(
     slices: Sequence[str] | None = None,
 ) -> DataFrame:
     """Jobs per bin with all empty bins kept; percent and share are of the binned jobs."""
-    groups = [*slice_keys(slices), *keys]
     binned = assign_bin(df, column, bins, "bin_id")
-    counts = _counted(binned, ["bin_id"], keys, slices)
+    return _histogram_of(_counted(binned, ["bin_id"], keys, slices), bins, [*slice_keys(slices), *keys])
+
+
+def _histogram_of(counts: DataFrame, bins: Sequence[Bin], groups: Sequence[str]) -> DataFrame:
     full = densify(counts, groups, "bin_id", "n_jobs", _axis(len(bins)), total="_binned")
     share = ratio(F.col("n_jobs"), F.col("_binned"))
     # Bars are shown in the order of the bins' lower bounds.
@@ -108,12 +111,18 @@ def size_walltime_grid(
     slices: Sequence[str] | None = None,
 ) -> DataFrame:
     """Jobs per (size bin, walltime bin) with all empty cells kept."""
-    groups = [*slice_keys(slices), *keys]
-    width = len(walltime_bins)
     binned = assign_bin(df, "nodes_used", size_bins, "size_bin")
     binned = assign_bin(binned, "walltime_seconds", walltime_bins, "walltime_bin")
-    cell = F.col("size_bin") * width + F.col("walltime_bin")
-    counts = _counted(binned.withColumn("_cell", cell), ["_cell"], keys, slices)
+    counts = _counted(binned.withColumn("_cell", _cell(walltime_bins)), ["_cell"], keys, slices)
+    return _grid_of(counts, size_bins, walltime_bins, [*slice_keys(slices), *keys])
+
+
+def _cell(walltime_bins: Sequence[Bin]) -> Column:
+    return F.col("size_bin") * len(walltime_bins) + F.col("walltime_bin")
+
+
+def _grid_of(counts: DataFrame, size_bins: Sequence[Bin], walltime_bins: Sequence[Bin], groups: Sequence[str]) -> DataFrame:
+    width = len(walltime_bins)
     full = densify(counts, groups, "_cell", "n_jobs", _axis(len(size_bins) * width))
     placed = full.select(
         *groups,
@@ -148,14 +157,44 @@ def size_walltime_matrix(
     return attach(rows, largest, groups).filter(F.col("max_cell") > 0)
 
 
+def _held_by(column: str, bins: Sequence[Bin]) -> Column:
+    """The indexes of all bins that hold a value."""
+    return F.array_compact(F.array(*[F.when(_inside(F.col(column), b), F.lit(i)) for i, b in enumerate(bins)]))
+
+
 def job_counts(
-    df: DataFrame, size_bins: Sequence[Bin], walltime_bins: Sequence[Bin], **groups
+    df: DataFrame,
+    size_bins: Sequence[Bin],
+    walltime_bins: Sequence[Bin],
+    *,
+    keys: Sequence[str] = (),
+    slices: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
-    """The two histograms and the grid together."""
+    """The two histograms and the grid together, from one pass over the jobs.
+
+    Jobs are counted by the bins that hold their size and those that hold their walltime. These few
+    counts are written once, and each table adds them up.
+    """
+    groups = [*slice_keys(slices), *keys]
+    cells = {"_sizes": _held_by("nodes_used", size_bins), "_times": _held_by("walltime_seconds", walltime_bins)}
+    joint = settle(_counted(df.withColumns(cells), list(cells), keys, slices))
+
+    def along(*axes: str) -> DataFrame:
+        spread = joint
+        for held, out in (("_sizes", "size_bin"), ("_times", "walltime_bin")):
+            if out in axes:
+                spread = spread.withColumn(out, F.explode_outer(held))
+        return spread
+
+    def added(rows: DataFrame, cell: Column, name: str) -> DataFrame:
+        return rows.groupBy(*groups, cell.alias(name)).agg(F.sum("n_jobs").alias("n_jobs"))
+
+    sizes, times = added(along("size_bin"), F.col("size_bin"), "bin_id"), added(along("walltime_bin"), F.col("walltime_bin"), "bin_id")
+    both = added(along("size_bin", "walltime_bin"), _cell(walltime_bins), "_cell")
     return {
-        "job_size": job_size_histogram(df, size_bins, **groups),
-        "walltime": walltime_histogram(df, walltime_bins, **groups),
-        "size_walltime": size_walltime_grid(df, size_bins, walltime_bins, **groups),
+        "job_size": _histogram_of(sizes, size_bins, groups),
+        "walltime": _histogram_of(times, walltime_bins, groups),
+        "size_walltime": _grid_of(both, size_bins, walltime_bins, groups),
     }
 
 
@@ -184,16 +223,29 @@ def scatter_points(
     )
 
 
-def scatter_bounds(
-    df: DataFrame, points: DataFrame, *, slices: Sequence[str] | None = None
-) -> DataFrame:
-    """Axis limits: 1.1 times the longest walltime of all jobs, first and last point shown."""
+def scatter_bounds(df: DataFrame, *, slices: Sequence[str] | None = None) -> DataFrame:
+    """Axis limits of :func:`scatter_points`: 1.1 times the longest walltime of all jobs, first and last point shown.
+
+    One pass: both are aggregated by start and queue month, from which slices follow.
+    """
     groups = slice_keys(slices)
-    top = with_slices(df, slices).groupBy(*groups).agg(
-        (F.max("walltime_seconds") * 1.1).alias("walltime_top")
+    shown = F.col("walltime_seconds") >= MIN_SCATTER_WALLTIME
+    queued = F.col("queued_timestamp")
+    tags = {"_queued": F.substring(queued.cast("string"), 1, 7)} if slices else {}
+    by_month = tag_period(df.withColumns(tags) if tags else df, slices).groupBy(*period_keys(slices), *tags).agg(
+        F.max("walltime_seconds").alias("_longest"),
+        F.count_if(shown).alias("_shown"),
+        F.min(F.when(shown, queued)).alias("_first"),
+        F.max(F.when(shown, queued)).alias("_last"),
     )
-    span = points.groupBy(*groups).agg(
-        F.min("queued_timestamp").alias("first_queued"),
-        F.max("queued_timestamp").alias("last_queued"),
+    sliced = fan_out(by_month, slices)
+    inside = (F.col(SLICE) == "all") | F.startswith(F.col("_queued"), F.col(SLICE)) if slices else F.lit(True)
+    found = sliced.groupBy(*groups).agg(
+        F.min(F.when(inside, F.col("_first"))).alias("first_queued"),
+        F.max(F.when(inside, F.col("_last"))).alias("last_queued"),
+        F.sum(F.when(inside, F.col("_shown"))).alias("_points"),
+        (F.max("_longest") * 1.1).alias("walltime_top"),
     )
-    return attach(span, top, groups)
+    if slices:  # a slice without a point has no chart
+        found = found.filter(F.col("_points") > 0)
+    return found.select(*groups, "first_queued", "last_queued", "walltime_top")

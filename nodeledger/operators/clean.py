@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from nodeledger.functions.times import seconds_between
@@ -127,38 +128,79 @@ def clean_jobs(raw: DataFrame) -> DataFrame:
     return dedup_jobs(clean_filters(select_clean_columns(typed)))
 
 
+def _audit_rows(counts: dict[str, Column]) -> Column:
+    """The audit's rows from the number of rows read and left after each step, in order."""
+    chain = list(counts)
+    rows = [
+        F.struct(
+            F.lit(i).alias("step"),
+            F.lit(after).alias("rule"),
+            counts[before].alias("rows_before"),
+            counts[after].alias("rows_after"),
+            (counts[before] - counts[after]).alias("rows_dropped"),
+        )
+        for i, (before, after) in enumerate(zip(chain, chain[1:]), start=1)
+    ]
+    return F.inline(F.array(*rows))
+
+
+def _passed() -> dict[str, Column]:
+    """For each rule, whether a row passes it and those before."""
+    passed, out = F.lit(True), {}
+    for name, rule in _rules().items():
+        passed = passed & rule
+        out[name] = passed
+    return out
+
+
 def cleaning_audit(raw: DataFrame) -> DataFrame:
     """Rows before and after each rule and the deduplication, one row per step.
 
     The rules are counted in one pass, as each job name's counts; adding those up also gives the
     number of distinct names.
     """
-    typed = normalize_columns(raw)
-    passed = F.lit(True)
-    counts = [F.count(F.lit(1)).alias("_read")]
-    steps = []
-    for name, rule in _rules().items():
-        passed = passed & rule
-        counts.append(F.count_if(passed).alias(name))
-        steps.append(name)
-    per_name = typed.groupBy("job_name").agg(*counts)
+    steps = _passed()
+    counts = [F.count_if(passed).alias(name) for name, passed in steps.items()]
+    per_name = normalize_columns(raw).groupBy("job_name").agg(F.count(F.lit(1)).alias("_read"), *counts)
     totals = per_name.agg(
-        F.coalesce(F.sum("_read"), F.lit(0)).alias("_read"),
-        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in steps],
-        F.count_if(F.col(steps[-1]) > 0).alias("unique_job_name"),
+        *[F.coalesce(F.sum(s), F.lit(0)).alias(s) for s in ("_read", *steps)],
+        F.count_if(F.col(list(steps)[-1]) > 0).alias("unique_job_name"),
     )
-    chain = ["_read", *steps, "unique_job_name"]
-    rows = [
-        F.struct(
-            F.lit(i).alias("step"),
-            F.lit(after).alias("rule"),
-            F.col(before).alias("rows_before"),
-            F.col(after).alias("rows_after"),
-            (F.col(before) - F.col(after)).alias("rows_dropped"),
-        )
-        for i, (before, after) in enumerate(zip(chain, chain[1:]), start=1)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+    return totals.select(_audit_rows({s: F.col(s) for s in ("_read", *steps, "unique_job_name")}))
+
+
+def _observed(metrics: Observation) -> dict[str, int]:
+    """What was counted; nothing where an empty log let Spark skip the counting step."""
+    try:
+        return metrics.get
+    except Py4JJavaError:
+        return {}
+
+
+class AuditedCleaning:
+    """The cleaning stage with its audit, counted by the tasks that clean.
+
+    ``jobs`` is the cleaned log. After its first action, writing it for example, ``audit()`` is
+    what :func:`cleaning_audit` computes by a pass of its own. Counts are of the rows the action
+    went through: a task repeated because its shuffle files were lost counts again, so after
+    lost executors the numbers are upper bounds; :func:`cleaning_audit` is exact always.
+    """
+
+    def __init__(self, raw: DataFrame):
+        self._spark = raw.sparkSession
+        self._read, self._kept = Observation(), Observation()
+        counts = [F.count_if(passed).alias(name) for name, passed in _passed().items()]
+        typed = normalize_columns(raw).observe(self._read, F.count(F.lit(1)).alias("_read"), *counts)
+        cleaned = dedup_jobs(clean_filters(select_clean_columns(derive_wait(typed))))
+        self.jobs = cleaned.observe(self._kept, F.count(F.lit(1)).alias("unique_job_name"))
+
+    def audit(self) -> DataFrame:
+        """The audit as a table; waits for the action on ``jobs``."""
+        order = ("_read", *_rules(), "unique_job_name")
+        found = _observed(self._read) | _observed(self._kept)
+        found = {n: found.get(n, 0) for n in order}
+        counts = {n: F.lit(v).cast("bigint") for n, v in found.items()}
+        return self._spark.range(1).select(_audit_rows({n: counts[n] for n in order}))
 
 
 def successful_jobs(df: DataFrame) -> DataFrame:
@@ -167,10 +209,14 @@ def successful_jobs(df: DataFrame) -> DataFrame:
     return df.filter(F.col("exit_code").isin(*SUCCESS_EXIT_CODES))
 
 
-def _marked(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:
-    """``df`` with ``_valid``: whether the job's queue is configured."""
+def _require_some(queues: DataFrame | Sequence[str] | None) -> None:
     if queues is None or (not isinstance(queues, DataFrame) and not queues):
         raise ValueError("a list of valid queues is required")
+
+
+def _marked(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:
+    """``df`` with ``_valid``: whether the job's queue is configured."""
+    _require_some(queues)
     if isinstance(queues, DataFrame):
         names = queues.select(F.col("queue_name"), F.lit(True).alias("_valid")).dropna().distinct()
         return df.join(names, "queue_name", "left").withColumn("_valid", F.coalesce("_valid", F.lit(False)))
@@ -185,7 +231,9 @@ def valid_queue_jobs(df: DataFrame, queues: DataFrame | Sequence[str] | None) ->
     """
     if isinstance(queues, DataFrame):
         return df.join(queues.select("queue_name"), "queue_name", "left_semi").select(*df.columns)
-    return _marked(df, queues).filter("_valid").select(*df.columns)
+    _require_some(queues)
+    # as it stands, without a coalesce around it, which a scan could not use
+    return df.filter(F.col("queue_name").isin(*[q for q in queues if q is not None]))
 
 
 def dropped_queue_jobs(df: DataFrame, queues: DataFrame | Sequence[str] | None) -> DataFrame:

@@ -21,6 +21,7 @@ from nodeledger.operators.slices import (
 )
 from nodeledger.plans.attach import attach
 from nodeledger.plans.dense import densify
+from nodeledger.plans.settle import settle
 from nodeledger.schema import AREA_SHARE_PERCENT, PIE_SHARE_PERCENT, TOP_QUEUES, require_columns
 
 OTHER = "Other"
@@ -160,16 +161,31 @@ def core_hours_share(
     return merged.select(*groups, "queue_label", "core_hours", percent)
 
 
-def _scope(df: DataFrame, slices: Sequence[str] | None) -> DataFrame:
+def _daily_extent(df: DataFrame, slices: Sequence[str] | None) -> DataFrame:
+    """Daily sums of each queue with their first and last start; jobs without a queue among them.
+
+    A small table, written once: the tables, which have no nameless queue, and the extent, which
+    counts all jobs, are both rolled up from it.
+    """
+    require_columns(df, *_NEEDED)
+    start = F.col("start_timestamp")
+    day = calendar_bucket("start_timestamp", "daily").alias("_day")
+    started = tag_period(df.filter(start.isNotNull()), slices)
+    daily = started.groupBy(*period_keys(slices), day, "queue_name").agg(
+        _hours(), F.min(start).alias("_first"), F.max(start).alias("_last")
+    )
+    return settle(daily)
+
+
+def _scope(daily: DataFrame, slices: Sequence[str] | None) -> DataFrame:
     """Per slice: the number of years and months with jobs and the granularity of its full range.
 
     The span is counted in whole days. A month means the month of any year.
     """
     groups = slice_keys(slices)
-    start = F.col("start_timestamp")
-    months = tag_period(df.filter(start.isNotNull()), slices).groupBy(
-        *period_keys(slices), F.year(start).alias("_year"), F.month(start).alias("_month")
-    ).agg(F.min(start).alias("_first"), F.max(start).alias("_last"))
+    months = daily.groupBy(*period_keys(slices), F.year("_day").alias("_year"), F.month("_day").alias("_month")).agg(
+        F.min("_first").alias("_first"), F.max("_last").alias("_last")
+    )
     ends = fan_out(months, slices).groupBy(*groups).agg(
         F.min("_first").alias("_first"),
         F.max("_last").alias("_last"),
@@ -186,14 +202,10 @@ def _scope(df: DataFrame, slices: Sequence[str] | None) -> DataFrame:
 
 
 def _with_scope(df: DataFrame, slices: Sequence[str] | None = None) -> DataFrame:
-    """Daily sums with the extent of their slice.
-
-    The extent is declared not null: a null filter on it would be pushed into the scan, which would
-    then wait for the extent and share nothing with the scan that finds it.
-    """
-    day = calendar_bucket("start_timestamp", "daily").alias("_day")
-    sums = tag_period(_located(df), slices).groupBy(*period_keys(slices), day, "queue_name").agg(_hours())
-    sized = attach(fan_out(sums, slices), _scope(df, slices), slice_keys(slices))
+    """Daily sums with the extent of their slice, which follows from the sums themselves."""
+    daily = _daily_extent(df, slices)
+    named = fan_out(daily.filter(F.col("queue_name").isNotNull()).drop("_first", "_last"), slices)
+    sized = attach(named, _scope(daily, slices), slice_keys(slices))
     return sized.withColumns(
         {
             "_by_span": F.coalesce("_by_span", F.lit("monthly")),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nodeledger.functions.columns import ratio
 from nodeledger.operators.slices import fan_out, period_keys, slice_keys, tag_period
-from nodeledger.plans.quantiles import exact_quantiles
+from nodeledger.plans.quantiles import described
 from nodeledger.schema import REPORT_METRICS, require_columns
 
 
@@ -79,7 +79,9 @@ def metric_stats(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quantiles of each metric, in long form.
 
-    Missing values are left out; a metric without values in a group has no row.
+    Missing values are left out; a metric without values in a group has no row. Everything follows
+    from how often each value occurs, so the log is read once and only these counts, by month, are
+    copied to their slices.
     """
     groups = [*slice_keys(slices), *keys]
     named = tag_period(df, slices).select(
@@ -90,28 +92,13 @@ def metric_stats(
     for key in keys:
         named = named.filter(F.col(key).isNotNull())
 
-    def moments(metric: str) -> Column:
-        return F.struct(
-            F.lit(metric).alias("metric"),
-            F.count(metric).alias("n_values"),
-            F.avg(metric).alias("mean"),
-            F.stddev_samp(metric).alias("std"),
-            F.min(metric).alias("min"),
-            F.max(metric).alias("max"),
-        )
-
-    wide = fan_out(named, slices).groupBy(*groups).agg(
-        F.array(*[moments(m) for m in metrics]).alias("_moments")
-    )
-    described = wide.select(*groups, F.inline("_moments")).filter(F.col("n_values") > 0)
-
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
     values = named.select(*period_keys(slices), *keys, F.inline(pairs)).filter(F.col("value").isNotNull())
     counts = values.groupBy(*period_keys(slices), *keys, "metric", "value").agg(F.count("*").alias("n"))
     if slices:
         counts = fan_out(counts, slices).groupBy(*groups, "metric", "value").agg(F.sum("n").alias("n"))
-    quantiles = exact_quantiles(counts, [*groups, "metric"], "value", "n", _QUANTILES)
-    return described.join(quantiles, [*groups, "metric"]).select(*groups, "metric", *_STATISTICS)
+    stats = described(counts, [*groups, "metric"], "value", "n", _QUANTILES)
+    return stats.select(*groups, "metric", *_STATISTICS)
 
 
 def efficiency_metric() -> dict[str, Column]:

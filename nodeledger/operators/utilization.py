@@ -113,18 +113,23 @@ def utilization_grid(
 ) -> DataFrame:
     """Nodes in use at every grid point from just before the first to just before the last event.
 
-    Each instant writes the grid points up to the next instant, so no ordering is needed. Before
-    the first instant the level is 0.
+    Each instant writes the grid points up to the next instant, so no ordering is needed. A gap is
+    cut into days first and then into the points of each, so no row holds the points of a long gap.
+    Before the first instant the level is 0.
     """
     step = minutes * 60
+    per_day = max(1, _SECONDS_PER_DAY // step)
     micros = F.lit(step * 1_000_000)
     here, following = epoch_micros("t") / micros, epoch_micros("next_t") / micros
     first = F.when(F.col("event_no") == 1, F.floor(here)).otherwise(F.ceil(here))
     last = F.coalesce(F.ceil(following) - 1, F.floor(here))
+    from_day = F.greatest("_first", F.col("_day") * per_day)
+    to_day = F.least("_last", F.col("_day") * per_day + (per_day - 1))
     points = (
         nodes.withColumns({"_first": first, "_last": last})
         .filter(F.col("_first") <= F.col("_last"))
-        .select(*keys, "t", "nodes_in_use", F.explode(F.sequence("_first", "_last")).alias("grid_index"))
+        .withColumn("_day", F.explode(F.sequence(F.floor(F.col("_first") / per_day), F.floor(F.col("_last") / per_day))))
+        .select(*keys, "t", "nodes_in_use", F.explode(F.sequence(from_day, to_day)).alias("grid_index"))
         .withColumn("grid_time", bucket_start(F.col("grid_index"), step))
     )
     level = F.when(F.col("grid_time") < F.col("t"), F.lit(0)).otherwise(F.col("nodes_in_use"))

@@ -28,33 +28,27 @@ def value_bucket(value: Column) -> Column:
     return F.coalesce(F.when(value < 0, -size - 1).otherwise(size), F.lit(0).cast("bigint"))
 
 
-def exact_quantiles(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    n: str,
-    probabilities: dict[str, float],
-) -> DataFrame:
-    """Linearly interpolated quantiles per key, one column per entry of ``probabilities``.
+def _bucket_base(bucket: Column) -> Column:
+    """A value in or next to a bucket."""
+    size = F.pow(F.lit(2.0), F.when(bucket < 0, -bucket - 1).otherwise(bucket) / BUCKETS_PER_DOUBLING) - 1
+    return F.when(bucket < 0, -size).otherwise(size)
 
-    ``counts`` has one row per (``keys``, ``value``) with its number of occurrences ``n``; keys and
-    values are not null.
-    """
-    keys = list(keys)
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
 
-    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(F.sum(n).alias("_size"))
+def _placed(bucketed: DataFrame, keys: Sequence[str], n: str, *more: Column) -> DataFrame:
+    """One row per bucket: its size, how many values come before it, and the last rank of its group."""
+    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(F.sum(n).alias("_size"), *more)
     upto = Window.partitionBy(*keys).orderBy("_bucket")
-    whole = Window.partitionBy(*keys)
     placed = per_bucket.withColumn("_before", F.sum("_size").over(upto) - F.col("_size"))
-    placed = placed.withColumn("_last", F.sum("_size").over(whole) - 1)
+    return placed.withColumn("_last", F.sum("_size").over(Window.partitionBy(*keys)) - 1)
+
 
+def _at_ranks(bucketed: DataFrame, placed: DataFrame, keys: Sequence[str], value: str, n: str, probabilities: dict[str, float]) -> DataFrame:
     position = {q: F.col("_last") * F.lit(p) for q, p in probabilities.items()}
     ranks = [f(position[q]) for q in probabilities for f in (F.floor, F.ceil)]
     wanted = F.lit(False)
     for rank in ranks:
         wanted = wanted | ((rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_size")))
-    candidates = placed.filter(wanted).drop("_size")
+    candidates = placed.filter(wanted).select(*keys, "_bucket", "_before", "_last")
 
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -81,3 +75,63 @@ def exact_quantiles(
             for q in probabilities
         ],
     )
+
+
+def exact_quantiles(
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    n: str,
+    probabilities: dict[str, float],
+) -> DataFrame:
+    """Linearly interpolated quantiles per key, one column per entry of ``probabilities``.
+
+    ``counts`` has one row per (``keys``, ``value``) with its number of occurrences ``n``; keys and
+    values are not null.
+    """
+    keys = list(keys)
+    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    return _at_ranks(bucketed, _placed(bucketed, keys, n), keys, value, n, probabilities)
+
+
+def described(
+    counts: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    n: str,
+    probabilities: dict[str, float],
+) -> DataFrame:
+    """``n_values``, ``mean``, ``std`` (of a sample), ``min``, ``max`` and quantiles per key.
+
+    All from the counts of values that the quantiles need. Each bucket has its own centred moments,
+    sums of distances from a value next to it, and buckets are merged about the mean of the group:
+    squares of large values are never subtracted from each other.
+    """
+    keys = list(keys)
+    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    away = F.col(value) - _bucket_base(F.col("_bucket"))
+    placed = _placed(
+        bucketed,
+        keys,
+        n,
+        F.sum(F.col(n) * away).alias("_first"),
+        F.sum(F.col(n) * away * away).alias("_second"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
+    )
+    size = F.col("_size")
+    own_mean = _bucket_base(F.col("_bucket")) + F.col("_first") / size
+    whole = F.sum(size * F.col("_own")).over(Window.partitionBy(*keys)) / (F.col("_last") + 1)
+    merged = placed.withColumn("_own", own_mean).withColumn("_mean", whole)
+    apart = F.col("_own") - F.col("_mean")
+    squares = F.greatest(F.col("_second") - F.col("_first") * F.col("_first") / size, F.lit(0.0)) + size * apart * apart
+    moments = merged.groupBy(*keys).agg(
+        F.sum("_size").alias("n_values"),
+        F.first("_mean").alias("mean"),
+        F.sum(squares).alias("_squares"),
+        F.min("_min").alias("min"),
+        F.max("_max").alias("max"),
+    )
+    spread = F.when(F.col("n_values") > 1, F.sqrt(F.col("_squares") / (F.col("n_values") - 1)))
+    quantiles = _at_ranks(bucketed, placed, keys, value, n, probabilities)
+    return moments.withColumn("std", spread).drop("_squares").join(quantiles, keys)

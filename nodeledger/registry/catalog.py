@@ -23,8 +23,9 @@ from nodeledger.operators import (
 )
 from nodeledger.plans.settle import checkpoint_folder, settle
 from nodeledger.registry.logs import MACHINE, QUEUES, event_jobs, jobs, raw_jobs
-from nodeledger.sources.joblog import read_clean_log, scan_job_logs
-from nodeledger.sources.sinks import write_clean_jobs
+from nodeledger.sources.joblog import read_clean_log, read_filtered_by_source, scan_job_logs
+from nodeledger.sources.machine import Machine, read_machine
+from nodeledger.sources.sinks import file_audit, write_clean_jobs, write_filtered_by_source
 
 CAPACITY = MACHINE.max_nodes
 SIZES, WALLTIMES = MACHINE.size_bins, MACHINE.walltime_bins
@@ -127,6 +128,67 @@ def _write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.groupBy("start_year", "start_month").agg(F.count("*").alias("n_jobs"))
 
 
+def _audit_of_writing(log: DataFrame) -> DataFrame:
+    """Clean and write the log, and return the audit that its tasks counted."""
+    cleaning = clean.AuditedCleaning(log)
+    write_clean_jobs(cleaning.jobs, _new_folder(log.sparkSession))
+    return cleaning.audit()
+
+
+def _files(log: DataFrame) -> DataFrame:
+    """The raw log with the file that each job would be from, one for every exit code and year."""
+    year = F.coalesce(F.year("queued_timestamp").cast("string"), F.lit("none"))
+    return log.withColumn("source_file", F.concat(F.lit("log_"), year, F.lit("_"), F.col("exit_code"), F.lit(".csv.gz")))
+
+
+def _filtered_files(log: DataFrame) -> DataFrame:
+    """Write the filtered jobs of each source file on their own and describe each written file."""
+    folder = _new_folder(log.sparkSession)
+    raw = _files(log)
+    write_filtered_by_source(raw, folder)
+    written = read_filtered_by_source(log.sparkSession, folder)
+    return file_audit(raw, written)
+
+
+def _machine_of_files(spark: SparkSession, sf_dir: str) -> Machine:
+    """The machine's four files, written in the layout of a machine folder and read again."""
+    folder = _new_folder(spark)
+    top = lambda b: "infinity" if b.hi == float("inf") else str(int(b.hi))
+    files = {
+        "job_dimension.csv": ("name string, min string, max string", [(b.name, str(int(b.lo)), top(b)) for b in SIZES]),
+        "walltime.csv": ("name string, min string, max string", [(b.name, str(int(b.lo)), top(b)) for b in WALLTIMES]),
+        "max_nodes.csv": ("max_nodes string", [(str(CAPACITY),)]),
+        "queue_names.csv": ("queue_name string, min_nodes string", [(q, "1") for q in QUEUES]),
+    }
+    for name, (schema, rows) in files.items():
+        spark.createDataFrame(rows, schema).coalesce(1).write.option("header", True).csv(f"{folder}/{name}")
+    return read_machine(spark, folder, with_queues=True)
+
+
+def _grid_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The jobs of configured queues by the configured bins, beside the configured capacity."""
+    machine = _machine_of_files(spark, sf_dir)
+    valid = clean.valid_queue_jobs(jobs(spark, sf_dir), machine.queues)
+    grid = bins.size_walltime_grid(valid, machine.size_bins, machine.walltime_bins)
+    return comparable(grid.withColumn("capacity", F.lit(machine.max_nodes)))
+
+
+def _all_counts(log: DataFrame) -> DataFrame:
+    """The three tables of :func:`bins.job_counts` under each other."""
+    tables = bins.job_counts(log, SIZES, WALLTIMES)
+    none = F.lit(None).cast("string")
+    labels = {
+        "job_size": (F.col("range_label"), none),
+        "walltime": (none, F.col("range_label")),
+        "size_walltime": (F.col("size_label"), F.col("walltime_label")),
+    }
+    parts = [
+        tables[part].select(F.lit(part).alias("part"), size.alias("size_label"), walltime.alias("walltime_label"), "n_jobs")
+        for part, (size, walltime) in labels.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _intervals(log: DataFrame) -> DataFrame:
     return capacity.over_capacity_intervals(settle(utilization.nodes_in_use(log)), CAPACITY)
 
@@ -172,10 +234,6 @@ def _matrix(log: DataFrame) -> DataFrame:
     return bins.size_walltime_matrix(grid, WALLTIMES)
 
 
-def _bounds(log: DataFrame) -> DataFrame:
-    return bins.scatter_bounds(log, bins.scatter_points(log, CAPACITY))
-
-
 def queries() -> dict[str, Query]:
     by_queue = {"keys": ("queue_name",)}
     return {
@@ -190,12 +248,15 @@ def queries() -> dict[str, Query]:
         "successful_jobs": _on(jobs, clean.successful_jobs),
         "valid_queue_jobs": _on(jobs, clean.valid_queue_jobs, QUEUES),
         "dropped_queue_jobs": _on(jobs, clean.dropped_queue_jobs, QUEUES),
+        "cleaning_audit_of_writing": _on(raw_jobs, _audit_of_writing),
         "slices": _on(jobs, slices.slices_present),
         "slice_counts": _on(jobs, slices.slice_counts),
         # sources and sinks
         "scan_job_logs": _scan_written,
         "write_clean_jobs": _write_and_read,
         "write_partitioned_jobs": _write_partitioned,
+        "write_filtered_by_source": _on(raw_jobs, _filtered_files),
+        "grid_of_machine_files": _grid_of_files,
         # queue statistics
         "queue_summary": _on(jobs, queue_stats.queue_summary),
         "queue_summary_totals": _on(jobs, queue_stats.queue_summary_totals),
@@ -216,6 +277,7 @@ def queries() -> dict[str, Query]:
         "queue_size_walltime_grid": _on(
             _valid, bins.size_walltime_grid, SIZES, WALLTIMES, **by_queue
         ),
+        "job_counts": _on(jobs, _all_counts),
         "job_size_histogram_by_slice": _on(jobs, bins.job_size_histogram, SIZES, slices=EVERY),
         "walltime_histogram_by_slice": _on(jobs, bins.walltime_histogram, WALLTIMES, slices=EVERY),
         "size_walltime_grid_by_slice": _on(
@@ -224,7 +286,7 @@ def queries() -> dict[str, Query]:
         "scatter_points": _on(jobs, bins.scatter_points, CAPACITY),
         "queue_scatter_points": _on(_valid, bins.scatter_points, CAPACITY, **by_queue),
         "scatter_points_by_slice": _on(jobs, bins.scatter_points, CAPACITY, slices=EVERY),
-        "scatter_bounds": _on(jobs, _bounds),
+        "scatter_bounds": _on(jobs, bins.scatter_bounds),
         # temporal distributions
         "hourly_counts": _on(jobs, temporal.hourly_counts),
         "weekday_counts": _on(jobs, temporal.weekday_counts),

@@ -123,7 +123,29 @@ def _cleaning() -> dict[str, str]:
         ELSE CAST({t} AS VARCHAR) END AS TIMESTAMP) AS {t}"""
         for t in times
     )
+    named = "concat('log_', coalesce(CAST(year(queued_timestamp) AS VARCHAR), 'none'), '_', exit_code, '.csv.gz')"
+    audit = f"""WITH {RAW}, counted AS (
+              SELECT count(*) AS n0,
+                count(*) FILTER (runtime_seconds < 1.5 * walltime_seconds) AS n1,
+                count(*) FILTER (runtime_seconds < 1.5 * walltime_seconds
+                                 AND runtime_seconds >= 0 AND walltime_seconds >= 0) AS n2,
+                count(*) FILTER ({KEEP}) AS n3,
+                (SELECT count(*) FROM (SELECT DISTINCT job_name FROM raw WHERE {KEEP})) AS n4
+              FROM raw)
+            SELECT step, rule, rows_before, rows_after, rows_before - rows_after AS rows_dropped
+            FROM (SELECT 1 AS step, 'runtime_within_limit' AS rule, n0 AS rows_before, n1 AS rows_after FROM counted
+              UNION ALL SELECT 2, 'non_negative_times', n1, n2 FROM counted
+              UNION ALL SELECT 3, 'non_negative_core_hours', n2, n3 FROM counted
+              UNION ALL SELECT 4, 'unique_job_name', n3, n4 FROM counted)"""
     return {
+        "cleaning_audit_of_writing": audit,
+        "write_filtered_by_source": f"""WITH {RAW}, files AS (SELECT *, {named} AS source_file FROM raw),
+            held AS (SELECT source_file, count(*) AS n, count(DISTINCT job_name) AS names, CAST(sum(nodes_used) AS BIGINT) AS nodes_used,
+                {r('sum(runtime_seconds)')} AS runtime_seconds, min(queued_timestamp) AS first_queued, max(end_timestamp) AS last_end
+              FROM files WHERE {KEEP} GROUP BY source_file)
+            SELECT source_file, rows_read, coalesce(n, 0) AS rows_written, coalesce(names, 0) AS job_names, nodes_used, runtime_seconds,
+              first_queued, last_end
+            FROM (SELECT source_file, count(*) AS rows_read FROM files GROUP BY source_file) LEFT JOIN held USING (source_file)""",
         "clean_jobs": f"WITH {JOBS} SELECT {_CLEAN} FROM jobs",
         "write_clean_jobs": f"WITH {JOBS} SELECT {_CLEAN} FROM jobs",
         "scan_job_logs": f"WITH {RAW} SELECT {_RAW} FROM raw",
@@ -140,19 +162,7 @@ def _cleaning() -> dict[str, str]:
         "clean_filters": f"WITH {RAW} SELECT {_RAW} FROM raw WHERE {KEEP}",
         "dedup_jobs": f"""WITH {RAW} SELECT {_RAW} FROM raw
             QUALIFY row_number() OVER (PARTITION BY job_name ORDER BY {ORDER}) = 1""",
-        "cleaning_audit": f"""WITH {RAW}, counted AS (
-              SELECT count(*) AS n0,
-                count(*) FILTER (runtime_seconds < 1.5 * walltime_seconds) AS n1,
-                count(*) FILTER (runtime_seconds < 1.5 * walltime_seconds
-                                 AND runtime_seconds >= 0 AND walltime_seconds >= 0) AS n2,
-                count(*) FILTER ({KEEP}) AS n3,
-                (SELECT count(*) FROM (SELECT DISTINCT job_name FROM raw WHERE {KEEP})) AS n4
-              FROM raw)
-            SELECT step, rule, rows_before, rows_after, rows_before - rows_after AS rows_dropped
-            FROM (SELECT 1 AS step, 'runtime_within_limit' AS rule, n0 AS rows_before, n1 AS rows_after FROM counted
-              UNION ALL SELECT 2, 'non_negative_times', n1, n2 FROM counted
-              UNION ALL SELECT 3, 'non_negative_core_hours', n2, n3 FROM counted
-              UNION ALL SELECT 4, 'unique_job_name', n3, n4 FROM counted)""",
+        "cleaning_audit": audit,
         "successful_jobs": f"WITH {JOBS},{GOOD} SELECT {_CLEAN} FROM good",
         "valid_queue_jobs": f"WITH {JOBS},{VALID} SELECT {_CLEAN} FROM valid",
         "dropped_queue_jobs": f"""WITH {JOBS},{VALID}
@@ -352,6 +362,13 @@ def _binned() -> dict[str, str]:
         "queue_walltime_histogram": f"""WITH {JOBS},{VALID},{TIMES}
             {_histogram('valid', 'times', 'walltime_seconds', 'queue_name')}""",
         "queue_size_walltime_grid": f"WITH {JOBS},{VALID},{from_bins} {_grid('valid', 'queue_name')}",
+        "job_counts": f"""WITH {JOBS},{from_bins}
+            SELECT 'job_size' AS part, range_label AS size_label, CAST(NULL AS VARCHAR) AS walltime_label, n_jobs
+            FROM ({_histogram('jobs', 'sizes', 'nodes_used')})
+            UNION ALL SELECT 'walltime', NULL, range_label, n_jobs FROM ({_histogram('jobs', 'times', 'walltime_seconds')})
+            UNION ALL SELECT 'size_walltime', size_label, walltime_label, n_jobs FROM ({_grid('jobs')})""",
+        "grid_of_machine_files": f"""WITH {JOBS},{VALID},{from_bins}
+            SELECT *, {CAPACITY} AS capacity FROM ({_grid('valid')})""",
         "job_size_histogram_by_slice": f"""WITH {JOBS},{SLICED},{SIZES}
             {_histogram('sliced', 'sizes', 'nodes_used', 'slice')}""",
         "walltime_histogram_by_slice": f"""WITH {JOBS},{SLICED},{TIMES}

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nodeledger.operators.clean import normalize_columns, typed_columns
+from nodeledger.sources.headers import first_lines, first_lines_by_scan
 from nodeledger.schema import CLEAN_COLUMNS, RAW_TYPES, require_columns
 
 # A file whose name holds one of these is not a raw job log.
@@ -38,15 +40,19 @@ def scan_job_logs(spark: SparkSession, *folders: str) -> DataFrame:
 def _layouts(spark: SparkSession, folder: str) -> list[list[str]]:
     """The log files of a folder, grouped by their first line.
 
-    First lines are found by a pass over the text; what comes back are paths, which Spark lists to
-    plan a scan anyway.
+    Only the first lines are read. What comes back are paths, which Spark lists to plan a scan
+    anyway. Empty files are left out.
     """
-    text = spark.read.option("pathGlobFilter", LOG_FILES).text(folder)
-    lines = text.select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line")
-    ).filter(_is_log(F.col("name")) & (F.col("at") == 0))
-    first = lines.groupBy("path").agg(F.min_by("value", "line").alias("header"))
-    return [r.paths for r in first.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()]
+    files = first_lines(spark, folder, LOG_FILES, _is_log)
+    groups = files.filter("not opened or header is not null").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    closed = [r.paths for r in groups if r.header is None]
+    found = {r.header: r.paths for r in groups if r.header is not None}
+    if closed:
+        scanned = first_lines_by_scan(spark, closed[0])
+        for r in scanned.groupBy("header").agg(F.collect_list("path").alias("paths")).collect():
+            # a scan names files as URIs
+            found[r.header] = found.get(r.header, []) + [unquote(p) for p in r.paths]
+    return list(found.values())
 
 
 def _scan_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -83,3 +89,10 @@ def read_clean_log(spark: SparkSession, path: str, file_format: str = "parquet")
     schema = ", ".join(f"{c} string" for c in _CLEAN_TYPES)
     rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
     return rows.select(*typed_columns(rows, _CLEAN_TYPES))
+
+
+def read_filtered_by_source(spark: SparkSession, path: str) -> DataFrame:
+    """The folders written by :func:`sinks.write_filtered_by_source`, with ``source_file``."""
+    schema = ", ".join(f"{c} string" for c in (*_CLEAN_TYPES, "source_file"))
+    rows = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+    return rows.select(*typed_columns(rows, _CLEAN_TYPES), "source_file")

@@ -46,6 +46,33 @@ def write_filtered_by_source(raw: DataFrame, path: str, mode: str = "errorifexis
     _csv(placed, mode).partitionBy("source_file").csv(path)
 
 
+def file_audit(raw: DataFrame, written: DataFrame) -> DataFrame:
+    """For each source file: rows read, rows written by :func:`write_filtered_by_source`, and what those hold.
+
+    ``written`` is what was read back, so a lost, doubled or misplaced row shows. Files of which no row
+    was kept have no folder and 0 rows written.
+    """
+    read = raw.groupBy("source_file").agg(F.count("*").alias("rows_read"))
+    held = written.groupBy("source_file").agg(
+        F.count("*").alias("_rows"),
+        F.count_distinct("job_name").alias("_names"),
+        F.sum("nodes_used").alias("nodes_used"),
+        F.sum("runtime_seconds").alias("runtime_seconds"),
+        F.min("queued_timestamp").alias("first_queued"),
+        F.max("end_timestamp").alias("last_end"),
+    )
+    return read.join(held, "source_file", "left").select(
+        "source_file",
+        "rows_read",
+        F.coalesce("_rows", F.lit(0)).alias("rows_written"),
+        F.coalesce("_names", F.lit(0)).alias("job_names"),
+        "nodes_used",
+        "runtime_seconds",
+        "first_queued",
+        "last_end",
+    )
+
+
 def write_lines(
     lines: DataFrame, path: str, order: Sequence[str], mode: str = "errorifexists"
 ) -> None:

@@ -79,8 +79,11 @@ def test_scatter_points(make_jobs):
     # Started in January but queued in December: only in the full range.
     sliced = bins.scatter_points(jobs, 100, slices=("all", "year", "month")).collect()
     assert sorted(r.slice for r in sliced) == ["2024", "2024-01", "all", "all"]
-    limits = bins.scatter_bounds(jobs, bins.scatter_points(jobs, 100)).first()
+    limits = bins.scatter_bounds(jobs).first()
     assert limits.walltime_top == pytest.approx(550.0) and limits.first_queued.year == 2023
+    by_slice = {r.slice: r for r in bins.scatter_bounds(jobs, slices=("all", "year", "month")).collect()}
+    assert sorted(by_slice) == ["2024", "2024-01", "all"] and by_slice["all"].first_queued.year == 2023
+    assert by_slice["2024"].first_queued.year == 2024 and by_slice["2024-01"].walltime_top == pytest.approx(550.0)
 
 
 def test_labels():

@@ -136,3 +136,23 @@ def test_missing_value_texts_and_times_out_of_range(spark, tmp_path):
         assert all(r[c] is None for r in typed[k * len(words) : (k + 1) * len(words)])
     assert typed[-1]["end_timestamp"] is None
     assert all(r.queue_name != "NaN" and r.walltime_seconds == r.walltime_seconds for r in clean_jobs(raw).collect())
+
+
+def test_audit_counted_while_writing_equals_the_audit(spark, make_jobs, tmp_path):
+    rows = [
+        {"job_name": "a", "runtime_seconds": 9_999_999.0},
+        {"job_name": "a"},
+        {"job_name": "b", "runtime_seconds": -1.0},
+        {"job_name": "c", "used_core_hours": None},
+        {"job_name": None},
+        {"job_name": None},
+        {"job_name": "d"},
+    ]
+    raw = make_jobs(rows)
+    cleaning = clean.AuditedCleaning(raw)
+    cleaning.jobs.write.parquet(f"{tmp_path}/jobs")
+    assert cleaning.audit().collect() == clean.cleaning_audit(raw).orderBy("step").collect()
+    assert spark.read.parquet(f"{tmp_path}/jobs").count() == 3 == clean.clean_jobs(raw).count()
+    nothing = clean.AuditedCleaning(raw.limit(0))
+    nothing.jobs.collect()
+    assert [r.rows_after for r in nothing.audit().collect()] == [0, 0, 0, 0]

@@ -4,11 +4,11 @@ import re
 
 import pytest
 
-from nodeledger.operators import clean, utilization
+from nodeledger.operators import bins, clean, utilization
 from nodeledger.operators import core_hours, queue_stats
 from nodeledger.registry import catalog
 from nodeledger.registry.logs import jobs
-from nodeledger.sources import sinks
+from nodeledger.sources import headers, sinks
 
 FOLDER = "/root/testdata/sf0.001"
 QUERIES = catalog.queries()
@@ -18,6 +18,15 @@ STAGED = {
     "write_clean_jobs",
     "write_partitioned_jobs",
     "utilization_grid",
+    "cleaning_audit_of_writing",
+    "write_filtered_by_source",
+    "grid_of_machine_files",
+    "job_counts",
+    "core_hours_auto",
+    "core_hours_auto_short",
+    "core_hours_scope",
+    "core_hours_scope_short",
+    "core_hours_scope_by_slice",
     "over_capacity_intervals",
     "over_capacity_jobs",
     "over_capacity_lines",
@@ -50,7 +59,6 @@ def test_no_pairs_and_no_python(spark, name):
         utilization.nodes_in_use,
         queue_stats.queue_metric_stats,
         core_hours.monthly_core_hours,
-        core_hours.core_hours_scope,
     ],
 )
 def test_steps_share_one_scan(spark, operator):
@@ -76,3 +84,52 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*start_year[^\]]*1998", plan)
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
     assert sorted(c.split(":")[0] for c in schema.split(",")) == ["queue_name", "start_timestamp", "used_core_hours"]
+
+
+def scans_of_written(df):
+    """Scans of a written log in an executed plan; a reused shuffle reads nothing."""
+    return final_plan(df).count("FileScan parquet [")
+
+
+@pytest.mark.parametrize(
+    "operator",
+    [
+        queue_stats.queue_metric_stats,
+        lambda log: queue_stats.queue_metric_stats(log, slices=("all", "year", "month")),
+        queue_stats.queue_efficiency,
+        bins.scatter_bounds,
+        lambda log: bins.scatter_bounds(log, slices=("all", "month")),
+    ],
+)
+def test_a_written_log_is_read_once(spark, tmp_path, operator):
+    sinks.write_clean_jobs(jobs(spark, FOLDER), f"{tmp_path}/jobs")
+    assert scans_of_written(operator(spark.read.parquet(f"{tmp_path}/jobs"))) == 1
+
+
+@pytest.mark.parametrize("slices", [None, ("all", "year", "month")])
+def test_extent_and_tables_come_from_written_daily_sums(spark, slices):
+    table = core_hours.core_hours_scope(jobs(spark, FOLDER), slices=slices)
+    assert "FileScan" not in initial_plan(table) and "FileScan" not in final_plan(table)
+
+
+def test_slices_of_statistics_copy_counts_and_not_jobs(spark, tmp_path):
+    """Above the scan jobs are unpivoted and counted; the copies to slices come after that."""
+    sinks.write_clean_jobs(jobs(spark, FOLDER), f"{tmp_path}/jobs")
+    stats = queue_stats.queue_metric_stats(spark.read.parquet(f"{tmp_path}/jobs"), slices=("all", "year", "month"))
+    plan = stats._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    for part in plan.split("Generate explode")[1:]:
+        assert "Aggregate [" in part.split("Relation")[0]
+
+
+def test_tables_of_bins_read_no_job(spark):
+    """The three tables of bins come from the written counts."""
+    tables = bins.job_counts(jobs(spark, FOLDER), catalog.SIZES, catalog.WALLTIMES)
+    assert all("FileScan" not in initial_plan(t) for t in tables.values())
+
+
+def test_listing_log_files_reads_no_content(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n" + "1,2\n" * 1000)
+    found = headers.first_lines(spark, str(tmp_path), "*.csv", lambda name: name.isNotNull())
+    assert "ReadSchema: struct<path:string>" in initial_plan(found)
+    assert [(r.header, r.opened) for r in found.collect()] == [("x,y", True)]

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nodeledger.operators import queue_stats, report
+from nodeledger.plans import quantiles
 from nodeledger.plans.quantiles import exact_quantiles
 
 
@@ -88,3 +89,18 @@ def test_number_formats(spark):
     assert [r[0] for r in times.select(format_duration(F.col("x"))).collect()] == ["1h 1m 1s", "0h 0m 59s", "N/A"]
     ratios = spark.createDataFrame([(0.72335,), (None,)], "x double")
     assert [r[0] for r in ratios.select(format_percent(F.col("x"))).collect()] == [f"{72.335:.2f}%", "nan%"]
+
+
+def test_moments_of_values_far_from_zero(spark):
+    """A deviation of one beside a mean of a billion, and one value in a group by itself."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([1e9 + rng.normal(0, 1, 4000), [-5.0]])
+    rows = [("far", float(v)) for v in values[:-1]] + [("one", -5.0), ("mixed", -3.0), ("mixed", 3.0), ("mixed", 0.0), ("mixed", 3.0)]
+    counts = spark.createDataFrame(rows, "k string, v double").groupBy("k", "v").agg(F.count("*").alias("n"))
+    found = {r.k: r for r in quantiles.described(counts, ["k"], "v", "n", {"median": 0.5}).collect()}
+    far = found["far"]
+    assert far.n_values == 4000 and np.isclose(far.mean, values[:-1].mean(), rtol=1e-15, atol=0)
+    assert np.isclose(far.std, values[:-1].std(ddof=1), rtol=1e-6) and np.isclose(far.median, np.median(values[:-1]), rtol=1e-15)
+    assert (found["one"].std, found["one"].mean, found["one"].median) == (None, -5.0, -5.0)
+    mixed = found["mixed"]
+    assert np.isclose(mixed.mean, 0.75) and np.isclose(mixed.std, np.std([-3, 3, 0, 3], ddof=1)) and (mixed.min, mixed.max) == (-3.0, 3.0)

@@ -3,13 +3,14 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from nodeledger.analysis import analyse
 from nodeledger.operators import capacity, report
 from nodeledger.operators import utilization as u
 from nodeledger.operators.clean import clean_jobs
 from nodeledger.schema import RAW_TYPES
-from nodeledger.sources import joblog, machine, sinks
+from nodeledger.sources import headers, joblog, machine, sinks
 
 
 def write(path, text, packed=False):
@@ -175,3 +176,55 @@ def test_text_reports(spark, tmp_path, make_jobs):
         "  - j2: 6 nodes (start: 2024-01-01 00:00:00, end: 2024-01-01 03:00:00)",
         "",
     ]
+
+
+class Counting:
+    """A file that tells how much of it was read."""
+
+    def __init__(self, content):
+        self.content, self.at = content, 0
+
+    def read(self, size):
+        part = self.content[self.at : self.at + size]
+        self.at += len(part)
+        return part
+
+
+@pytest.mark.parametrize("rows", [1, 1000, 1_000_000])
+def test_first_lines_cost_the_same_for_files_of_any_length(rows):
+    stream = Counting(b"JOB_NAME,QUEUE_NAME\n" + b"a,b\n" * rows)
+    assert headers.first_line(stream) == "JOB_NAME,QUEUE_NAME"
+    assert stream.at <= headers.PIECE
+
+
+def test_first_lines_of_odd_files():
+    long = b"c" * (3 * headers.PIECE)
+    for content, line in ((b"", None), (b"\n", ""), (b"a,b", "a,b"), (b"a,b\r\nx", "a,b"), (b"a,b\rx", "a,b"), (long + b"\nx", long.decode()), ("ä,ß\n".encode(), "ä,ß")):
+        assert headers.first_line(Counting(content)) == line
+
+
+def test_files_that_only_spark_opens_are_scanned(spark, tmp_path, monkeypatch):
+    for name, columns in (("a.csv", list(RAW_TYPES)), ("b b.csv", list(reversed(RAW_TYPES)))):
+        write(tmp_path / name, ",".join(columns) + "\n" + ",".join("1" if c == "nodes_used" else "" for c in columns) + "\n")
+    write(tmp_path / "empty.csv", "")
+    opened = sorted(map(sorted, joblog._layouts(spark, str(tmp_path))))
+    unknown = lambda *args: headers.first_lines(*args).withColumns({"header": F.lit(None).cast("string"), "opened": F.lit(False)})
+    monkeypatch.setattr(joblog, "first_lines", unknown)
+    scanned = joblog._layouts(spark, str(tmp_path))
+    assert len(opened) == len(scanned) == 2
+    assert {len(group) for group in scanned} == {1}
+    assert joblog.scan_job_logs(spark, str(tmp_path)).agg(F.sum("nodes_used")).first()[0] == 2
+
+
+def test_each_source_file_is_written_on_its_own(spark, tmp_path, make_jobs):
+    rows = [{"job_name": f"j{i // 2}", "runtime_seconds": 1.0 if i % 3 else 99_999.0, "nodes_used": i} for i in range(12)]
+    raw = make_jobs(rows).withColumn("source_file", F.concat(F.lit("f"), F.col("nodes_used") % 2, F.lit(".csv"))).unionByName(
+        make_jobs([{"runtime_seconds": -1.0}]).withColumn("source_file", F.lit("none kept.csv"))
+    )
+    sinks.write_filtered_by_source(raw, f"{tmp_path}/out")
+    written = joblog.read_filtered_by_source(spark, f"{tmp_path}/out")
+    audit = {r.source_file: r for r in sinks.file_audit(raw, written).collect()}
+    # copies of a job stay, in their own file
+    assert {f: (r.rows_read, r.rows_written, r.nodes_used) for f, r in audit.items()} == {
+        "f0.csv": (6, 4, 2 + 4 + 8 + 10), "f1.csv": (6, 4, 1 + 5 + 7 + 11), "none kept.csv": (1, 0, None)
+    }
