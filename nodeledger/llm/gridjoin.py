@@ -29,6 +29,8 @@ _LINKED = "vec_id long, n long, other long"
 def _matrix(column: pa.Array) -> np.ndarray:
     """The equally long vectors of a column, scaled to length 1."""
     x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    # by the largest component first: squares of very large or small ones leave the range of doubles
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -165,7 +167,8 @@ def embedding_duplicates(vectors: DataFrame, threshold: float = 0.95) -> DataFra
 
     Null, empty and zero vectors and those with null or non-finite components link with nothing,
     and vectors of different lengths don't link. Rows that share an id are one vector, the first
-    usable one in array order. A null id has a null component and is kept. Other columns aren't read.
+    usable one in array order. A null id has a null component and is kept. An empty table gives no
+    rows. Other columns aren't read.
     """
     limit = math.sqrt(max(2 - 2 * threshold, 0)) + 1e-9
     usable = _usable(vectors)

@@ -4,8 +4,8 @@ Every shingle is hashed once; its bin is one part of the hash and its value anot
 takes one pass (one-permutation hashing). Empty bins copy the value of a bin that a hash of (bin,
 attempt) picks, tried until it is not empty (optimal densification). Bands of bins give buckets.
 In a bucket only pairs with one document, its centre, are candidates at first, so a bucket of n
-documents gives n - 1 pairs. Documents of a bucket that stay in different components are compared
-by an exact join on their rarest shingles. Candidates are confirmed on the full sets.
+documents gives n - 1 pairs. Documents of a bucket that this leaves in different components are
+compared by an exact join on their rarest shingles. Candidates are confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodeledger.llm.components import components
+from nodeledger.llm.components import components, linked_further
 from nodeledger.llm.store import cut, written
 from nodeledger.llm.wordhash import Block, blocks, mix
 
@@ -25,13 +25,13 @@ SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<l
 SETS = "doc_id long, shingles array<long>"
 #: Bins of a signature at most.
 BINS = 320
-#: Stars end when a round finds at most so many links per mixed bucket; counters by which shingles are ordered, in bits.
-FEW, RARITY_BITS = 0.02, 16
+#: Counters by which shingles are ordered, in bits.
+RARITY_BITS = 16
 
 
 def shingles(block: Block, words: int) -> list[np.ndarray]:
     """The distinct shingles of each text of a block, sorted; a shorter text is one shingle."""
-    h = block.hashes()
+    h = block.hashes(exact_long=True)
     out = []
     rolled = np.zeros(max(len(h) - words + 1, 0), np.uint64)
     for k in range(words):
@@ -134,11 +134,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     A pair that shares a bucket is linked or joined by way of others for sure.
     ``bands`` and ``rows`` follow from ``percent`` unless both are given. The search misses a pair
     if it shares no bucket, on independent bins with probability 0.0000001 at 0.80 (53 bands of 6)
-    and 0.000003 at 0.85 (40 bands of 8).
+    and 0.000003 at 0.85 (40 bands of 8); more often for sets of a few shingles, which fill few bins:
+    1 of 3,000 pairs of sets of 7 shingles.
 
     Null, empty and word-less texts have no shingles and are linked with nothing. A null doc_id has
     a null component and is kept. Repeated rows give as many rows; rows that share an id are one
-    document for links. Other columns of ``docs`` are not read.
+    document for links. An empty table gives no rows. Other columns of ``docs`` are not read.
     """
     if bands is None or rows is None:
         bands, rows = banding(percent)
@@ -152,8 +153,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     members = written(spread.join(shared.select("bucket"), "bucket", "left_semi").distinct(), "buckets")
     named = members.select("doc_id").distinct()
     sets = written(docs.join(named, "doc_id", "left_semi").mapInArrow(_sets(words), SETS), "sets")
-    links = _confirmed(members, sets, percent)
-    place = components(links).toDF("rep", "component")
+    place = _places(members, sets, percent).toDF("rep", "component")
     own = signed.join(same, ["set_a", "set_b", "n_shingles"], "left").join(place, "rep", "left")
     component = F.coalesce("component", "rep", "doc_id")
     return own.select(
@@ -166,8 +166,10 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
 
     Rows that share an id stay or go together.
     """
-    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # a semi-join by name of columns that the table may have too
+    taken = "_gone" + "_" * max((len(c) for c in docs.columns), default=0)
+    gone = near_duplicates(docs, words, percent).where("not kept").select(F.col("doc_id").alias(taken)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col(taken), "left_anti")
 
 
 def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -179,36 +181,19 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(alike).select(F.col("doc_id").alias("src"), F.col("centre").alias("dst")).distinct()
 
 
-def _confirmed(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (src, dst) that join all documents of ``members(bucket, doc_id)`` that are alike and share a bucket.
+def _places(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, component) of all documents of ``members(bucket, doc_id)`` with links.
 
-    Stars come first, around the smallest document of each bucket, then around one drawn anew in
-    each round: they join large groups with few pairs. When a round joins little, every pair that
-    shares a bucket and lies in two components is still open; `_between` tests those exactly.
+    Stars come first, around the smallest document of each bucket: they join large groups with few
+    pairs. What then shares a bucket and lies in two components is still open; `_between` tests it
+    exactly, and its links join whole components.
     """
     centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
     pairs = members.join(centre, "bucket").where("doc_id <> centre").select("doc_id", "centre").distinct()
-    links = cut(_alike(pairs, sets, percent))
-    turn = 0
-    while True:
-        place = cut(components(links))
-        located = _located(members, place)
-        turn += 1
-        order = F.struct(F.xxhash64(F.lit(turn), "bucket", "doc_id"), F.col("doc_id").alias("id"), F.col("component").alias("of"))
-        mixed = cut(_mixed(located, F.min(order).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of")))
-        if mixed.isEmpty():
-            return links
-        open_now = located.join(mixed, "bucket")
-        stars = open_now.where("component <> of").select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre"))
-        found = cut(_alike(stars.distinct(), sets, percent))
-        joined = found.count()
-        links = links.unionByName(found)
-        if joined <= FEW * mixed.count():
-            break
-    place = cut(components(links)) if joined else place
+    place = cut(components(_alike(pairs, sets, percent)))
     located = _located(members, place)
     left = located.join(_mixed(located).select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct()
-    return links.unionByName(_between(cut(left), sets, percent))
+    return linked_further(place, _between(cut(left), sets, percent))
 
 
 def _rarity(sets: list[np.ndarray]) -> np.ndarray:
@@ -251,9 +236,9 @@ def _between(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common, so in any fixed order of shingles each has a common one among its first ones. The order
     is from rare to frequent, so shingles of templates and common lines come last.
     """
-    mine = cut(left.join(sets, "doc_id").select("doc_id", "component", "shingles"))
+    mine = left.join(sets, "doc_id").select("doc_id", "component", "shingles")
     counts = np.zeros(1 << RARITY_BITS, np.int64)
-    slots = mine.select("shingles").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    slots = sets.select("shingles").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
     entry = mine.mapInArrow(_prefixes(counts, percent), "shingle long, doc_id long, component long, n long, rank long")
     # a shingle of one component has no pair; of the others, pairs within its largest component are not formed
@@ -268,13 +253,13 @@ def _between(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     pairs = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & fits)
     pairs = pairs.select(F.least("a.doc_id", "b.doc_id").alias("doc_id"), F.greatest("a.doc_id", "b.doc_id").alias("centre")).distinct()
-    return cut(_alike(pairs, sets, percent))
+    return _alike(pairs, sets, percent)
 
 
 def _located(members: DataFrame, place: DataFrame) -> DataFrame:
     return members.join(place.toDF("doc_id", "at"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("at", "doc_id").alias("component"))
 
 
-def _mixed(located: DataFrame, *more) -> DataFrame:
+def _mixed(located: DataFrame) -> DataFrame:
     """The buckets with documents of more than one component."""
-    return located.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), *more).where("low < high")
+    return located.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")

@@ -174,7 +174,7 @@ class WordTokenizer:
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a block, where each text begins in them and where the last ends)."""
-        h = block.hashes(fold_case=False)
+        h = block.hashes(fold_case=False, exact_long=True)
         number = self.words.find(h)
         new = np.flatnonzero(number < 0)
         ids, sizes = self.words.ids, self.words.size

@@ -6,6 +6,7 @@ A word is a run of bytes other than space and 0x09 to 0x0D. Its hash is a polyno
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,15 @@ for _i, _c in enumerate(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"):
     _KIND[_c] = 3 + _i
 
 
+#: Bytes of a word up to which its polynomial tells it apart.
+LONG_WORD = 64
+
+
+def data_lower(data: np.ndarray) -> np.ndarray:
+    """The bytes with A to Z in lower case."""
+    return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 ... base ** (n - 1) modulo 2**64, kept for later calls."""
     have = _powers[base]
@@ -72,13 +82,22 @@ class Block:
         np.cumsum(values, out=total[1:])
         return total[self.ends] - total[self.starts]
 
-    def hashes(self, fold_case: bool = True, at_most: int | None = None) -> np.ndarray:
-        """One value per word; of its first ``at_most`` bytes only, if given."""
+    def hashes(self, fold_case: bool = True, at_most: int | None = None, exact_long: bool = False) -> np.ndarray:
+        """One value per word; of its first ``at_most`` bytes only, if given.
+
+        Polynomials modulo 2**64 can be made to agree for long words of a regular build; with
+        ``exact_long``, words of more than ``LONG_WORD`` bytes have a cryptographic hash instead.
+        """
         ends, n = self.ends, len(self.data)
         if at_most:
             self.ends = np.minimum(self.ends, self.starts + at_most)
         values = (_FOLDED if fold_case else _CODE)[self.data] * powers(_BASE, n)
         out = mix(self._ranges(values) * powers(_INVERSE, n)[self.starts] if n else np.zeros(0, np.uint64))
+        if exact_long:
+            folded = data_lower(self.data) if fold_case else self.data
+            for k in np.flatnonzero(self.ends - self.starts > LONG_WORD).tolist():
+                word = folded[self.starts[k] : self.ends[k]].tobytes()
+                out[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         self.ends = ends
         return out
 
