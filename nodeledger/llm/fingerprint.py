@@ -15,10 +15,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodeledger.llm.store import cut
 from nodeledger.llm.wordhash import mix
 
 PRIME = np.uint64(2**31 - 1)
@@ -159,21 +158,14 @@ def fingerprints(docs: DataFrame, *keep: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, schema)
 
 
-def followers(ids: DataFrame) -> DataFrame:
-    """(doc_id, before, n_before): for each id the id before it and that one's n_chars.
+def _first_ids(ids: DataFrame) -> np.ndarray:
+    """The smallest id of each of as many even ranges of ids as there are shuffle partitions.
 
-    ``ids(doc_id, n_chars)`` has distinct ids; the last one comes before the first. Ids are sorted
-    in ranges, and only the last id of each range meets the next range.
+    One number per partition comes to the driver; equal ids are in one range.
     """
-    ranged = cut(ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id").withColumn("part", F.spark_partition_id()))
-    inside = Window.partitionBy("part").orderBy("doc_id")
-    near = ranged.select("doc_id", "part", F.lag("doc_id").over(inside).alias("before"), F.lag("n_chars").over(inside).alias("n_before"))
-    # one row per range
-    last = ranged.groupBy("part").agg(F.max(F.struct("doc_id", "n_chars")).alias("last"))
-    order = Window.orderBy("part")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    edge = last.select("part", F.coalesce(F.lag("last").over(order), F.last("last").over(whole)).alias("edge"))
-    return near.join(edge, "part").select("doc_id", F.coalesce("before", "edge.doc_id").alias("before"), F.coalesce("n_before", "edge.n_chars").alias("n_before"))
+    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = ids.repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id()).agg(F.min("doc_id").alias("first"))
+    return np.sort(ranged.select("first").toArrow().column("first").to_numpy())
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
@@ -184,54 +176,75 @@ def with_edits(docs: DataFrame) -> DataFrame:
     by the first as many of the next document in ascending doc_id, the first one following the
     last. ``common_bytes`` is the longest common extension of the beginnings of text and edit.
 
+    Texts are dealt to ranges of ids, once and compressed, and come down from the highest id, so that
+    a text's next document is the one before it in the stream. The first document of a range
+    is also sent ahead of the range below it.
+
     Rows that share an id have the same next document; of several texts of that one any
     serves, always the same one. A row without an id has no next document: nothing is put in, near_next is 0.
+    An empty table gives no rows. Other columns are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    ids = texts.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.length("text")).cast("long").alias("n_chars"))
-    # texts travel compressed, and once: both uses of the join below share its shuffle
-    packed = texts.mapInArrow(_pack, "doc_id long, packed binary")
-    placed = packed.join(cut(followers(ids)), "doc_id", "left")
-    sent = placed.select(F.col("before").alias("doc_id"), "packed", F.col("n_before")).mapInArrow(_heads, "doc_id long, head binary, fingerprint string")
-    heads = sent.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("head", "fingerprint")).alias("next"))
-    rows = placed.join(heads, "doc_id", "left").select("doc_id", "packed", F.col("next.head").alias("head"), F.col("next.fingerprint").alias("next_fingerprint"))
-    return rows.mapInArrow(_compare, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_bytes long")
-
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    codec = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([codec.compress(t) for t in _views(batch.column(1))], pa.binary())], names=["doc_id", "packed"])
+    first = _first_ids(texts.where("doc_id is not null").select("doc_id"))
+    dealt = texts.mapInArrow(_pack(first), "part int, ahead boolean, doc_id long, packed binary")
+    ranges = dealt.repartitionById(max(len(first), 1), "part")
+    ordered = ranges.sortWithinPartitions("part", F.desc("ahead"), F.desc("doc_id"), "packed")
+    return ordered.mapInArrow(_compare, "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, common_bytes long")
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The part of each text that the document before it takes, and the text's fingerprint."""
-    pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-    for batch in batches:
-        heads, prints = [], []
-        for before, packed, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if before is None:
-                heads.append(None)
-                prints.append(None)
-                continue
-            text = unpack.decompress(packed)
-            heads.append(pack.compress(text.decode()[: n // 4].encode()))
-            prints.append(Text(text).fingerprint())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(heads, pa.binary()), pa.array(prints, pa.string())], names=["doc_id", "head", "fingerprint"])
+def _pack(first: np.ndarray):
+    """Each text with the range of its id; a range's first one for the range below too, which the lowest is to the highest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            none = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+            ids = pc.fill_null(batch.column(0), 0).to_numpy()
+            part = np.maximum(np.searchsorted(first, ids, side="right") - 1, 0)
+            part[none] = np.arange(none.sum()) % max(len(first), 1)
+            packed = [codec.compress(t) for t in _views(batch.column(1))]
+            begins = np.flatnonzero(~none & (first[part] == ids)) if len(first) else np.zeros(0, np.int64)
+            rows = np.append(np.arange(len(ids)), begins)
+            ahead = np.append(np.zeros(len(ids), bool), np.ones(len(begins), bool))
+            part = np.append(part, (part[begins] - 1) % max(len(first), 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array(ahead), batch.column(0).take(pa.array(rows)), pa.array([packed[i] for i in rows], pa.binary())],
+                names=["part", "ahead", "doc_id", "packed"],
+            )
+
+    return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare each text with its edit and with the text of the next id, which came before it."""
     unpack = zstandard.ZstdDecompressor()
+    part_now, id_now = None, None
+    # (text, fingerprint) of the next document, and of the first row of the present id
+    following, current = ("", None), ("", None)
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
     for batch in batches:
         for i in range(0, len(batch), 500):
-            part, out = batch.slice(i, 500), []
-            for packed, head, following in zip(*(c.to_pylist() for c in part.columns[1:])):
+            out = []
+            for part, ahead, doc_id, packed in zip(*(c.to_pylist() for c in batch.slice(i, 500).columns)):
+                if part != part_now:
+                    part_now, id_now, current, following = part, None, ("", None), ("", None)
+                if ahead and current[1] is not None:
+                    continue
                 raw = unpack.decompress(packed)
-                text = raw.decode()
+                text, a = raw.decode(), Text(raw)
+                own = a.fingerprint()
+                if ahead:
+                    current = (text, own)
+                    continue
+                if doc_id is None:
+                    following = ("", None)
+                elif doc_id != id_now:
+                    id_now, following, current = doc_id, current, (text, own)
                 quarter = len(text) // 4
-                edited = text[: len(text) - quarter] + (unpack.decompress(head).decode()[:quarter] if head is not None else "")
-                a, b = Text(raw), Text(edited)
-                own, new = a.fingerprint(), b.fingerprint()
-                out.append((len(text), edited, own, new, likeness(own, new), likeness(own, following) if following else 0.0, a.common_extension(0, b, 0)))
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_bytes"])
+                edited = text[: len(text) - quarter] + following[0][:quarter]
+                b = Text(edited)
+                new = b.fingerprint()
+                near_next = likeness(own, following[1]) if following[1] else 0.0
+                out.append((doc_id, len(text), edited, own, new, likeness(own, new), near_next, a.common_extension(0, b, 0)))
+            columns = zip(*out) if out else [()] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "common_bytes"])

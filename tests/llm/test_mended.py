@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from nodeledger.llm import components, gridjoin, minhash, queries, tokenfiles
+from nodeledger.llm import components, fingerprint, gridjoin, minhash, queries, tokenfiles
 
 
 def thue_morse(a, b, n):
@@ -86,3 +86,62 @@ def test_near_duplicates_among_templates(spark, words, percent):
 def test_columns_named_as_the_operators_own(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", 1, 2), (2, "a b c d e f", 3, 4)], "doc_id long, text string, _gone long, _id long")
     assert [tuple(x) for x in minhash.keep_one(docs).collect()] == [(1, "a b c d e f", 1, 2)]
+
+
+def likeness_by_hand(a, b):
+    """Of 64 classes of 24-byte windows that either text fills, the share with the same smallest hash."""
+    if a == b:
+        return 1.0
+    slots = lambda p: [p[24 + 4 * k : 28 + 4 * k] for k in range(64)]
+    used = [(x, y) for x, y in zip(slots(a), slots(b)) if (x, y) != ("----", "----")]
+    return sum(x == y for x, y in used) / len(used) if used else 0.0
+
+
+@pytest.mark.parametrize("parts", ["1", "3", "8"])
+def test_edits_and_likeness_over_ranges(spark, parts):
+    r = np.random.default_rng(4)
+    texts = {int(i): " ".join(f"w{int(v)}" for v in r.integers(0, 50, int(n))) for i, n in zip(r.permutation(400)[:90] - 50, r.integers(0, 120, 90))}
+    rows = [*texts.items(), (None, "no id at all"), *([(min(texts), texts[min(texts)])] * 3), (max(texts) + 1, "ä漢😀" * 50), (max(texts) + 2, None)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        found = fingerprint.with_edits(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    held = {i: t or "" for i, t in rows if i is not None}
+    ids = sorted(held)
+    after = dict(zip(ids, ids[1:] + ids[:1]))
+    prints = {i: fingerprint.Text(t.encode()).fingerprint() for i, t in held.items()}
+    assert sorted((x.doc_id is None, x.doc_id or 0) for x in found) == sorted((i is None, i or 0) for i, _ in rows)
+    for x in found:
+        if x.doc_id is None:
+            assert (x.near_next, x.edited) == (0.0, "no id at a")[:1] + (x.edited,) and x.edited == "no id at "
+            continue
+        text, other = held[x.doc_id], held[after[x.doc_id]]
+        q = len(text) // 4
+        edited = text[: len(text) - q] + other[:q]
+        print_of_edit = fingerprint.Text(edited.encode()).fingerprint()
+        assert (x.n_chars, x.edited, x.fingerprint, x.edited_fingerprint) == (len(text), edited, prints[x.doc_id], print_of_edit)
+        assert x.near_edited == likeness_by_hand(prints[x.doc_id], print_of_edit)
+        assert x.near_next == likeness_by_hand(prints[x.doc_id], prints[after[x.doc_id]])
+
+
+def test_texts_longer_than_a_step_of_prefixes(spark):
+    """Above 8 MB, where running sums are continued from one step to the next."""
+    text = "0123456789abcdef" * (1 << 19) + "tail"
+    (row,) = fingerprint.with_edits(spark.createDataFrame([(5, text)], "doc_id long, text string")).collect()
+    q = len(text) // 4
+    assert row.edited == text[: len(text) - q] + text[:q] and row.fingerprint == fingerprint.Text(text.encode()).fingerprint()
+    whole = fingerprint.Text(text.encode())
+    assert whole.same(0, whole, 16, len(text) - 20) and whole.common_extension(0, whole, 16) == len(text) - 4 - 16
+    assert not whole.same(0, whole, 16, len(text) - 19)
+
+
+def test_one_shuffle_of_texts(spark):
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(20)], "doc_id long, text string")
+    plan = fingerprint.with_edits(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange") == 1
+
+
+def test_no_edits_of_an_empty_table(spark):
+    assert fingerprint.with_edits(spark.createDataFrame([], "doc_id long, text string")).collect() == []
