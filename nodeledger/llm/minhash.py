@@ -27,6 +27,8 @@ SETS = "doc_id long, shingles array<long>"
 BINS = 320
 #: Counters by which shingles are ordered, in bits.
 RARITY_BITS = 16
+#: Rounds of stars after the first.
+MORE_STARS = 2
 
 
 def shingles(block: Block, words: int) -> list[np.ndarray]:
@@ -184,16 +186,23 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _places(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(id, component) of all documents of ``members(bucket, doc_id)`` with links.
 
-    Stars come first, around the smallest document of each bucket: they join large groups with few
+    Stars come first, around the smallest document of each bucket, then ``MORE_STARS`` times around
+    one drawn anew in buckets that lie in several components: they join large groups with few
     pairs. What then shares a bucket and lies in two components is still open; `_between` tests it
     exactly, and its links join whole components.
     """
     centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
     pairs = members.join(centre, "bucket").where("doc_id <> centre").select("doc_id", "centre").distinct()
     place = cut(components(_alike(pairs, sets, percent)))
-    located = _located(members, place)
-    left = located.join(_mixed(located).select("bucket"), "bucket", "left_semi").select("doc_id", "component").distinct()
-    return linked_further(place, _between(cut(left), sets, percent))
+    left = written(_open(members, place), "open")
+    for turn in range(MORE_STARS):
+        drawn = F.struct(F.xxhash64(F.lit(turn), "bucket", "doc_id").alias("at"), F.col("doc_id").alias("id"), F.col("component").alias("of"))
+        heads = left.groupBy("bucket").agg(F.min(drawn).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of"))
+        stars = left.join(heads, "bucket").where("component <> of")
+        stars = stars.select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre")).distinct()
+        place = cut(linked_further(place, _alike(stars, sets, percent)))
+        left = written(_open(left.select("bucket", "doc_id"), place), "open")
+    return linked_further(place, _between(left.select("doc_id", "component").distinct(), sets, percent))
 
 
 def _rarity(sets: list[np.ndarray]) -> np.ndarray:
@@ -256,10 +265,8 @@ def _between(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _alike(pairs, sets, percent)
 
 
-def _located(members: DataFrame, place: DataFrame) -> DataFrame:
-    return members.join(place.toDF("doc_id", "at"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("at", "doc_id").alias("component"))
-
-
-def _mixed(located: DataFrame) -> DataFrame:
-    """The buckets with documents of more than one component."""
-    return located.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+def _open(members: DataFrame, place: DataFrame) -> DataFrame:
+    """(bucket, doc_id, component) of the buckets with documents of more than one component."""
+    located = members.join(place.toDF("doc_id", "at"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("at", "doc_id").alias("component"))
+    ends = located.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return located.join(ends.where("low < high").select("bucket"), "bucket", "left_semi")
