@@ -21,6 +21,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nodeledger.llm.store import hand_back
+
 # The pre-token pattern of this tokenizer file.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 
@@ -231,15 +233,15 @@ def loaded(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _parts(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _parts(sizes: list[int]) -> Iterator[tuple[int, int]]:
     first, chars = 0, 0
-    for i, t in enumerate(texts):
-        chars += len(t)
+    for i, size in enumerate(sizes):
+        chars += size
         if chars >= BATCH_CHARS:
             yield first, i + 1
             first, chars = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(sizes):
+        yield first, len(sizes)
 
 
 def _column(df: DataFrame, c: str, kind: str):
@@ -250,17 +252,20 @@ def bpe_encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids) for every row of ``docs(doc_id, text)`` by the tokenizer file at ``path``.
 
     The file must be readable at that path on every executor. Null and empty texts have no ids,
-    a null doc_id stays null, and repeated rows give as many rows. Other columns are not read.
+    a null doc_id stays null, and repeated rows give as many rows. An empty table gives no rows.
+    Other columns are not read. Words are remembered within a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
         for batch in batches:
-            texts = pc.fill_null(batch.column(1), "").to_pylist()
-            for a, b in _parts(texts):
-                flat, at = bpe.encode(texts[a:b])
+            texts = pc.fill_null(batch.column(1), "")
+            for a, b in _parts(pc.utf8_length(texts).to_pylist()):
+                flat, at = bpe.encode(texts.slice(a, b - a).to_pylist())
                 ids = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids], names=["doc_id", "ids"])
+        bpe.forget()
+        hand_back()
 
     return docs.select(_column(docs, "doc_id", "long"), _column(docs, "text", "string")).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -278,5 +283,6 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
                 b = min(a + 1000, len(lists))
                 texts = [bpe.decode(flat[at[i] : at[i + 1]]) for i in range(a, b)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists.slice(a, b - a), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+        hand_back()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")

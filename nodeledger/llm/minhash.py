@@ -18,17 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nodeledger.llm.components import components, linked_further
-from nodeledger.llm.store import cut, written
+from nodeledger.llm.store import cut, hand_back, written
 from nodeledger.llm.wordhash import Block, blocks, mix
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 SETS = "doc_id long, shingles array<long>"
 #: Bins of a signature at most.
 BINS = 320
-#: Counters by which shingles are ordered, in bits.
-RARITY_BITS = 16
-#: Rounds of stars after the first.
-MORE_STARS = 2
+#: Counters by which shingles are ordered, in bits. They only order: with more shingles than counters
+#: the join meets more pairs and loses none.
+RARITY_BITS = 20
 
 
 def shingles(block: Block, words: int) -> list[np.ndarray]:
@@ -103,6 +102,7 @@ def _sign(words: int, bands: int, rows: int):
                     [ids.slice(block.first, len(sets)), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), _lists([next(keys) if len(s) else np.zeros(0, np.int64) for s in sets], pa.int64())],
                     names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
                 )
+        hand_back()
 
     return run
 
@@ -113,6 +113,7 @@ def _sets(words: int):
             for block in blocks(batch.column(1)):
                 sets = shingles(block, words)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(block.first, len(sets)), _lists([s.view(np.int64) for s in sets], pa.int64())], names=["doc_id", "shingles"])
+        hand_back()
 
     return run
 
@@ -186,23 +187,15 @@ def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _places(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(id, component) of all documents of ``members(bucket, doc_id)`` with links.
 
-    Stars come first, around the smallest document of each bucket, then ``MORE_STARS`` times around
-    one drawn anew in buckets that lie in several components: they join large groups with few
+    Stars come first, around the smallest document of each bucket: they join large groups with few
     pairs. What then shares a bucket and lies in two components is still open; `_between` tests it
     exactly, and its links join whole components.
     """
     centre = members.groupBy("bucket").agg(F.min("doc_id").alias("centre"))
     pairs = members.join(centre, "bucket").where("doc_id <> centre").select("doc_id", "centre").distinct()
     place = cut(components(_alike(pairs, sets, percent)))
-    left = written(_open(members, place), "open")
-    for turn in range(MORE_STARS):
-        drawn = F.struct(F.xxhash64(F.lit(turn), "bucket", "doc_id").alias("at"), F.col("doc_id").alias("id"), F.col("component").alias("of"))
-        heads = left.groupBy("bucket").agg(F.min(drawn).alias("head")).select("bucket", F.col("head.id").alias("centre"), F.col("head.of").alias("of"))
-        stars = left.join(heads, "bucket").where("component <> of")
-        stars = stars.select(F.least("doc_id", "centre").alias("doc_id"), F.greatest("doc_id", "centre").alias("centre")).distinct()
-        place = cut(linked_further(place, _alike(stars, sets, percent)))
-        left = written(_open(left.select("bucket", "doc_id"), place), "open")
-    return linked_further(place, _between(left.select("doc_id", "component").distinct(), sets, percent))
+    left = _open(members, place).select("doc_id", "component").distinct()
+    return linked_further(place, _between(cut(left), sets, percent))
 
 
 def _rarity(sets: list[np.ndarray]) -> np.ndarray:
@@ -215,7 +208,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         total += _rarity([batch.column(0).flatten().to_numpy()])
     slot = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(total[slot])], names=["slot", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(slot, pa.int32()), pa.array(total[slot])], names=["slot", "n"])
 
 
 def _prefixes(counts: np.ndarray, percent: int):
@@ -246,9 +239,12 @@ def _between(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     is from rare to frequent, so shingles of templates and common lines come last.
     """
     mine = left.join(sets, "doc_id").select("doc_id", "component", "shingles")
-    counts = np.zeros(1 << RARITY_BITS, np.int64)
-    slots = sets.select("shingles").mapInArrow(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts[slots.column("slot").to_numpy()] = slots.column("n").to_numpy()
+    # eighths of the binary logarithm of each counter, one byte each
+    counts = np.zeros(1 << RARITY_BITS, np.uint8)
+    added = sets.select("shingles").mapInArrow(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    size = F.least(F.lit(255), F.floor(F.log2("n") * 8)).cast("short")
+    slots = added.where("n > 1").select("slot", size.alias("size")).toArrow()
+    counts[slots.column("slot").to_numpy()] = slots.column("size").to_numpy()
     entry = mine.mapInArrow(_prefixes(counts, percent), "shingle long, doc_id long, component long, n long, rank long")
     # a shingle of one component has no pair; of the others, pairs within its largest component are not formed
     by = entry.groupBy("shingle", "component").count().groupBy("shingle")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nodeledger.llm import linear
+from nodeledger.llm.store import hand_back
 from nodeledger.llm.wordhash import Block, blocks, mix
 
 #: Labelled rows per class that a model is fitted on at most.
@@ -69,5 +70,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, per_cl
             scores = [linear.sigmoid(word_ngrams(b).dot(weights) + bias) for b in blocks(batch.column(where).cast(pa.string()))]
             if scores:
                 yield batch.filter(pa.array(np.concatenate(scores) >= threshold))
+        hand_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,3 +43,17 @@ def written(df: DataFrame, what: str, compression: str = "zstd", group_mb: int =
     path = f"{shared_folder(df.sparkSession)}/llm-{what}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).option("parquet.block.size", group_mb << 20).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hand_back() -> None:
+    """Give memory that a task no longer needs back to the machine.
+
+    Python workers are reused: without this a stage keeps what the largest task of an earlier one
+    took. Where the C library can't trim its heap, nothing happens.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
