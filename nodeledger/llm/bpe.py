@@ -33,7 +33,7 @@ LATIN = re.compile(rf" ?[{_L}]+|'(?:[stmd]|re|ve|ll)| ?[{_N}]+| ?[^{_S}{_L}{_N}]
 #: Words up to this many bytes are merged side by side.
 SIDE_BY_SIDE = 64
 #: Texts of about so many characters are encoded at a time, and so many words are remembered.
-BATCH_CHARS, REMEMBERED = 1 << 21, 400_000
+BATCH_CHARS, REMEMBERED = 1 << 20, 400_000
 
 
 def byte_letters() -> list[str]:
@@ -286,3 +286,24 @@ def bpe_decode(encoded: DataFrame, path: str) -> DataFrame:
         hand_back()
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+
+def bpe_round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text): encoded as by :func:`bpe_encode`, and decoded again from the ids.
+
+    Both happen in one task, with one worker process and without ids travelling in between.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path)
+        for batch in batches:
+            texts = pc.fill_null(batch.column(1), "")
+            for a, b in _parts(pc.utf8_length(texts).to_pylist()):
+                flat, at = bpe.encode(texts.slice(a, b - a).to_pylist())
+                decoded = [bpe.decode(flat[i:j]) for i, j in zip(at[:-1], at[1:])]
+                ids = pa.ListArray.from_arrays(at.astype(np.int32), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), ids, pa.array(decoded, pa.string())], names=["doc_id", "ids", "text"])
+        bpe.forget()
+        hand_back()
+
+    return docs.select(_column(docs, "doc_id", "long"), _column(docs, "text", "string")).mapInArrow(run, "doc_id long, ids array<int>, text string")

@@ -42,7 +42,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encoded_digests(docs: DataFrame) -> DataFrame:
     """(doc_id, ids, n_tokens, ids_sha256, decoded_sha256): encoded, and decoded again."""
     path = tokenizer_file("byte_bpe_50k.json")
-    decoded = bpe.bpe_decode(bpe.bpe_encode(docs, path), path)
+    decoded = bpe.bpe_round_trip(docs, path)
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")
     sha = lambda c: F.sha2(c.cast("binary"), 256)
     return decoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), sha(joined).alias("ids_sha256"), sha(F.col("text")).alias("decoded_sha256"))

@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from nodeledger.llm import components, fingerprint, gridjoin, minhash, queries, tokenfiles
+from nodeledger.llm import bpe, components, fingerprint, gridjoin, minhash, queries, tokenfiles
 
 
 def thue_morse(a, b, n):
@@ -145,3 +145,13 @@ def test_one_shuffle_of_texts(spark):
 
 def test_no_edits_of_an_empty_table(spark):
     assert fingerprint.with_edits(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_round_trip_equals_encoding_then_decoding(spark):
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    rows = [(1, None), (2, ""), (3, "it's 3 o'clock\n\n\tand  more"), (None, "äöü 漢字 😀 <|endoftext|>"), (4, "x" * 3000), (4, "x" * 3000), (5, "ab " * 400_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    once, twice = (sorted(df.collect(), key=key) for df in (bpe.bpe_round_trip(docs, path), bpe.bpe_decode(bpe.bpe_encode(docs, path), path)))
+    assert once == twice and [r.text for r in once][:2] == ["", ""]
+    assert bpe.bpe_round_trip(docs.limit(0), path).collect() == []
