@@ -6,16 +6,17 @@ single document cannot repeat; pieces of the other keys, each distinct one once,
 suffix arrays bucket by bucket. Arrays are built in two stages: suffixes smaller than their
 successors are sorted directly, the others are induced by scanning buckets. Neighbours in the
 array that share a whole window are copies, and the smallest document among them keeps it. Pieces of
-a key with more than ``HEAVY`` bytes are cut into single windows, dealt by their whole content.
+a key with more than ``HEAVY`` bytes of different pieces are cut into single windows, dealt by their
+whole content, which need no sorting: equal windows are the same string.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,10 @@ from nodeledger.llm.wordhash import _BASE, _CODE, _INVERSE, mix, powers, text_bu
 GRAM = 16
 #: Bytes of documents handled at a time, and per bucket of keys.
 CHUNK, BUCKET = 1 << 21, 1 << 22
-#: Bytes of pieces under one key, copies counted, above which the key is split.
+#: Bytes of pieces under one key, equal ones once for each chunk, above which the key is split.
 HEAVY = 1 << 21
+#: Places of the sieve of heavy keys, and salts of groups of whole copies.
+SIEVE, SALTS = 1 << 20, 16
 #: Keys have so many bits where they are only compared for being shared.
 _SHORT = np.uint64(48)
 
@@ -119,26 +122,41 @@ def neighbours_share(order: np.ndarray, words: np.ndarray, length: int) -> np.nd
 # --- pieces -------------------------------------------------------------------------------------
 
 
-def pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, start, end, key) of the pieces of texts; a window lies in one piece, equal ones under one key."""
-    n = len(data) - length + 1
-    if n <= 0:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+@dataclass
+class Pieces:
+    """Pieces of texts: the text of each, its places in all bytes, its key, and sums for hashes of spans."""
+
+    text: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    key: np.ndarray
+    total: np.ndarray
+
+    def content(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A value for the bytes of each span, for dealing and estimates; equal spans have equal ones."""
+        return mix((self.total[end] - self.total[start]) * powers(_INVERSE, len(self.total))[start], 63)
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Pieces:
+    """The pieces of texts; a window lies in one piece, equal ones under one key."""
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_CODE[data] * powers(_BASE, len(data)), out=total[1:])
+    n = len(data) - length + 1
+    if n <= 0:
+        return Pieces(*(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64), total)
     key = mix((total[GRAM:] - total[:-GRAM]) * powers(_INVERSE, len(total))[: len(total) - GRAM], 61)
     width, done = length - GRAM + 1, 1
     while done * 2 <= width:
         key, done = np.minimum(key[:-done], key[done:]), done * 2
     key = np.minimum(key[:n], key[width - done : width - done + n])
-    text = np.searchsorted(offsets, np.arange(n), side="right") - 1
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
     inside = np.arange(n) + length <= offsets[text + 1]
     text, key, place = text[inside], key[inside], np.flatnonzero(inside)
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(key)) - 1
-    return text[first], place[first] - offsets[text[first]], place[last[: len(first)]] + length - offsets[text[first]], key[first]
+    last = np.append(first[1:], len(key))[: len(first)] - 1
+    return Pieces(text[first], place[first], place[last] + length, key[first], total)
 
 
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -158,11 +176,15 @@ def _keys(length: int, buckets: int):
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for a, b, data, offsets in _chunks(batch.column(1)):
-                text, start, end, key = pieces(data, offsets, length)
-                key >>= np.uint64(64) - _SHORT
-                doc = ids[a:b][text]
+                found = pieces(data, offsets, length)
+                key = found.key >> (np.uint64(64) - _SHORT)
+                doc = ids[a:b][found.text]
+                # equal pieces go on once for each chunk, so only one of them counts
+                size = np.zeros(len(key), np.int64)
+                once = np.unique(found.content(found.start, found.end), return_index=True)[1]
+                size[once] = (found.end - found.start)[once]
                 order = np.lexsort((doc, key))
-                key, doc, size = key[order], doc[order], (end - start)[order]
+                key, doc, size = key[order], doc[order], size[order]
                 new = np.ones(len(key), bool)
                 new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
                 size = np.add.reduceat(size, np.flatnonzero(new)) if len(key) else size
@@ -174,7 +196,7 @@ def _keys(length: int, buckets: int):
                 # a key of several documents here is shared; of those the first and the last go on for others
                 bucket = (key[edge] % np.uint64(buckets)).astype(np.int64)
                 by = np.argsort(bucket, kind="stable")
-                # the first entry of a key carries the bytes of all its pieces here
+                # the first entry of a key carries the bytes of all its different pieces here
                 weight = np.zeros(len(key), np.int64)
                 if len(key):
                     weight[first] = np.add.reduceat(size, np.flatnonzero(first))
@@ -229,95 +251,166 @@ def _shared(group: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.chunked_array([pa.array(doc), none]), "key": pa.chunked_array([pa.array(key.astype(np.int64)), pa.array(heavy.astype(np.int64))])})
 
 
+def _same(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A number for each of the strings that follow each other in ``data``, equal for equal ones only."""
+    strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at, np.int64)), pa.py_buffer(data)])
+    return strings.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
+def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of spans one after another, and where each begins and the last ends."""
+    at = np.concatenate([[0], np.cumsum(size)])
+    out, first = np.empty(at[-1], np.uint8), 0
+    while first < len(size):  # positions take eight times the bytes: not all at once
+        last = max(int(np.searchsorted(at, at[first] + CHUNK, side="right")) - 1, first + 1)
+        within = np.arange(at[last] - at[first]) + np.repeat(start[first:last] - (at[first:last] - at[first]), size[first:last])
+        out[at[first] : at[last]] = data[within]
+        first = last
+    return out, at
+
+
+def _smallest(code: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by code and document, first place of each code in it, smallest document of each code)."""
+    order = np.lexsort((doc, code))
+    first = np.flatnonzero(np.append(True, np.diff(code[order]) != 0))[: len(code)]
+    return order, first, doc[order][first]
+
+
+def _joined(doc: np.ndarray, mark: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of documents with those that overlap or touch put together."""
+    if not len(doc):
+        return doc, mark, a, b
+    order = np.lexsort((a, mark, doc))
+    doc, mark, a, b = doc[order], mark[order], a[order], b[order]
+    other = np.append(True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]))
+    # the furthest end so far within a document: documents lie apart by more than any end
+    apart = np.cumsum(other) * (int(b.max()) + 1)
+    reach = np.maximum.accumulate(b + apart)
+    first = np.flatnonzero(other | np.append(True, (a + apart)[1:] > reach[:-1]))
+    last = np.append(first[1:], len(doc)) - 1
+    return doc[first], mark[first], a[first], (reach - apart)[last]
+
+
+def _lost(doc: np.ndarray, mark: np.ndarray, a: np.ndarray, b: np.ndarray) -> bytes:
+    return np.stack([doc, mark, a, b]).astype("<i8").tobytes()
+
+
 def _cut_out(length: int, buckets: int, heavy: np.ndarray):
     """Distinct pieces with shared keys, by bucket, and what copies within the chunk already lose.
 
     Of several documents of a chunk with the same piece the smallest one goes on; the others lose
     the piece whatever other chunks hold. So a piece comes up once per chunk, however many
-    documents have it.
+    documents have it. Pieces whose key the sieve ``heavy`` marks go on as single windows, each
+    under a key of its own.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, marks = batch.column(0).to_numpy(), batch.column(3).to_numpy()
             for a, b, data, offsets in _chunks(batch.column(1)):
                 wanted = np.unique(batch.column(2).slice(a, b - a).flatten().to_numpy().astype(np.uint64))
-                text, start, end, key = pieces(data, offsets, length)
-                short = key >> (np.uint64(64) - _SHORT)
-                at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1) if len(wanted) else short
-                keep = wanted[at] == short if len(wanted) else np.zeros(len(key), bool)
-                doc, start, end, key, where = ids[a:b][text[keep]], start[keep], end[keep], key[keep], offsets[text[keep]]
-                raw = data.tobytes()
-                split = np.isin(key >> (np.uint64(64) - _SHORT), heavy)
+                found = pieces(data, offsets, length)
+                short = found.key >> (np.uint64(64) - _SHORT)
+                at = np.minimum(np.searchsorted(wanted, short), max(len(wanted) - 1, 0))
+                keep = wanted[at] == short if len(wanted) else np.zeros(len(short), bool)
+                text, start, end, key = found.text[keep], found.start[keep], found.end[keep], found.key[keep]
+                split = heavy[(short[keep] % np.uint64(len(heavy))).astype(np.int64)]
                 if split.any():
                     many = np.where(split, end - start - length + 1, 1)
                     nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    doc, start, end, key, where, split = (np.repeat(x, many) for x in (doc, start, end, key, where, split))
+                    text, start, end, key, split = (np.repeat(x, many) for x in (text, start, end, key, split))
                     start = start + nth
                     end = np.where(split, start + length, end)
-                    key[split] = [int.from_bytes(hashlib.blake2b(raw[i : i + length], digest_size=8).digest(), "little") for i in (where + start)[split].tolist()]
-                seen: dict[bytes, int] = {}
-                first, listed, again = [], [], []
-                for k in np.lexsort((start, doc)).tolist():
-                    piece = raw[where[k] + start[k] : where[k] + end[k]]
-                    if doc[seen.setdefault(piece, k)] < doc[k]:
-                        again.append(k)
-                    else:  # also where one document has it twice
-                        first.append(k)
-                        listed.append(piece)
+                    key[split] = found.content(start[split], end[split])
+                doc, mark, here = ids[a:b][text], marks[a:b][text], start - offsets[text]
+                raw, at = _gathered(data, start, end - start)
+                code = _same(raw, at)
+                del raw
+                order, _, least = _smallest(code, doc)
+                again = doc > least[code] if len(least) else np.zeros(0, bool)
                 rows = []
-                bucket = (mix(key[first], 62) % np.uint64(buckets)).astype(np.int64)
-                by = np.argsort(bucket, kind="stable")
-                for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
-                    at = np.array(first)[part]
-                    numbers = np.stack([doc[at], start[at], end[at] - start[at]]).astype("<i8").tobytes()
-                    rows.append((int(bucket[part[0]]), False, len(part), zlib.compress(numbers + b"".join(listed[i] for i in part), 1)))
-                if again:
-                    at = np.array(again)
-                    rows.append((int(doc[at[0]]) % buckets, True, len(at), zlib.compress(np.stack([doc[at], start[at], end[at]]).astype("<i8").tobytes(), 1)))
+                # the one document's pieces, also where it has one twice
+                by = np.flatnonzero(~again)
+                bucket = (mix(key[by], 62) % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                by, bucket = by[order], bucket[order]
+                raw, at = _gathered(data, start[by], (end - start)[by])
+                edges = np.flatnonzero(np.append(True, np.diff(bucket) != 0))[: len(by)]
+                for i, j in zip(edges.tolist(), np.append(edges[1:], len(by)).tolist()):
+                    part = by[i:j]
+                    long = np.stack([doc[part], mark[part]]).astype("<i8").tobytes()
+                    short = np.stack([here[part], (end - start)[part], (key[part] & np.uint64(0xFFFFFFFF)).astype(np.int64)]).astype("<u4").tobytes()
+                    rows.append((int(bucket[i]), False, j - i, zlib.compress(long + short + raw[at[i] : at[j]].tobytes(), 1)))
+                if again.any():
+                    runs = _joined(doc[again], mark[again], here[again], (here + end - start)[again])
+                    rows.append((int(runs[0][0]) % buckets, True, len(runs[0]), zlib.compress(_lost(*runs), 1)))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.bool_(), pa.int64(), pa.binary()))], names=["bucket", "known", "n", "packed"])
 
     return run
 
 
+def _windows_owned_before(text: np.ndarray, begin: np.ndarray, size: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, a, b): runs within pieces of windows that a piece of a smaller document also has."""
+    order, words = suffix_array(text, length)
+    owner = np.repeat(np.arange(len(size)), size)
+    order = order[order - begin[owner[order]] + length <= size[owner[order]]]
+    start = np.flatnonzero(~neighbours_share(order, words, length))
+    smallest = np.empty(len(text), np.int64)
+    smallest[order] = np.repeat(np.minimum.reduceat(doc[owner[order]], start), np.diff(np.append(start, len(order))))
+    place = np.sort(order)
+    place = place[smallest[place] < doc[owner[place]]]
+    # windows side by side in a piece are one run
+    new = np.ones(len(place), bool)
+    new[1:] = (np.diff(place) != 1) | (owner[place[1:]] != owner[place[:-1]])
+    first = np.flatnonzero(new)
+    last = (np.append(first[1:], len(place)) - 1)[: len(first)]
+    who = owner[place[first]]
+    return who, place[first] - begin[who], place[last] - begin[who] + length
+
+
 def _first_owner(length: int):
-    """Runs (doc_id, a, b) that a document loses to smaller ones."""
+    """Runs (doc_id, mark, a, b) that a document loses to smaller ones.
+
+    Equal pieces are one string for the suffix array, which holds those that share a key with others.
+    """
 
     def run(group: pa.Table) -> pa.Table:
-        out, docs, starts, sizes, raw = [], [], [], [], []
+        out, longs, shorts, raw = [], [], [], []
         for known, n, packed in zip(*(group.column(c).to_pylist() for c in ("known", "n", "packed"))):
             packed = zlib.decompress(packed)
-            numbers = np.frombuffer(packed, "<i8", 3 * n).reshape(3, n)
             if known:
-                out.append(numbers)
+                out.append(np.frombuffer(packed, "<i8", 4 * n).reshape(4, n))
                 continue
-            docs.append(numbers[0])
-            starts.append(numbers[1])
-            sizes.append(numbers[2])
-            raw.append(packed[24 * n :])
+            longs.append(np.frombuffer(packed, "<i8", 2 * n).reshape(2, n))
+            shorts.append(np.frombuffer(packed, "<u4", 3 * n, 16 * n).reshape(3, n))
+            raw.append(packed[28 * n :])
         if raw:
-            doc, begin_in_doc, size = (np.concatenate(x) for x in (docs, starts, sizes))
-            text = np.frombuffer(b"".join(raw), np.uint8)
-            begin = np.cumsum(size) - size
-            order, words = suffix_array(text, length)
-            owner = np.repeat(np.arange(len(size)), size)
-            order = order[order - begin[owner[order]] + length <= size[owner[order]]]
-            start = np.flatnonzero(~neighbours_share(order, words, length))
-            smallest = np.empty(len(text), np.int64)
-            smallest[order] = np.repeat(np.minimum.reduceat(doc[owner[order]], start), np.diff(np.append(start, len(order))))
-            place = np.sort(order)
-            place = place[smallest[place] < doc[owner[place]]]
-            # windows side by side in a piece are one run
-            new = np.ones(len(place), bool)
-            new[1:] = (np.diff(place) != 1) | (owner[place[1:]] != owner[place[:-1]])
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(place)) - 1
-            last = last[: len(first)]
-            who = owner[place[first]]
-            shift = begin_in_doc[who] - begin[who]
-            out.append(np.stack([doc[who], place[first] + shift, place[last] + shift + length]))
-        doc, a, b = np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
-        return pa.table({"doc_id": doc, "a": a, "b": b})
+            doc, mark = np.concatenate(longs, axis=1)
+            start, size, tag = np.concatenate(shorts, axis=1).astype(np.int64)
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            del longs, shorts, raw
+            at = np.concatenate([[0], np.cumsum(size)])
+            code = _same(data, at)
+            order, first, least = _smallest(code, doc)
+            gone = doc > least[code]
+            out.append(np.stack([doc[gone], mark[gone], start[gone], (start + size)[gone]]))
+            one = order[first]  # a row of each distinct piece, by code
+            by_tag = np.unique(tag[one], return_inverse=True, return_counts=True)
+            several = np.flatnonzero(by_tag[2][by_tag[1]] > 1)
+            if len(several):
+                text, begin = _gathered(data, at[:-1][one[several]], size[one[several]])
+                who, a, b = _windows_owned_before(text, begin[:-1], size[one[several]], least[several], length)
+                # for every place where the piece's smallest document has it
+                kept = ~gone[order]
+                count = np.bincount(code, ~gone, len(first)).astype(np.int64)
+                holders, at_code = order[kept], np.cumsum(count) - count
+                which = several[who]
+                times = count[which]
+                nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+                row = holders[np.repeat(at_code[which], times) + nth]
+                out.append(np.stack([doc[row], mark[row], start[row] + np.repeat(a, times), start[row] + np.repeat(b, times)]))
+        runs = _joined(*(np.concatenate(out, axis=1) if out else np.zeros((4, 0), np.int64)))
+        return pa.table(dict(zip(("doc_id", "mark", "a", "b"), runs)))
 
     return run
 
@@ -351,34 +444,45 @@ def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     judged on the texts as they are. ``n_spans`` counts the removed runs, ``kept`` holds the other
     bytes. ``length`` is at least 24.
 
-    Null and empty texts and those shorter than ``length`` keep all. Rows that share an id don't
-    take from each other; if their texts differ, one of them is judged and the others keep all. A row without an id keeps all and takes nothing. Repeated rows give as
-    many rows. Other columns of ``docs`` are not read.
+    Null and empty texts and those shorter than ``length`` keep all. Rows that share an id are
+    texts of one document: each is judged, and they don't take from each other. A row without an id
+    keeps all and takes nothing. Repeated rows give as many rows. An empty table gives an empty
+    result. Other columns of ``docs`` are not read.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    named = texts.where("doc_id is not null")
-    own = F.struct(F.xxhash64("text").alias("a"), F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").cast("long").alias("n_bytes"))
-    texts_of = cut(named.select("doc_id", own.alias("print")).groupBy("doc_id").agg(F.min("print").alias("print")))
-    total = texts_of.agg(F.sum("print.n_bytes")).first()[0] or 0
+    texts = texts.withColumn("mark", F.xxhash64("text"))
+    own = F.struct("mark", F.xxhash64(F.lit(1), "text").alias("b"), F.octet_length("text").cast("long").alias("n_bytes"))
+    each = cut(texts.where("doc_id is not null").select("doc_id", own.alias("print")).distinct())
+    total = each.agg(F.sum("print.n_bytes")).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET))
-    earliest = texts_of.groupBy("print").agg(F.min("doc_id").alias("rep"))
-    # a copy of a whole earlier document goes as a whole and is not compared any further
-    states = texts_of.join(earliest, "print").select("doc_id", "print", (F.col("doc_id") > F.col("rep")).alias("copy"))
-    marked = texts.join(states, "doc_id", "left").withColumn("judged", F.coalesce(F.col("print") == own, F.lit(False)))
-    stored = _bucketed(marked.select("doc_id", "text", "judged", (F.col("judged") & F.col("copy")).alias("copy")))
-
-    rows = stored.where(F.col("judged") & ~F.col("copy") & (F.octet_length("text") >= length)).select("doc_id", "text")
-    found = rows.mapInArrow(_keys(length, buckets), "bucket long, known boolean, packed binary").groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
+    # a copy of a whole earlier document goes as a whole and is not compared any further; a group
+    # of copies may hold a third of all rows, so its members meet its first one under several salts
+    earliest = each.groupBy("print").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
+    earliest = earliest.select("print", "rep", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    copies = each.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(earliest, ["print", "salt"], "left")
+    states = copies.groupBy("doc_id").agg(
+        (F.min("print") != F.max("print")).alias("several"), F.collect_set(F.when(F.col("doc_id") > F.col("rep"), F.col("print.mark"))).alias("copies")
+    )
+    marked = texts.join(states, "doc_id", "left").select(
+        "doc_id", "text", F.when(F.col("several"), F.col("mark")).otherwise(F.lit(0)).alias("mark"),
+        F.coalesce(F.array_contains("copies", F.col("mark")), F.lit(False)).alias("copy"),
+    )
+    stored = _bucketed(marked)
+
+    rows = stored.where(F.col("doc_id").isNotNull() & ~F.col("copy") & (F.octet_length("text") >= length))
+    found = rows.select("doc_id", "text").mapInArrow(_keys(length, buckets), "bucket long, known boolean, packed binary").groupBy("bucket").applyInArrow(_shared, "doc_id long, key long")
     found = written(found, "keys")
-    # at most one heavy key for each HEAVY / 50 windows of the corpus
-    heavy = found.where("doc_id is null").select("key").distinct().toArrow().column("key").to_numpy().astype(np.uint64)
+    # a sieve of heavy keys: of fixed size, however many there are; a key it marks for another one is split too
+    sieve = np.zeros(SIEVE, bool)
+    sieve[[r["at"] for r in found.where("doc_id is null").select(F.pmod("key", F.lit(SIEVE)).alias("at")).distinct().collect()]] = True
     shared = found.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
-    packed = rows.join(shared, "doc_id").select("doc_id", "text", "keys").mapInArrow(_cut_out(length, buckets, heavy), "bucket long, known boolean, n long, packed binary")
-    lost = packed.groupBy("bucket").applyInArrow(_first_owner(length), "doc_id long, a long, b long")
-    runs = lost.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("runs"))
+    packed = rows.join(shared, "doc_id").select("doc_id", "text", "keys", "mark").mapInArrow(_cut_out(length, buckets, sieve), "bucket long, known boolean, n long, packed binary")
+    lost = packed.groupBy("bucket").applyInArrow(_first_owner(length), "doc_id long, mark long, a long, b long")
+    runs = lost.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "a", "b")).alias("runs"))
     size = F.octet_length("text").cast("long")
-    everything = F.array(F.struct(F.lit(0).cast("long").alias("a"), size.alias("b")))
-    lose = F.when(F.col("copy") & (size >= length), everything).when(F.col("judged") & ~F.col("copy"), F.col("runs"))
+    everything = F.array(F.struct(F.col("mark"), F.lit(0).cast("long").alias("a"), size.alias("b")))
+    mine = F.filter("runs", lambda r: r["mark"] == F.col("mark"))
+    lose = F.when(F.col("copy") & (size >= length), everything).when(~F.col("copy"), mine)
     cleaned = stored.join(runs, "doc_id", "left").select("doc_id", "text", lose.alias("runs")).mapInArrow(_remove, "doc_id long, kept binary, n_removed long, n_spans long")
     return cleaned.select("doc_id", (F.octet_length("kept") + F.col("n_removed")).cast("long").alias("n_bytes"), "n_removed", "n_spans", "kept")
 

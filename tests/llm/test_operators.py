@@ -352,8 +352,11 @@ def test_pieces_of_a_heavy_key_are_split(spark, monkeypatch):
     assert len(heavy)
     keys = pa.array([found["key"].to_pylist()] * len(rows))
     largest = {}
+    batch = batch.append_column("keys", keys).append_column("mark", pa.array([0] * len(rows), pa.int64()))
     for split in (heavy, heavy[:0]):
-        out = pa.Table.from_batches(list(suffixes._cut_out(50, 1 << 20, split)(iter([batch.append_column("keys", keys)]))))
+        sieve = np.zeros(suffixes.SIEVE, bool)
+        sieve[(split % np.uint64(suffixes.SIEVE)).astype(int)] = True
+        out = pa.Table.from_batches(list(suffixes._cut_out(50, 1 << 20, sieve)(iter([batch]))))
         largest[len(split) > 0] = max(n for n, known in zip(out["n"].to_pylist(), out["known"].to_pylist()) if not known)
     # a bucket of one key holds what 2,000 bytes can
     assert largest[True] <= 2000 // 50 < largest[False]
@@ -362,6 +365,42 @@ def test_pieces_of_a_heavy_key_are_split(spark, monkeypatch):
     assert sorted(map(tuple, whole(table).select(*columns).collect())) == want and any(w[1] for w in want)
 
 
+def test_texts_of_one_id_and_hot_copies_against_every_window(spark, monkeypatch):
+    """Ids with several texts, copies of whole texts, negative ids; in small chunks also texts longer than a chunk."""
+    r = np.random.default_rng(12)
+    word = lambda n: "".join(r.choice([*"abcd é"], n))
+    lines = [word(n) for n in (60, 90, 140)]
+    rows = [(k // 2 - 5, word(30) + lines[k % 3] + word(40)) for k in range(60)]
+    rows += [(100 + k, rows[k % 4][1]) for k in range(30)] + [(-5, rows[7][1]), (40, rows[3][1] * 3), (41, lines[0] * 200), (42, lines[0][7:] * 30), (40, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    first = {}
+    for i, t in sorted(rows):
+        for p in range(len(t.encode()) - 49):
+            first.setdefault(t.encode()[p : p + 50], i)
+    want = []
+    for i, t in rows:
+        data = t.encode()
+        gone = np.zeros(len(data) + 1, bool)
+        for p in range(len(data) - 49):
+            if first[data[p : p + 50]] < i:
+                gone[p : p + 50] = True
+        want.append((i, len(data), gone.sum(), (np.diff(gone.astype(int)) == -1).sum(), bytes(b for b, g in zip(data, gone) if not g)))
+    found = suffixes.without_repeats(table).collect()
+    assert sorted((f.doc_id, f.n_bytes, f.n_removed, f.n_spans, bytes(f.kept)) for f in found) == sorted(want)
+    monkeypatch.setattr(suffixes, "CHUNK", 700)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]})
+    keys = suffixes._shared(pa.Table.from_batches(list(suffixes._keys(50, 1)(iter([batch])))))["key"].to_pylist()
+    batch = batch.append_column("keys", pa.array([keys] * len(rows))).append_column("mark", pa.array(range(len(rows)), pa.int64()))
+    for sieve in (np.zeros(1, bool), np.ones(1, bool)):
+        parts = pa.Table.from_batches(list(suffixes._cut_out(50, 1, sieve)(iter([batch]))))
+        assert len(parts) > 20
+        gone = [np.zeros(w[1] + 1, bool) for w in want]
+        for lost in suffixes._first_owner(50)(parts).to_pylist():
+            gone[lost["mark"]][lost["a"] : lost["b"]] = True
+        assert [g.sum() for g in gone] == [w[2] for w in want]
+    assert suffixes.without_repeats(table.limit(0)).collect() == []
+
+
 def _all_heavy(shared):
     def run(group: pa.Table) -> pa.Table:
         found = shared(group)
