@@ -29,6 +29,8 @@ from nodeledger.llm.wordhash import _BASE, _CODE, _INVERSE, mix, powers, text_bu
 GRAM = 16
 #: Bytes of documents handled at a time, and per bucket of keys.
 CHUNK, BUCKET = 1 << 21, 1 << 22
+#: Windows whose keys are worked out together.
+SLAB = 1 << 15
 #: Bytes of pieces under one key, equal ones once for each chunk, above which the key is split.
 HEAVY = 1 << 21
 #: Places of the sieve of heavy keys, and salts of groups of whole copies.
@@ -144,19 +146,33 @@ def pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Pieces:
     n = len(data) - length + 1
     if n <= 0:
         return Pieces(*(np.zeros(0, np.int64),) * 3, np.zeros(0, np.uint64), total)
-    key = mix((total[GRAM:] - total[:-GRAM]) * powers(_INVERSE, len(total))[: len(total) - GRAM], 61)
-    width, done = length - GRAM + 1, 1
-    while done * 2 <= width:
-        key, done = np.minimum(key[:-done], key[done:]), done * 2
-    key = np.minimum(key[:n], key[width - done : width - done + n])
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
-    inside = np.arange(n) + length <= offsets[text + 1]
-    text, key, place = text[inside], key[inside], np.flatnonzero(inside)
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(key))[: len(first)] - 1
-    return Pieces(text[first], place[first], place[last] + length, key[first], total)
+    key = _smallest_grams(total, n, length)
+    valid = np.ones(n, bool)
+    # the last places of each text begin no window (before a short text lie the last places of another one)
+    outside = (offsets[1:, None] - np.arange(1, length)).ravel()
+    valid[outside[(outside >= 0) & (outside < n)]] = False
+    change = key[1:] != key[:-1]
+    first = np.flatnonzero(valid & np.append(True, change | ~valid[:-1]))
+    last = np.flatnonzero(valid & np.append(change | ~valid[1:], True))
+    return Pieces(np.searchsorted(offsets, first, side="right") - 1, first, last + length, key[first], total)
+
+
+def _smallest_grams(total: np.ndarray, n: int, length: int) -> np.ndarray:
+    """The smallest gram hash of each of ``n`` windows, from prefix sums; in slabs that fit a processor's cache."""
+    inverse, out, width = powers(_INVERSE, len(total)), np.empty(n, np.uint64), length - GRAM + 1
+    for a in range(0, n, SLAB):
+        b = min(a + SLAB, n)
+        key = total[a + GRAM : b + width - 1 + GRAM] - total[a : b + width - 1]
+        key *= inverse[a : b + width - 1]
+        key ^= key >> np.uint64(32)
+        key *= np.uint64(0x94D049BB133111EB)
+        key ^= key >> np.uint64(29)
+        key *= np.uint64(0xBF58476D1CE4E5B9)
+        done = 1
+        while done * 2 <= width:
+            key, done = np.minimum(key[:-done], key[done:]), done * 2
+        np.minimum(key[: b - a], key[width - done : width - done + b - a], out=out[a:b])
+    return out
 
 
 def _chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
