@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -12,7 +14,7 @@ from nodeledger.llm.wordhash import Block, blocks, mix
 
 SAMPLE_PER_CLASS = 4000
 #: Lengths in bytes of the word beginnings that serve as features and, where telling, as voters.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 
 # Common insults, each a lexicon voter.
 LEXICON = (
@@ -21,10 +23,82 @@ LEXICON = (
 ).split()
 
 
+# Phrases, each a pattern voter; and the words by which an insult meets its reader.
+PHRASES = (
+    "shut up|get lost|drop dead|go die|go to hell|kill yourself|hate you|hurt you|kill you|find you|"
+    "watch your back|make you pay|you will regret|you will pay|you people|your kind|people like you|"
+    "nobody likes you|nobody wants you|shame on you"
+).split("|")
+READER = "you your youre u ur yourself".split()
+#: Words before and after an insult among which the reader may be named.
+BEFORE, AFTER = 4, 2
+
+# letters in lower case, digits as the letters they stand for; marks are no part of a word
+_LETTER = np.zeros(256, np.uint8)
+_LETTER[128:] = np.arange(128, 256)
+_LETTER[97:123] = _LETTER[65:91] = np.arange(97, 123)
+_LETTER[[ord(c) for c in "013457"]] = [ord(c) for c in "oieast"]
+_INSULT_TO_READER = np.uint64(0x5EC0D9E25011A7)
+
+
+def letter_words(block: Block) -> Block:
+    """The words of a block by their letters alone: ``i.d.1.o.t!!`` is ``idiot``; words without any are left out."""
+    data = _LETTER[block.data]
+    at = np.concatenate([[0], np.cumsum(data != 0)])
+    starts, ends = at[block.starts], at[block.ends]
+    some = ends > starts
+    word_at = np.concatenate([[0], np.cumsum(some)])[block.word_at]
+    return Block(block.first, data[data != 0], at[block.offsets], starts[some], ends[some], word_at)
+
+
+def _hashes_of(words: list[str]) -> np.ndarray:
+    return np.concatenate([mix(letter_words(b).hashes(), 41) for b in blocks(pa.array(words))])
+
+
+@lru_cache(maxsize=1)
+def _pattern_hashes() -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """Hashes of the lexicon, of the words for the reader, and of phrases by their number of words."""
+    phrases: dict[int, list[np.ndarray]] = {}
+    for phrase in PHRASES:
+        parts = phrase.split()
+        phrases.setdefault(len(parts), []).append(_hashes_of(parts))
+    return _hashes_of(LEXICON), _hashes_of(READER), {n: np.stack(p) for n, p in phrases.items()}
+
+
+def _chained(words: np.ndarray) -> np.ndarray:
+    """One value for each row of words."""
+    out = np.zeros(len(words), np.uint64)
+    for column in words.T:
+        out = mix(out * np.uint64(0x9E3779B97F4A7C15) + column, 43)
+    return out
+
+
+def patterns(word: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature) where a phrase lies, or an insult near a word for the reader, within one text."""
+    lexicon, reader, phrases = _pattern_hashes()
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for n, rows in phrases.items():
+        at = np.flatnonzero(np.isin(word[: max(len(word) - n + 1, 0)], rows[:, 0]))
+        at = at[text[at] == text[at + n - 1]]
+        feature = _chained(word[at[:, None] + np.arange(n)])
+        hit = np.isin(feature, _chained(rows))
+        found.append((text[at[hit]], feature[hit]))
+    insult = np.flatnonzero(np.isin(word, lexicon))
+    near = insult[:, None] + np.array([*range(-BEFORE, 0), *range(1, AFTER + 1)])
+    inside = (near >= 0) & (near < len(word))
+    near = np.clip(near, 0, max(len(word) - 1, 0))
+    hit = (inside & (text[near] == text[insult][:, None]) & np.isin(word[near], reader)).any(axis=1) if len(insult) else np.zeros(0, bool)
+    found.append((text[insult[hit]], np.full(hit.sum(), _INSULT_TO_READER)))
+    return np.concatenate([t for t, _ in found]), np.concatenate([f for _, f in found])
+
+
 def stems(block: Block) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) for each word and word beginning, whatever its case; features are 64 bits."""
-    parts = [mix(block.hashes(), 41), *(mix(block.hashes(at_most=k), 41 + k) for k in STEMS)]
-    return np.tile(block.text_of_word(), len(parts)), np.concatenate(parts)
+    """(text, feature) for each word and word beginning by its letters, and each pattern; features are 64 bits."""
+    block = letter_words(block)
+    word, text = mix(block.hashes(), 41), block.text_of_word()
+    parts = [word, *(mix(block.hashes(at_most=k), 41 + k) for k in STEMS)]
+    pattern_text, pattern = patterns(word, text)
+    return np.concatenate([np.tile(text, len(parts)), pattern_text]), np.concatenate([*parts, pattern])
 
 
 def present(block: Block, known: np.ndarray) -> linear.Rows:
@@ -36,12 +110,14 @@ def present(block: Block, known: np.ndarray) -> linear.Rows:
     return linear.Rows(rows.at, rows.index, np.ones(len(rows.index)))
 
 
-def _lexicon_features() -> np.ndarray:
-    return np.concatenate([mix(b.hashes(), 41) for b in blocks(pa.array(LEXICON))])
+def _voter_features() -> np.ndarray:
+    """The features of lexicon and pattern voters."""
+    lexicon, _, phrases = _pattern_hashes()
+    return np.concatenate([lexicon, *map(_chained, phrases.values()), [_INSULT_TO_READER]])
 
 
 def vocabulary(texts: list[str], least_texts: int = 3) -> np.ndarray:
-    """The lexicon and every feature of at least ``least_texts`` texts, sorted."""
+    """Lexicon, patterns and every feature of at least ``least_texts`` texts, sorted."""
     found = []
     for block in blocks(pa.array(texts, pa.string())):
         text, feature = stems(block)
@@ -51,11 +127,11 @@ def vocabulary(texts: list[str], least_texts: int = 3) -> np.ndarray:
         new[1:] = (feature[1:] != feature[:-1]) | (text[1:] != text[:-1])
         found.append(feature[new])
     feature, n = np.unique(np.concatenate(found), return_counts=True)
-    return np.union1d(feature[n >= least_texts], _lexicon_features())
+    return np.union1d(feature[n >= least_texts], _voter_features())
 
 
 def voters(rows: linear.Rows, known: np.ndarray, y: np.ndarray, most: int = 200, times: float = 200.0) -> np.ndarray:
-    """Positions of features that vote "toxic" where they occur: the lexicon, and found beginnings.
+    """Positions of features that vote "toxic" where they occur: lexicon, patterns and found beginnings.
 
     A beginning qualifies if it occurs in a hundredth of the toxic texts, in 4 at least, and is
     ``times`` as frequent there as in the others; the ``most`` frequent of those serve.
@@ -65,7 +141,7 @@ def voters(rows: linear.Rows, known: np.ndarray, y: np.ndarray, most: int = 200,
     clean = np.bincount(rows.index, 1 - y[owner], len(known))
     ratio = ((toxic + 0.1) / y.sum()) / ((clean + 0.1) / (1 - y).sum())
     good = np.flatnonzero((toxic >= max(4, y.sum() / 100)) & (ratio >= times))
-    return np.union1d(np.searchsorted(known, _lexicon_features()), good[np.argsort(-toxic[good], kind="stable")][:most])
+    return np.union1d(np.searchsorted(known, _voter_features()), good[np.argsort(-toxic[good], kind="stable")][:most])
 
 
 def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray:

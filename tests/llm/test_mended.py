@@ -4,9 +4,11 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from nodeledger.llm import bpe, components, fingerprint, gridjoin, minhash, queries, tokenfiles
+from nodeledger.llm import bpe, components, fingerprint, gridjoin, minhash, queries, tokenfiles, toxicity
+from nodeledger.llm.wordhash import blocks
 
 
 def thue_morse(a, b, n):
@@ -155,3 +157,30 @@ def test_round_trip_equals_encoding_then_decoding(spark):
     once, twice = (sorted(df.collect(), key=key) for df in (bpe.bpe_round_trip(docs, path), bpe.bpe_decode(bpe.bpe_encode(docs, path), path)))
     assert once == twice and [r.text for r in once][:2] == ["", ""]
     assert bpe.bpe_round_trip(docs.limit(0), path).collect() == []
+
+
+def test_toxicity_patterns_against_regular_expressions():
+    """Phrases, insults to the reader and words with marks, by letters, never across texts."""
+    texts = [
+        "You are an Idiot.", "i.d.1.o.t!!", "SCUM$$$ said one, and so said all", "an idiot walks far away and then you",
+        "please SHUT, up!", "please shut", "up with it", "drop  dead\nnow", "Nobody wants you", "scum", "you there", "", "...", None,
+    ]
+    lexicon, reader, phrases = toxicity._pattern_hashes()
+    names = {int(h): p for n, rows in phrases.items() for h, p in zip(toxicity._chained(rows), [p for p in toxicity.PHRASES if len(p.split()) == n])}
+    names |= {int(h): w for h, w in zip(lexicon, toxicity.LEXICON)} | {int(toxicity._INSULT_TO_READER): "to reader"}
+    found = {k: set() for k in range(len(texts))}
+    for block in blocks(pa.array(texts)):
+        text, feature = toxicity.stems(block)
+        for t, f in zip((text + block.first).tolist(), feature.tolist()):
+            found[t] |= {names[f]} & {*names.values()} if f in names else set()
+    want = {k: set() for k in range(len(texts))}
+    digits = str.maketrans("013457", "oieast")
+    for k, t in enumerate(texts):
+        words = [w for w in (re.sub("[^a-z]", "", w.lower().translate(digits)) for w in (t or "").split()) if w]
+        line = " ".join(words)
+        want[k] |= {p for p in toxicity.PHRASES if re.search(rf"(^| ){p}( |$)", line)} | ({*words} & {*toxicity.LEXICON})
+        for i, w in enumerate(words):
+            if w in toxicity.LEXICON and {*words[max(0, i - toxicity.BEFORE) : i], *words[i + 1 : i + 1 + toxicity.AFTER]} & {*toxicity.READER}:
+                want[k].add("to reader")
+    assert found == want
+    assert want[0] == {"idiot", "to reader"} and want[1] == {"idiot"} and want[3] == {"idiot"} and want[4] == {"shut up"} and not want[5] | want[6]
