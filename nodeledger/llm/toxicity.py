@@ -14,7 +14,7 @@ from nodeledger.llm.wordhash import Block, blocks, mix
 
 SAMPLE_PER_CLASS = 4000
 #: Lengths in bytes of the word beginnings that serve as features and, where telling, as voters.
-STEMS = (4, 5, 6, 7, 8)
+STEMS = (5, 7, 9)
 
 # Common insults, each a lexicon voter.
 LEXICON = (
@@ -107,7 +107,7 @@ def present(block: Block, known: np.ndarray) -> linear.Rows:
     at = np.minimum(np.searchsorted(known, feature), len(known) - 1)
     hit = known[at] == feature
     rows = linear.merged(text[hit], at[hit], np.ones(hit.sum()), block.texts(), len(known))
-    return linear.Rows(rows.at, rows.index, np.ones(len(rows.index)))
+    return linear.Rows(rows.at, rows.index.astype(np.int32), np.ones(len(rows.index)))
 
 
 def _voter_features() -> np.ndarray:
@@ -118,15 +118,20 @@ def _voter_features() -> np.ndarray:
 
 def vocabulary(texts: list[str], least_texts: int = 3) -> np.ndarray:
     """Lexicon, patterns and every feature of at least ``least_texts`` texts, sorted."""
-    found = []
+    feature, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for block in blocks(pa.array(texts, pa.string())):
-        text, feature = stems(block)
-        order = np.lexsort((text, feature))
-        text, feature = text[order], feature[order]
-        new = np.ones(len(feature), bool)
-        new[1:] = (feature[1:] != feature[:-1]) | (text[1:] != text[:-1])
-        found.append(feature[new])
-    feature, n = np.unique(np.concatenate(found), return_counts=True)
+        text, new = stems(block)
+        order = np.lexsort((text, new))
+        text, new = text[order], new[order]
+        first = np.ones(len(new), bool)
+        first[1:] = (new[1:] != new[:-1]) | (text[1:] != text[:-1])
+        # counts so far and those of the block, put together: memory by different features, not by all
+        new, times = np.unique(new[first], return_counts=True)
+        both = np.union1d(feature, new)
+        total = np.zeros(len(both), np.int64)
+        total[np.searchsorted(both, feature)] += n
+        total[np.searchsorted(both, new)] += times
+        feature, n = both, total
     return np.union1d(feature[n >= least_texts], _voter_features())
 
 
