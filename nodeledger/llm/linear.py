@@ -67,8 +67,8 @@ def fit_ftrl(rows: Rows, target: np.ndarray, weight: np.ndarray | None = None, p
     return w[:-1].astype(np.float32), float(w[-1])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of at most ``per_class`` rows of each label, outside the held-out fifth.
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame | None:
+    """(doc_id, y, text) of at most ``per_class`` rows of each label outside the held-out fifth; None without any.
 
     The rows are those first in the order of a hash of their id, so that the sample depends on
     nothing else. Rows without an id or a label and repeated ids are not used.
@@ -78,11 +78,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = known.where(~held_out("doc_id")).groupBy("doc_id").agg(F.min("y").alias("y")).withColumn("turn", F.xxhash64("doc_id"))
     picked = [r for y in (0, 1) for r in known.where(F.col("y") == y).orderBy("turn", "doc_id").limit(per_class).select("doc_id", "y").collect()]
     if not picked:
-        return [], np.zeros(0)
+        return None
     wanted = spark.createDataFrame(picked, "doc_id long, y int")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     # at most 2 * per_class rows of two numbers are broadcast
-    found = rows.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    return rows.join(F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "y", "text")
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[str], np.ndarray]:
+    """Texts and labels of :func:`labelled_rows`, by doc_id."""
+    rows = labelled_rows(docs, labels, label, per_class)
+    if rows is None:
+        return [], np.zeros(0)
+    found = rows.toPandas().sort_values("doc_id")
     return list(found["text"]), found["y"].to_numpy(float)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -10,11 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nodeledger.llm import linear
+from nodeledger.llm.store import hand_back, written
 from nodeledger.llm.wordhash import Block, blocks, mix
 
 SAMPLE_PER_CLASS = 4000
 #: Lengths in bytes of the word beginnings that serve as features and, where telling, as voters.
 STEMS = (5, 7, 9)
+#: Files of the written sample.
+FILES = 16
 
 # Common insults, each a lexicon voter.
 LEXICON = (
@@ -107,7 +111,11 @@ def present(block: Block, known: np.ndarray) -> linear.Rows:
     at = np.minimum(np.searchsorted(known, feature), len(known) - 1)
     hit = known[at] == feature
     rows = linear.merged(text[hit], at[hit], np.ones(hit.sum()), block.texts(), len(known))
-    return linear.Rows(rows.at, rows.index.astype(np.int32), np.ones(len(rows.index)))
+    return _of_ones(rows.at, rows.index.astype(np.int32))
+
+
+def _of_ones(at: np.ndarray, index: np.ndarray) -> linear.Rows:
+    return linear.Rows(at, index, np.broadcast_to(1.0, len(index)))
 
 
 def _voter_features() -> np.ndarray:
@@ -116,23 +124,57 @@ def _voter_features() -> np.ndarray:
     return np.concatenate([lexicon, *map(_chained, phrases.values()), [_INSULT_TO_READER]])
 
 
-def vocabulary(texts: list[str], least_texts: int = 3) -> np.ndarray:
-    """Lexicon, patterns and every feature of at least ``least_texts`` texts, sorted."""
-    feature, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    for block in blocks(pa.array(texts, pa.string())):
-        text, new = stems(block)
-        order = np.lexsort((text, new))
-        text, new = text[order], new[order]
-        first = np.ones(len(new), bool)
-        first[1:] = (new[1:] != new[:-1]) | (text[1:] != text[:-1])
-        # counts so far and those of the block, put together: memory by different features, not by all
-        new, times = np.unique(new[first], return_counts=True)
-        both = np.union1d(feature, new)
-        total = np.zeros(len(both), np.int64)
-        total[np.searchsorted(both, feature)] += n
-        total[np.searchsorted(both, new)] += times
-        feature, n = both, total
-    return np.union1d(feature[n >= least_texts], _voter_features())
+def vocabulary(sample: DataFrame, least_texts: int = 3) -> np.ndarray:
+    """Lexicon, patterns and every feature of at least ``least_texts`` texts of the sample, sorted.
+
+    Texts are counted within tasks first, and only what is frequent enough comes to the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        feature, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for block in blocks(batch.column(0)):
+                text, new = stems(block)
+                order = np.lexsort((text, new))
+                text, new = text[order], new[order]
+                first = np.ones(len(new), bool)
+                first[1:] = (new[1:] != new[:-1]) | (text[1:] != text[:-1])
+                # counts so far and those of the block, put together: memory by different features, not by all
+                new, times = np.unique(new[first], return_counts=True)
+                both = np.union1d(feature, new)
+                total = np.zeros(len(both), np.int64)
+                total[np.searchsorted(both, feature)] += n
+                total[np.searchsorted(both, new)] += times
+                feature, n = both, total
+        yield pa.RecordBatch.from_arrays([pa.array(feature.view(np.int64)), pa.array(n)], names=["feature", "n"])
+        hand_back()
+
+    counts = sample.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") >= least_texts).select("feature").toArrow().column(0).to_numpy()
+    return np.union1d(found.astype(np.int64).view(np.uint64), _voter_features())
+
+
+def known_features(sample: DataFrame, known: np.ndarray) -> tuple[linear.Rows, np.ndarray]:
+    """(which of the ``known`` features each sampled text has, labels), by doc_id.
+
+    Texts stay in the tasks; four bytes per text and known feature come to the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch.column(2)):
+                rows = present(block, known)
+                has = pa.Array.from_buffers(pa.binary(), block.texts(), [None, pa.py_buffer((4 * rows.at).astype(np.int32)), pa.py_buffer(rows.index)])
+                ids, y = (batch.column(i).slice(block.first, block.texts()) for i in (0, 1))
+                yield pa.RecordBatch.from_arrays([ids, y, has], names=["doc_id", "y", "has"])
+        hand_back()
+
+    table = sample.select("doc_id", "y", "text").mapInArrow(run, "doc_id long, y int, has binary").toArrow()
+    order = np.argsort(table.column(0).to_numpy())
+    has = table.column(2).to_pylist()
+    index = [np.frombuffer(has[i], np.int32) for i in order]
+    at = np.cumsum([0, *map(len, index)])
+    return _of_ones(at, np.concatenate([np.zeros(0, np.int32), *index])), table.column(1).to_numpy()[order].astype(float)
 
 
 def voters(rows: linear.Rows, known: np.ndarray, y: np.ndarray, most: int = 200, times: float = 200.0) -> np.ndarray:
@@ -141,9 +183,8 @@ def voters(rows: linear.Rows, known: np.ndarray, y: np.ndarray, most: int = 200,
     A beginning qualifies if it occurs in a hundredth of the toxic texts, in 4 at least, and is
     ``times`` as frequent there as in the others; the ``most`` frequent of those serve.
     """
-    owner = np.repeat(np.arange(len(y)), np.diff(rows.at))
-    toxic = np.bincount(rows.index, y[owner], len(known))
-    clean = np.bincount(rows.index, 1 - y[owner], len(known))
+    in_toxic = np.repeat(y == 1, np.diff(rows.at))
+    toxic, clean = (np.bincount(rows.index[part], minlength=len(known)).astype(float) for part in (in_toxic, ~in_toxic))
     ratio = ((toxic + 0.1) / y.sum()) / ((clean + 0.1) / (1 - y).sum())
     good = np.flatnonzero((toxic >= max(4, y.sum() / 100)) & (ratio >= times))
     return np.union1d(np.searchsorted(known, _voter_features()), good[np.argsort(-toxic[good], kind="stable")][:most])
@@ -177,17 +218,23 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 30) -> np.ndarray
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> tuple[np.ndarray, np.ndarray, float]:
     """(features, weights, bias) of a linear classifier of the label model's posteriors."""
-    texts, y = linear.labelled_sample(docs, labels, "toxic", per_class)
-    if not texts or y.min() == y.max():
-        return np.zeros(1, np.uint64), np.zeros(1), -5.0
-    known = vocabulary(texts)
-    rows = linear.features(texts, lambda block: present(block, known))
+    sample = linear.labelled_rows(docs, labels, "toxic", per_class)
+    nothing = np.zeros(1, np.uint64), np.zeros(1), -5.0
+    if sample is None:
+        return nothing
+    # a bounded number of rows, read twice; more files than one so that more than one task reads them
+    sample = written(sample.repartition(FILES, "doc_id"), "toxicity", group_mb=16)
+    known = vocabulary(sample)
+    rows, y = known_features(sample, known)
+    if not len(y) or y.min() == y.max():
+        return nothing
     chosen = voters(rows, known, y)
-    column = np.full(len(known), -1)
+    column = np.full(len(known), -1, np.int32)
     column[chosen] = np.arange(len(chosen))
-    owner, which = np.repeat(np.arange(len(y)), np.diff(rows.at)), column[rows.index]
+    which = column[rows.index]
+    fired = np.flatnonzero(which >= 0)
     votes = np.zeros((len(y), len(chosen)))
-    votes[owner[which >= 0], which[which >= 0]] = 1
+    votes[np.searchsorted(rows.at, fired, side="right") - 1, which[fired]] = 1
     # even odds before any vote: the voter for clean texts carries how common those are
     posterior = label_model(votes, 0.5)
     weights, bias = linear.fit_ftrl(rows, posterior, alpha=0.3, l1=5.0, width=len(known))
