@@ -28,9 +28,9 @@ REMEMBERED = 400_000
 
 # How the tokenizer file cuts lower-cased words of the first 256 characters.
 _L, _N = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
-PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^{_L}{_N}]+")
-#: Words with these are given to the library whole: separators inside what is a word here.
-UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0]")
+#: Stands behind each word when many are cut at once.
+END = "\n"
+PIECES = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_L}]+|[{_N}]|[^{_L}{_N}{END}]+|{END}")
 
 
 class Memory:
@@ -60,15 +60,10 @@ class Memory:
         self.__init__(tuple(words[i] for i in keep), size, self.ids[_spans(start, size)])
         return distinct.difference(self.number)
 
-    def gather(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words of all lists, and how many each list has."""
-        count = np.array([*map(len, lists)], np.int64)
-        number = np.fromiter(map(self.number.__getitem__, chain.from_iterable(lists)), np.int64, int(count.sum()))
+    def numbers(self, words: list[str]) -> np.ndarray:
+        number = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         self.met += np.bincount(number, minlength=len(self.met))
-        size = self.size[number]
-        flat = self.ids[_spans(np.concatenate([[0], np.cumsum(self.size)])[number], size)]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        return flat, np.diff(ends[np.concatenate([[0], np.cumsum(count)])])
+        return number
 
 
 def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -77,6 +72,14 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)
 
 
+def _lines(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> str:
+    """The words of a block in UTF-8 with ``END`` behind each."""
+    size = ends - starts + 1
+    out = data[np.minimum(_spans(starts, size), max(len(data) - 1, 0))]
+    out[np.cumsum(size) - 1] = ord(END)
+    return out.tobytes().decode()
+
+
 class WordMemory:
     """Id sequences of words by the words' 64-bit hashes, in an open-addressing table."""
 
@@ -158,19 +161,44 @@ class WordTokenizer:
                 each = self._library(part)
                 self.pieces.add(part, np.array([*map(len, each)]), np.concatenate(each))
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(how many ids each word has, all ids)."""
-        plain = [max(w) <= "\xff" and not UNUSUAL.search(w) and not any(s in w for s in self.special) for w in words]
-        cut = [PIECES.findall(w.lower()) if p else [] for w, p in zip(words, plain)]
-        self._learn_pieces([*self.pieces.room(set().union(*cut))])
-        ids, sizes = self.pieces.gather(cut)
-        if all(plain):
-            return sizes, ids
-        each = np.split(ids, np.cumsum(sizes)[:-1])
-        odd = [i for i, p in enumerate(plain) if not p]
-        for i, x in zip(odd, self._library([words[i] for i in odd])):
-            each[i] = x
-        return np.array([*map(len, each)], np.int64), np.concatenate(each)
+    def _unusual(self, block: Block, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Words that the library gets whole: characters beyond the first 256, separators inside
+        what is a word here, special tokens."""
+        data = block.data
+        after = np.append(data[1:], 0)
+        marked = (data >= 0xC4) | ((data >= 0x1C) & (data <= 0x1F)) | ((data == 0xC2) & ((after == 0x85) | (after == 0xA0)))
+        before = np.concatenate([[0], np.cumsum(marked)])
+        odd = before[ends] > before[starts]
+        opening = np.isin(data, np.unique([s.encode()[0] for s in self.special]).astype(np.uint8))
+        before = np.concatenate([[0], np.cumsum(opening)])
+        for i in np.flatnonzero((before[ends] > before[starts]) & ~odd).tolist():
+            word = data[starts[i] : ends[i]].tobytes().decode()
+            odd[i] = any(s in word for s in self.special)
+        return odd
+
+    def _encode_words(self, block: Block, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(how many ids each of the words ``which`` of a block has, all ids)."""
+        starts, ends = block.starts[which], block.ends[which]
+        odd = self._unusual(block, starts, ends)
+        plain, odd = np.flatnonzero(~odd), np.flatnonzero(odd)
+        pieces = PIECES.findall(_lines(block.data, starts[plain], ends[plain]).lower())
+        new = self.pieces.room({*pieces, END})
+        self._learn_pieces([*new - {END}])
+        if END in new:
+            self.pieces.add([END], np.zeros(1, np.int64), np.zeros(0, np.int32))
+        number = self.pieces.numbers(pieces)
+        size = self.pieces.size[number]
+        flat = self.pieces.ids[_spans((np.cumsum(self.pieces.size) - self.pieces.size)[number], size)]
+        of_plain = np.diff(np.cumsum(size)[number == self.pieces.number[END]], prepend=0)
+        if not len(odd):
+            return of_plain, flat
+        each = self._library([block.data[a:b].tobytes().decode() for a, b in zip(starts[odd].tolist(), ends[odd].tolist())])
+        sizes = np.zeros(len(which), np.int64)
+        sizes[plain], sizes[odd] = of_plain, [*map(len, each)]
+        at, ids = np.cumsum(sizes) - sizes, np.zeros(sizes.sum(), np.int32)
+        ids[_spans(at[plain], of_plain)] = flat
+        ids[_spans(at[odd], sizes[odd])] = np.concatenate(each)
+        return sizes, ids
 
     def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a block, where each text begins in them and where the last ends)."""
@@ -180,10 +208,7 @@ class WordTokenizer:
         ids, sizes = self.words.ids, self.words.size
         if len(new):
             fresh, first = np.unique(h[new], return_index=True)
-            first = new[first]
-            data = block.data.tobytes()
-            words = [data[a:b].decode() for a, b in zip(block.starts[first].tolist(), block.ends[first].tolist())]
-            new_sizes, new_ids = self._encode_words(words)
+            new_sizes, new_ids = self._encode_words(block, new[first])
             # what is known and what is new, put together for this block; the memory may drop some of it
             number[new] = len(sizes) + np.searchsorted(fresh, h[new])
             ids, sizes = np.concatenate([ids, new_ids.astype(np.int32)]), np.concatenate([sizes, new_sizes])
