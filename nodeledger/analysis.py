@@ -103,11 +103,14 @@ def _utilization(jobs, machine, slices):
     stats = utilization.utilization_stats(nodes, machine.max_nodes, **limits)
     grid = settle(utilization.utilization_grid(nodes, machine.max_nodes, **limits))
     intervals = settle(capacity.over_capacity_intervals(nodes, machine.max_nodes, **limits))
+    behind = settle(capacity.over_capacity_jobs(jobs, intervals, slices=slices))
     return {
         "utilization_stats": stats,
+        "utilization_lines": report.utilization_lines(stats, groups=keys),
         "utilization_grid": utilization.with_reference_lines(grid, stats, keys=keys),
         "utilization_rolling": utilization.utilization_rolling(grid, keys=keys),
         "utilization_trend": trend.utilization_trend(grid, keys=keys),
         "over_capacity_intervals": intervals,
-        "over_capacity_jobs": capacity.over_capacity_jobs(jobs, intervals, slices=slices),
+        "over_capacity_jobs": behind,
+        "over_capacity_lines": report.over_capacity_lines(intervals, behind, groups=keys),
     }

@@ -154,10 +154,10 @@ def utilization_lines(stats: DataFrame, *, groups: Sequence[str] = ()) -> DataFr
     return _numbered(stats, lines, [F.col(g) for g in groups])
 
 
-def over_capacity_lines(intervals: DataFrame, jobs: DataFrame) -> DataFrame:
+def over_capacity_lines(intervals: DataFrame, jobs: DataFrame, *, groups: Sequence[str] = ()) -> DataFrame:
     """The over-capacity report: a heading per interval, then the jobs at its start and end.
 
-    Sort by ``interval_no``, ``section``, ``job_name`` and ``line_no``.
+    Sort by ``groups``, ``interval_no``, ``section``, ``job_name`` and ``line_no``.
     """
     heading = [
         F.lit("=" * 80),
@@ -171,7 +171,7 @@ def over_capacity_lines(intervals: DataFrame, jobs: DataFrame) -> DataFrame:
     nobody = F.lit(None).cast("string").alias("job_name")
 
     def fixed(lines: Sequence[Column], section: int) -> DataFrame:
-        return _numbered(intervals, lines, ["interval_no", F.lit(section).alias("section"), nobody])
+        return _numbered(intervals, lines, [*groups, "interval_no", F.lit(section).alias("section"), nobody])
 
     entry = _line(
         "  - ",
@@ -183,7 +183,7 @@ def over_capacity_lines(intervals: DataFrame, jobs: DataFrame) -> DataFrame:
         ")",
     )
     section = F.when(F.col("edge") == "start", 2).otherwise(4).alias("section")
-    listed = jobs.select("interval_no", section, "job_name", F.lit(0).alias("line_no"), entry.alias("line"))
+    listed = jobs.select(*groups, "interval_no", section, "job_name", F.lit(0).alias("line_no"), entry.alias("line"))
     return (
         fixed(heading, 0)
         .unionByName(fixed([F.lit("Jobs running at START:")], 1))

@@ -189,8 +189,9 @@ def _all_counts(log: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def _intervals(log: DataFrame) -> DataFrame:
-    return capacity.over_capacity_intervals(settle(utilization.nodes_in_use(log)), CAPACITY)
+def _intervals(log: DataFrame, levels=None) -> DataFrame:
+    nodes = settle(utilization.nodes_in_use(log, slices=levels))
+    return capacity.over_capacity_intervals(nodes, CAPACITY, keys=slices.slice_keys(levels))
 
 
 def _running(log: DataFrame) -> DataFrame:
@@ -198,15 +199,16 @@ def _running(log: DataFrame) -> DataFrame:
     return settle(utilization.valid_intervals(log).select(*capacity.JOB_COLUMNS))
 
 
-def _interval_jobs(log: DataFrame) -> DataFrame:
+def _interval_jobs(log: DataFrame, levels=None) -> DataFrame:
     running = _running(log)
-    return capacity.over_capacity_jobs(running, settle(_intervals(running)))
+    return capacity.over_capacity_jobs(running, settle(_intervals(running, levels)), slices=levels)
 
 
-def _interval_lines(log: DataFrame) -> DataFrame:
+def _interval_lines(log: DataFrame, levels=None) -> DataFrame:
     running = _running(log)
-    intervals = settle(_intervals(running))
-    return report.over_capacity_lines(intervals, capacity.over_capacity_jobs(running, intervals))
+    intervals = settle(_intervals(running, levels))
+    behind = capacity.over_capacity_jobs(running, intervals, slices=levels)
+    return report.over_capacity_lines(intervals, behind, groups=slices.slice_keys(levels))
 
 
 def _stats(log: DataFrame, levels=None) -> DataFrame:
@@ -219,14 +221,20 @@ def _stats_without_capacity(log: DataFrame) -> DataFrame:
     return utilization.utilization_stats(utilization.nodes_in_use(log), 0, fallback=largest)
 
 
-def _grid_with_lines(log: DataFrame) -> DataFrame:
-    nodes = settle(utilization.nodes_in_use(log))
-    grid = utilization.utilization_grid(nodes, CAPACITY).drop("grid_index")
-    return utilization.with_reference_lines(grid, utilization.utilization_stats(nodes, CAPACITY))
+def _grid_with_lines(log: DataFrame, levels=None) -> DataFrame:
+    keys = slices.slice_keys(levels)
+    nodes = settle(utilization.nodes_in_use(log, slices=levels))
+    grid = utilization.utilization_grid(nodes, CAPACITY, keys=keys).drop("grid_index")
+    return utilization.with_reference_lines(grid, utilization.utilization_stats(nodes, CAPACITY, keys=keys), keys=keys)
 
 
-def _rolling(grid: DataFrame) -> DataFrame:
-    return utilization.utilization_rolling(grid).drop("grid_index")
+def _sliced_grid(log: DataFrame) -> DataFrame:
+    nodes = utilization.nodes_in_use(log, slices=EVERY)
+    return utilization.utilization_grid(nodes, CAPACITY, keys=slices.slice_keys(EVERY))
+
+
+def _rolling(grid: DataFrame, levels=None) -> DataFrame:
+    return utilization.utilization_rolling(grid, keys=slices.slice_keys(levels)).drop("grid_index")
 
 
 def _matrix(log: DataFrame) -> DataFrame:
@@ -333,5 +341,17 @@ def queries() -> dict[str, Query]:
         "over_capacity_intervals": _on(jobs, _intervals),
         "over_capacity_jobs": _on(jobs, _interval_jobs),
         "over_capacity_lines": _on(jobs, _interval_lines),
+        # the same for every year and month
+        "utilization_lines_by_slice": _on(
+            lambda spark, d: _stats(jobs(spark, d), EVERY), report.utilization_lines, groups=[slices.SLICE]
+        ),
+        "utilization_grid_by_slice": _on(jobs, _grid_with_lines, EVERY),
+        "utilization_rolling_by_slice": _on(lambda spark, d: _sliced_grid(jobs(spark, d)), _rolling, EVERY),
+        "utilization_trend_by_slice": _on(
+            lambda spark, d: _sliced_grid(event_jobs(spark, d)), trend.utilization_trend, keys=[slices.SLICE]
+        ),
+        "over_capacity_intervals_by_slice": _on(jobs, _intervals, EVERY),
+        "over_capacity_jobs_by_slice": _on(jobs, _interval_jobs, EVERY),
+        "over_capacity_lines_by_slice": _on(jobs, _interval_lines, EVERY),
         "jobs_running_at": _on(jobs, capacity.jobs_running_at, MOMENT),
     }

@@ -585,59 +585,74 @@ def _stats(source: str, capacity: str, group: str = "") -> str:
                 {r('std_nodes')} AS std_nodes, {shown} FROM stats)"""
 
 
-def _grid_points(source: str) -> str:
+def _lead_part(group: str) -> tuple[str, str]:
+    return (f"{group}, ", f"PARTITION BY {group} ") if group else ("", "")
+
+
+def _grid_points(source: str, group: str = "") -> str:
     """CTEs that end in ``grid``: the level at each quarter of an hour."""
-    return f"""{_levels(source)},
-    ends AS (SELECT epoch_us(min(t)) // 900000000 AS a, epoch_us(max(t)) // 900000000 AS z FROM levels),
-    axis AS (SELECT unnest(range(a, z + 1)) AS grid_index FROM ends),
-    timeline AS (SELECT t, CAST(NULL AS BIGINT) AS grid_index, nodes_in_use FROM levels UNION ALL
-                 SELECT make_timestamp(grid_index * 900000000), grid_index, NULL FROM axis),
-    filled AS (SELECT t AS grid_time, grid_index, coalesce(last_value(nodes_in_use IGNORE NULLS) OVER (
-                   ORDER BY t, grid_index NULLS FIRST ROWS UNBOUNDED PRECEDING), 0) AS level FROM timeline),
-    grid AS (SELECT grid_index, grid_time, level AS nodes_in_use, 100.0 * level / {CAPACITY} AS pct
+    lead, part = _lead_part(group)
+    return f"""{_levels(source, group)},
+    ends AS (SELECT {lead}epoch_us(min(t)) // 900000000 AS a, epoch_us(max(t)) // 900000000 AS z FROM levels
+             {f'GROUP BY {group}' if group else ''}),
+    axis AS (SELECT {lead}unnest(range(a, z + 1)) AS grid_index FROM ends),
+    timeline AS (SELECT {lead}t, CAST(NULL AS BIGINT) AS grid_index, nodes_in_use FROM levels UNION ALL
+                 SELECT {lead}make_timestamp(grid_index * 900000000), grid_index, NULL FROM axis),
+    filled AS (SELECT {lead}t AS grid_time, grid_index, coalesce(last_value(nodes_in_use IGNORE NULLS) OVER (
+                   {part}ORDER BY t, grid_index NULLS FIRST ROWS UNBOUNDED PRECEDING), 0) AS level FROM timeline),
+    grid AS (SELECT {lead}grid_index, grid_time, level AS nodes_in_use, 100.0 * level / {CAPACITY} AS pct
              FROM filled WHERE grid_index IS NOT NULL)"""
 
 
-_INTERVALS = f"""
+def _over(group: str = "") -> str:
+    """CTEs that end in ``intervals``: where ``levels`` are above capacity."""
+    lead, part = _lead_part(group)
+    return f"""
     flagged AS (SELECT *, nodes_in_use > {CAPACITY} AS over,
-                  coalesce(lag(nodes_in_use) OVER (ORDER BY t) > {CAPACITY}, false) AS was FROM levels),
-    islands AS (SELECT *, sum(CASE WHEN over AND NOT was THEN 1 ELSE 0 END) OVER (ORDER BY t) AS island FROM flagged),
-    found AS (SELECT island, min(t) AS start_timestamp, max(t) AS end_timestamp,
+                  coalesce(lag(nodes_in_use) OVER ({part}ORDER BY t) > {CAPACITY}, false) AS was FROM levels),
+    islands AS (SELECT *, sum(CASE WHEN over AND NOT was THEN 1 ELSE 0 END) OVER ({part}ORDER BY t) AS island FROM flagged),
+    found AS (SELECT {lead}island, min(t) AS start_timestamp, max(t) AS end_timestamp,
                 epoch_us(max(t) - min(t)) / 1e6 AS duration_seconds, max(nodes_in_use) AS max_nodes_used,
                 avg(nodes_in_use) AS mean_nodes_used
-              FROM islands WHERE over OR was GROUP BY island
+              FROM islands WHERE over OR was GROUP BY {lead}island
               HAVING epoch_us(max(t) - min(t)) / 1e6 >= 60),
-    intervals AS (SELECT row_number() OVER (ORDER BY start_timestamp) AS interval_no, * FROM found)"""
+    intervals AS (SELECT row_number() OVER ({part}ORDER BY start_timestamp) AS interval_no, * FROM found)"""
 
 
-def _trend(passes: int) -> str:
+def _trend(passes: int, log: str = EVENT_JOBS, source: str = "jobs", group: str = "") -> str:
     """Local regression with ``passes`` robust passes after the first fit."""
+    lead, _ = _lead_part(group)
+    by = f"GROUP BY {group}" if group else ""
+    using = f"USING ({lead}x)"
+    with_summary = lambda name: f"JOIN {name} USING ({group})" if group else f"CROSS JOIN {name}"
+    same = f"c.{group} = o.{group} AND " if group else ""
+    of_c = f"c.{lead}" if group else ""
     steps = [
-        f"""{EVENT_JOBS},{_grid_points('jobs')},
-    sized AS (SELECT count(*) AS n, CAST(floor(count(*) * 0.01 + 1e-10) AS BIGINT) AS k, min(grid_index) AS a
-              FROM grid),
-    p0 AS (SELECT grid_time, grid_index - a AS x, pct AS y, 1.0::DOUBLE AS rw, n, k FROM grid, sized),
-    near AS (SELECT x, y, n, k, l, greatest(x - l, l + k - 1 - x) AS h
+        f"""{log},{_grid_points(source, group)},
+    sized AS (SELECT {lead}count(*) AS n, CAST(floor(count(*) * 0.01 + 1e-10) AS BIGINT) AS k, min(grid_index) AS a
+              FROM grid {by}),
+    p0 AS (SELECT {lead}grid_time, grid_index - a AS x, pct AS y, 1.0::DOUBLE AS rw, n, k FROM grid {with_summary('sized')}),
+    near AS (SELECT {lead}x, y, n, k, l, greatest(x - l, l + k - 1 - x) AS h
              FROM (SELECT *, least(greatest(x - k // 2, 0), n - k) AS l FROM p0))"""
     ]
     for i in range(passes + 1):
         steps.append(f"""
-    w{i} AS (SELECT c.x, c.y AS own, o.x - c.x AS d, o.y AS y,
+    w{i} AS (SELECT {of_c}c.x, c.y AS own, o.x - c.x AS d, o.y AS y,
                o.rw * pow(1 - pow(abs(o.x - c.x) / c.h, 3), 3) AS w
-             FROM near c JOIN p{i} o ON o.x >= c.l AND o.x < c.l + c.k),
-    s{i} AS (SELECT x, any_value(own) AS own, sum(w) AS w, sum(w * d) AS wd, sum(w * d * d) AS wdd,
-               sum(w * y) AS wy, sum(w * d * y) AS wdy FROM w{i} GROUP BY x),
-    f{i} AS (SELECT x, CASE WHEN w > 0 THEN wy / w - (wd / w) * (wdy / w - (wd / w) * (wy / w))
+             FROM near c JOIN p{i} o ON {same}o.x >= c.l AND o.x < c.l + c.k),
+    s{i} AS (SELECT {lead}x, any_value(own) AS own, sum(w) AS w, sum(w * d) AS wd, sum(w * d * d) AS wdd,
+               sum(w * y) AS wy, sum(w * d * y) AS wdy FROM w{i} GROUP BY {lead}x),
+    f{i} AS (SELECT {lead}x, CASE WHEN w > 0 THEN wy / w - (wd / w) * (wdy / w - (wd / w) * (wy / w))
                / greatest(wdd / w - (wd / w) * (wd / w), 1e-12) ELSE own END AS fit FROM s{i})""")
         if i < passes:
             steps.append(f"""
-    med{i} AS (SELECT median(abs(y - fit)) AS med FROM p{i} JOIN f{i} USING (x)),
-    p{i + 1} AS (SELECT grid_time, x, y, n, k, pow(1 - pow(least(1.0, CASE WHEN med = 0
+    med{i} AS (SELECT {lead}median(abs(y - fit)) AS med FROM p{i} JOIN f{i} {using} {by}),
+    p{i + 1} AS (SELECT {lead}grid_time, x, y, n, k, pow(1 - pow(least(1.0, CASE WHEN med = 0
                  THEN (CASE WHEN abs(y - fit) > 0 THEN 1.0 ELSE 0.0 END) ELSE abs(y - fit) / (6 * med) END), 2), 2) AS rw
-               FROM p{i} JOIN f{i} USING (x), med{i})""")
+               FROM p{i} JOIN f{i} {using} {with_summary(f'med{i}')})""")
     return f"""WITH {','.join(steps)}
-      SELECT grid_time, {r('y')} AS utilization_percent, {r('fit')} AS trend_percent
-      FROM p{passes} JOIN f{passes} USING (x)"""
+      SELECT {lead}grid_time, {r('y')} AS utilization_percent, {r('fit')} AS trend_percent
+      FROM p{passes} JOIN f{passes} {using}"""
 
 
 def _long_trend(passes: int) -> str:
@@ -676,11 +691,43 @@ def _long_trend(passes: int) -> str:
       SELECT grid_time, {r('y')} AS utilization_percent, {r('fit')} AS trend_percent FROM p{passes} JOIN f{passes} USING (x)"""
 
 
-def _utilization() -> dict[str, str]:
-    instants = """instants AS (
-              SELECT interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
-              UNION ALL SELECT interval_no, 'end', end_timestamp FROM intervals)"""
-    hit = "s.start_timestamp <= i.instant AND i.instant < s.end_timestamp"
+def _behind(group: str = "") -> dict[str, str]:
+    """Intervals above capacity, the jobs at their edges, and the report of both."""
+    lead, _ = _lead_part(group)
+    suffix, log, jobs = ("_by_slice", f"{JOBS},{SLICED}", "sliced") if group else ("", JOBS, "jobs")
+    found = f"WITH {log},{_levels(jobs, group)},{_over(group)}"
+    instants = f"""instants AS (
+              SELECT {lead}interval_no, 'start' AS edge, start_timestamp AS instant FROM intervals
+              UNION ALL SELECT {lead}interval_no, 'end', end_timestamp FROM intervals)"""
+    of_i = f"i.{lead}" if group else ""
+    same = f"i.{group} = s.{group} AND " if group else ""
+    met = f"FROM instants i JOIN {jobs} s ON {same}s.start_timestamp <= i.instant AND i.instant < s.end_timestamp"
+    return {
+        f"over_capacity_intervals{suffix}": f"""{found}
+            SELECT {lead}interval_no, start_timestamp, end_timestamp, {r('duration_seconds')} AS duration_seconds,
+              max_nodes_used, {r('mean_nodes_used')} AS mean_nodes_used FROM intervals""",
+        f"over_capacity_jobs{suffix}": f"""{found}, {instants}
+            SELECT {of_i}interval_no, edge, instant, job_name, nodes_used, s.start_timestamp, s.end_timestamp {met}""",
+        f"over_capacity_lines{suffix}": f"""{found}, {instants},
+            fixed AS (SELECT {lead}interval_no, unnest([0, 0, 0, 0, 0, 0, 0, 1, 3, 3, 5]) AS section,
+                unnest([0, 1, 2, 3, 4, 5, 6, 0, 0, 1, 0]) AS line_no,
+                unnest([repeat('=', 80), concat('Over-capacity interval ', interval_no),
+                  concat('Start: ', start_timestamp), concat('End  : ', end_timestamp),
+                  format('Duration: {{:.2f}} min', round(duration_seconds / 60, 6)),
+                  concat('Max nodes used: ', max_nodes_used), '', 'Jobs running at START:', '',
+                  'Jobs running at END:', '']) AS line FROM intervals)
+            SELECT {lead}interval_no, CAST(section AS INTEGER) AS section, CAST(NULL AS VARCHAR) AS job_name,
+              CAST(line_no AS INTEGER) AS line_no, line FROM fixed
+            UNION ALL SELECT {of_i}interval_no, CASE edge WHEN 'start' THEN 2 ELSE 4 END, job_name, 0,
+              concat('  - ', job_name, ': ', nodes_used, ' nodes (start: ', s.start_timestamp, ', end: ',
+                     s.end_timestamp, ')') {met}""",
+    }
+
+
+def _over_time(group: str = "") -> dict[str, str]:
+    """The statistics as text, the grid with its lines, and its rolling mean."""
+    lead, part = _lead_part(group)
+    suffix, log, jobs = ("_by_slice", f"{JOBS},{SLICED}", "sliced") if group else ("", JOBS, "jobs")
     lines = [
         "concat('Max nodes available: ', capacity)",
         "format('Max utilization: {} nodes ({:.2f} %)', max_nodes, 100.0::DOUBLE * max_nodes / capacity)",
@@ -688,7 +735,31 @@ def _utilization() -> dict[str, str]:
         "format('Mean utilization (time-weighted): {:.2f} nodes ({:.2f} %)', mean_nodes, 100.0 * mean_nodes / capacity)",
         "format('Std  utilization (time-weighted): {:.2f} nodes ({:.2f} %)', std_nodes, 100.0 * std_nodes / capacity)",
     ]
+    stats = f"WITH {log},{_stats(jobs, str(CAPACITY), group)}"
+    with_stats = f"JOIN stats USING ({group})" if group else "CROSS JOIN stats"
     return {
+        f"utilization_lines{suffix}": f"""{stats}
+            SELECT {lead}CAST(unnest(range(5)) AS INTEGER) AS line_no, unnest([{', '.join(lines)}]) AS line FROM stats""",
+        f"utilization_grid{suffix}": f"""{stats}, {_grid_points(jobs, group).split('FROM net),', 1)[1]}
+            SELECT {lead}grid_time, nodes_in_use, {r('pct')} AS utilization_percent,
+              {r(f'100.0 * mean_nodes / {CAPACITY}')} AS mean_percent,
+              {r(f'100.0 * (mean_nodes - std_nodes) / {CAPACITY}')} AS band_low,
+              {r(f'100.0 * (mean_nodes + std_nodes) / {CAPACITY}')} AS band_high,
+              CAST(50 AS DOUBLE) AS half_capacity FROM grid {with_stats}""",
+        f"utilization_rolling{suffix}": f"""WITH {log},{_grid_points(jobs, group)}
+            SELECT {lead}grid_time, nodes_in_use, {r('pct')} AS utilization_percent,
+              {r(f"""avg(pct) OVER ({part}ORDER BY grid_time
+                    RANGE BETWEEN INTERVAL '23 hours 59 minutes' PRECEDING AND CURRENT ROW)""")} AS rolling_percent
+            FROM grid""",
+    }
+
+
+def _utilization() -> dict[str, str]:
+    return {
+        **_over_time(),
+        **_over_time("slice"),
+        **_behind(),
+        **_behind("slice"),
         "utilization_events": f"""WITH {JOBS}
             SELECT job_name, start_timestamp AS t, nodes_used AS delta FROM jobs WHERE end_timestamp > start_timestamp
             UNION ALL SELECT job_name, end_timestamp, -nodes_used FROM jobs WHERE end_timestamp > start_timestamp""",
@@ -698,45 +769,10 @@ def _utilization() -> dict[str, str]:
             {_stats('jobs', '(SELECT max(nodes_used) FROM jobs)')} SELECT * FROM shown""",
         "utilization_stats_by_slice": f"""WITH {JOBS},{SLICED},{_stats('sliced', str(CAPACITY), 'slice')}
             SELECT * FROM shown""",
-        "utilization_lines": f"""WITH {JOBS},{_stats('jobs', str(CAPACITY))}
-            SELECT CAST(unnest(range(5)) AS INTEGER) AS line_no, unnest([{', '.join(lines)}]) AS line FROM stats""",
-        "utilization_grid": f"""WITH {JOBS},{_stats('jobs', str(CAPACITY))},
-            {_grid_points('jobs').split('FROM net),', 1)[1]}
-            SELECT grid_time, nodes_in_use, {r('pct')} AS utilization_percent,
-              {r(f'100.0 * mean_nodes / {CAPACITY}')} AS mean_percent,
-              {r(f'100.0 * (mean_nodes - std_nodes) / {CAPACITY}')} AS band_low,
-              {r(f'100.0 * (mean_nodes + std_nodes) / {CAPACITY}')} AS band_high,
-              CAST(50 AS DOUBLE) AS half_capacity FROM grid, stats""",
-        "utilization_rolling": f"""WITH {JOBS},{_grid_points('jobs')}
-            SELECT grid_time, nodes_in_use, {r('pct')} AS utilization_percent,
-              {r('''avg(pct) OVER (ORDER BY grid_time
-                    RANGE BETWEEN INTERVAL '23 hours 59 minutes' PRECEDING AND CURRENT ROW)''')} AS rolling_percent
-            FROM grid""",
         "utilization_trend": _trend(3),
         "utilization_trend_single_pass": _trend(0),
         "utilization_trend_long": _long_trend(3),
-        "over_capacity_intervals": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS}
-            SELECT interval_no, start_timestamp, end_timestamp, {r('duration_seconds')} AS duration_seconds,
-              max_nodes_used, {r('mean_nodes_used')} AS mean_nodes_used FROM intervals""",
-        "over_capacity_jobs": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS},
-            {instants}
-            SELECT interval_no, edge, instant, job_name, nodes_used, s.start_timestamp, s.end_timestamp
-            FROM instants i JOIN jobs s ON {hit}""",
-        "over_capacity_lines": f"""WITH {JOBS},{_levels('jobs')},{_INTERVALS},
-            {instants},
-            fixed AS (SELECT interval_no, unnest([0, 0, 0, 0, 0, 0, 0, 1, 3, 3, 5]) AS section,
-                unnest([0, 1, 2, 3, 4, 5, 6, 0, 0, 1, 0]) AS line_no,
-                unnest([repeat('=', 80), concat('Over-capacity interval ', interval_no),
-                  concat('Start: ', start_timestamp), concat('End  : ', end_timestamp),
-                  format('Duration: {{:.2f}} min', round(duration_seconds / 60, 6)),
-                  concat('Max nodes used: ', max_nodes_used), '', 'Jobs running at START:', '',
-                  'Jobs running at END:', '']) AS line FROM intervals)
-            SELECT interval_no, CAST(section AS INTEGER) AS section, CAST(NULL AS VARCHAR) AS job_name,
-              CAST(line_no AS INTEGER) AS line_no, line FROM fixed
-            UNION ALL SELECT interval_no, CASE edge WHEN 'start' THEN 2 ELSE 4 END, job_name, 0,
-              concat('  - ', job_name, ': ', nodes_used, ' nodes (start: ', s.start_timestamp, ', end: ',
-                     s.end_timestamp, ')')
-            FROM instants i JOIN jobs s ON {hit}""",
+        "utilization_trend_by_slice": _trend(3, f"{EVENT_JOBS},{SLICED}", "sliced", "slice"),
         "jobs_running_at": f"""WITH {JOBS} SELECT job_name, nodes_used, start_timestamp, end_timestamp FROM jobs
             WHERE start_timestamp <= TIMESTAMP '1998-06-15 12:00:00'
               AND TIMESTAMP '1998-06-15 12:00:00' < end_timestamp""",
