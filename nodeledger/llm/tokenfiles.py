@@ -293,8 +293,9 @@ def encode_documents(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 1) -> None:
     """Write the ids of ``docs(doc_id, text)`` below ``folder`` in ascending order of doc_id.
 
-    Null and empty texts have the end id only. A null doc_id comes first; rows that share an id
-    follow each other in the order of their ids. Other columns are not read.
+    Null and empty texts have the end id only. A null doc_id comes first; rows that share a
+    doc_id follow each other in the order of a hash of their ids, which splits a frequent doc_id over
+    files. An empty table gives no rows. Other columns are not read.
     """
     vocabulary = loaded(path).vocabulary
     kind = "<u2" if vocabulary <= 1 << 16 else "<u4"
@@ -315,26 +316,23 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 1)
     rank_of = np.zeros(vocabulary, np.uint32)
     rank_of[ranks] = np.arange(len(ranks))
 
-    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
             raw, size = _bytes_of(batch.column(1))
             n = size // np.dtype(kind).itemsize
             control, data = pack(rank_of[raw.view(kind)], n)
-            columns = [batch.column(0), pa.array(n, pa.int64()), _binary(*control), _binary(*data)]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "control", "data"])
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            n = batch.column(1).to_numpy()
             starts = before + np.cumsum(n) - n
             before += int(n.sum())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), part), pa.int32()), pa.array(starts, pa.int64())], names=[*batch.schema.names, "part", "before"])
-
-    coded = encoded.mapInArrow(recode, "doc_id long, n_tokens long, control binary, data binary")
-    # ranges of the sorted ids; the sample that finds them reads the id column only
-    bounds = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "control", "data")
-    placed = bounds.mapInArrow(place, "doc_id long, n_tokens long, control binary, data binary, part int, before long")
+            where = pa.array(np.full(len(n), part), pa.int32()), pa.array(starts, pa.int64())
+            columns = [batch.column(0), pa.array(n, pa.int64()), _binary(*control), _binary(*data), *where]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "control", "data", "part", "before"])
+
+    # ids are dealt to ranges as they are and coded there: the sample that finds the ranges runs no Python;
+    # the hash splits the rows of a frequent doc_id over ranges
+    turned = encoded.select("doc_id", F.xxhash64("ids").alias("turn"), "ids")
+    ordered = turned.repartitionByRange("doc_id", "turn").sortWithinPartitions("doc_id", "turn", "ids").select("doc_id", "ids")
+    placed = ordered.mapInArrow(place, "doc_id long, n_tokens long, control binary, data binary, part int, before long")
     placed.write.option("compression", "zstd").parquet(f"{folder}/documents")
 
 

@@ -184,3 +184,22 @@ def test_toxicity_patterns_against_regular_expressions():
                 want[k].add("to reader")
     assert found == want
     assert want[0] == {"idiot", "to reader"} and want[1] == {"idiot"} and want[3] == {"idiot"} and want[4] == {"shut up"} and not want[5] | want[6]
+
+
+def test_rows_that_share_an_id_follow_each_other_in_the_files(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation(), library.no_padding()
+    rows = [(k % 7 if k % 3 else 4, " ".join(f"word{k % 11}" for _ in range(k % 13)), k) for k in range(200)] + [(None, "no id", 1), (9, None, 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, turn int").repartition(5)
+    tokenfiles.write_token_files(docs, path, f"{tmp_path}/shared", end_id=1)
+    found = sorted(tokenfiles.read_token_files(spark, f"{tmp_path}/shared").collect(), key=lambda r: r.start)
+    assert [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+    ids = [-1 if r.doc_id is None else r.doc_id for r in found]
+    assert ids == sorted(ids)
+    want = sorted((-1 if i is None else i, library.encode(t or "", add_special_tokens=False).ids + [1]) for i, t, _ in rows)
+    assert sorted(zip(ids, (np.frombuffer(r.ids, "<u4").tolist() for r in found))) == want
+    tokenfiles.write_token_files(docs.limit(0), path, f"{tmp_path}/none", end_id=1)
+    assert tokenfiles.read_token_files(spark, f"{tmp_path}/none").collect() == []
