@@ -11,7 +11,7 @@ from nodeledger.functions.columns import ratio
 from nodeledger.functions.times import bucket_start, epoch_micros, seconds_between
 from nodeledger.operators.slices import fan_out, period_keys, slice_keys, tag_period, with_slices
 from nodeledger.plans.attach import attach
-from nodeledger.plans.ordered_scan import ordered_scan
+from nodeledger.plans.ordered_scan import BUCKET, ordered_scan
 from nodeledger.schema import GRID_MINUTES, require_columns
 
 _SECONDS_PER_DAY = 86_400
@@ -33,19 +33,29 @@ def utilization_events(df: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     return valid_intervals(df).select(*keep, F.inline(changes))
 
 
-def nodes_in_use(df: DataFrame, *, slices: Sequence[str] | None = None) -> DataFrame:
+def nodes_in_use(
+    df: DataFrame, *, slices: Sequence[str] | None = None, keep_bucket: bool = False
+) -> DataFrame:
     """Nodes in use from each instant with an event until the next one.
 
     A slice holds the jobs that start in it, so its count begins at 0 and may run past its end.
+    Only net changes by month are shuffled; they are copied to their slices in the tasks that scan
+    them. ``keep_bucket`` keeps the column by which these tasks hold the rows.
     """
-    keys = slice_keys(slices)
     events = utilization_events(tag_period(df, slices), keep=period_keys(slices))
     net = events.groupBy(*period_keys(slices), "t").agg(F.coalesce(F.sum("delta"), F.lit(0)).alias("delta"))
-    if slices:
-        net = fan_out(net, slices).groupBy(*keys, "t").agg(F.sum("delta").alias("delta"))
-    net = net.withColumn("_one", F.lit(1).cast("bigint"))
-    totals = {"nodes_in_use": "delta", "event_no": "_one"}
-    return ordered_scan(net, "t", totals, keys, following="next_t").drop("_one")
+    nodes = ordered_scan(
+        net,
+        "t",
+        {"nodes_in_use": "delta"},
+        slice_keys(slices),
+        following="next_t",
+        number="event_no",
+        spread=(lambda changes: fan_out(changes, slices)) if slices else None,
+        keep_bucket=keep_bucket,
+    )
+    kept = [*slice_keys(slices), "t", "delta", "nodes_in_use", "event_no", "next_t"]
+    return nodes.select(*kept, *([BUCKET] if keep_bucket else []))
 
 
 def effective_capacity(
