@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from nodeledger.functions.columns import ratio
 from nodeledger.functions.times import seconds_between
 from nodeledger.operators.slices import slice_keys, with_slices
 from nodeledger.operators.utilization import valid_intervals, with_capacity
-from nodeledger.plans.ordered_scan import ordered_scan
+from nodeledger.plans.ordered_scan import BUCKET, dealt_by_time, ordered_scan
+from nodeledger.plans.settle import settle
 from nodeledger.plans.stabbing import LEVEL, NODE, moments_in_spans, packed_moments, with_nodes
 from nodeledger.schema import MIN_OVER_CAPACITY_SECONDS
 
@@ -27,26 +29,43 @@ def over_capacity_intervals(
     """Intervals above capacity, from the instant of entry to the instant of return.
 
     The mean is over the instants of the interval, the closing one included, without weights.
-    Intervals shorter than ``min_seconds`` are left out before numbering.
+    Intervals shorter than ``min_seconds`` are left out before numbering. Rows of ``nodes`` that are
+    dealt by a kept bucket are scanned where they are, once; their pieces are written, as every
+    bucket adds one at least and several steps read them.
     """
     rated = with_capacity(nodes, capacity, fallback, keys)
     over = F.col("nodes_in_use") > F.col("capacity")
     was_over = F.col("nodes_in_use") - F.col("delta") > F.col("capacity")
     inside = rated.filter(over | was_over).withColumn("_entry", (over & ~was_over).cast("bigint"))
+    # a piece of an interval is what one bucket holds of it; the first may continue an earlier bucket
+    so_far = Window.partitionBy(BUCKET, *keys).orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pieces = (
+        dealt_by_time(inside, "t")
+        .withColumn("_piece", F.sum("_entry").over(so_far))
+        .groupBy(BUCKET, *keys, "_piece")
+        .agg(
+            F.min("t").alias("_from"),
+            F.max("t").alias("_to"),
+            F.max("nodes_in_use").alias("_max"),
+            F.sum(F.col("nodes_in_use").cast("double")).alias("_sum"),
+            F.count("nodes_in_use").alias("_n"),
+        )
+        .withColumn("_entry", (F.col("_piece") > 0).cast("bigint"))
+        .drop(BUCKET, "_piece")
+    )
     found = (
-        ordered_scan(inside, "t", {"_interval": "_entry"}, keys)
+        ordered_scan(settle(pieces), "_from", {"_interval": "_entry"}, keys)
         .groupBy(*keys, "_interval")
         .agg(
-            F.min("t").alias("start_timestamp"),
-            F.max("t").alias("end_timestamp"),
-            F.max("nodes_in_use").alias("max_nodes_used"),
-            F.avg("nodes_in_use").alias("mean_nodes_used"),
+            F.min("_from").alias("start_timestamp"),
+            F.max("_to").alias("end_timestamp"),
+            F.max("_max").alias("max_nodes_used"),
+            ratio(F.sum("_sum"), F.sum("_n")).alias("mean_nodes_used"),
         )
         .withColumn("duration_seconds", seconds_between("start_timestamp", "end_timestamp"))
         .filter(F.col("duration_seconds") >= min_seconds)
-        .withColumn("_one", F.lit(1).cast("bigint"))
     )
-    numbered = ordered_scan(found, "start_timestamp", {"interval_no": "_one"}, keys)
+    numbered = ordered_scan(settle(found), "start_timestamp", {}, keys, number="interval_no")
     return numbered.select(
         *keys,
         "interval_no",

@@ -25,19 +25,19 @@ BUCKETS_PER_DAY = 86_400 // BUCKET_SECONDS
 BUCKET, DAY = "_bucket", "_day"
 
 
-def dealt_by_time(df: DataFrame, at: str) -> DataFrame:
-    """``df`` with :data:`BUCKET`, all rows of a bucket in one task, in the number of partitions set for shuffles.
+def dealt_by_time(df: DataFrame, at: str, copied: bool = False) -> DataFrame:
+    """``df`` with :data:`BUCKET`, all rows of a bucket in one task.
 
-    The number is named so that the planner leaves it: rows are copied to slices after this shuffle,
-    so their size in it says little about the memory of a task.
+    Rows that are ``copied`` to slices after this shuffle go to the number of partitions set for
+    shuffles, which the planner leaves when it is named: their size says little about a task's memory.
     """
     if BUCKET in df.columns:
         return df
     # Never null, and declared so: otherwise each join adds null filters of its own below the
     # shuffle of ``df``, and the shuffle is repeated instead of reused.
     bucket = F.coalesce(time_bucket(at, BUCKET_SECONDS), F.lit(0).cast("bigint"))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.withColumn(BUCKET, bucket).repartition(parts, BUCKET)
+    parts = [int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))] if copied else []
+    return df.withColumn(BUCKET, bucket).repartition(*parts, BUCKET)
 
 
 def _offsets(buckets: DataFrame, totals: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -94,7 +94,7 @@ def ordered_scan(
     ``keep_bucket`` leaves :data:`BUCKET` in the result, whose rows are dealt by it.
     """
     keys = list(keys)
-    dealt = dealt_by_time(df, at)
+    dealt = dealt_by_time(df, at, copied=spread is not None)
     copied = spread(dealt) if spread else dealt
     counted = F.count_distinct(F.col(at)) if spread else F.count(F.lit(1))
     buckets = copied.groupBy(BUCKET, *keys).agg(

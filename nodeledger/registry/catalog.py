@@ -190,7 +190,7 @@ def _all_counts(log: DataFrame) -> DataFrame:
 
 
 def _intervals(log: DataFrame, levels=None) -> DataFrame:
-    nodes = settle(utilization.nodes_in_use(log, slices=levels))
+    nodes = utilization.nodes_in_use(log, slices=levels, keep_bucket=True)
     return capacity.over_capacity_intervals(nodes, CAPACITY, keys=slices.slice_keys(levels))
 
 
