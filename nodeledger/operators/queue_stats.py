@@ -95,9 +95,8 @@ def metric_stats(
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
     values = named.select(*period_keys(slices), *keys, F.inline(pairs)).filter(F.col("value").isNotNull())
     counts = values.groupBy(*period_keys(slices), *keys, "metric", "value").agg(F.count("*").alias("n"))
-    if slices:
-        counts = fan_out(counts, slices).groupBy(*groups, "metric", "value").agg(F.sum("n").alias("n"))
-    stats = described(counts, [*groups, "metric"], "value", "n", _QUANTILES)
+    spread = (lambda by_period: fan_out(by_period, slices)) if slices else None
+    stats = described(counts, [*groups, "metric"], "value", "n", _QUANTILES, spread, [*keys, "metric"])
     return stats.select(*groups, "metric", *_STATISTICS)
 
 

@@ -8,7 +8,7 @@ of one group, so a group may hold any share of the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,15 +100,24 @@ def described(
     value: str,
     n: str,
     probabilities: dict[str, float],
+    spread: Callable[[DataFrame], DataFrame] | None = None,
+    dealt: Sequence[str] = (),
 ) -> DataFrame:
     """``n_values``, ``mean``, ``std`` (of a sample), ``min``, ``max`` and quantiles per key.
 
     All from the counts of values that the quantiles need. Each bucket has its own centred moments,
     sums of distances from a value next to it, and buckets are merged about the mean of the group:
     squares of large values are never subtracted from each other.
+
+    ``spread`` copies counts to ``keys``, inside the tasks to which counts are dealt by bucket and the
+    columns ``dealt``, the keys they have before; a value may then have several counts in a group.
     """
     keys = list(keys)
     bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    if spread:
+        # a named number of partitions: the planner knows only the size before copying
+        parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bucketed = spread(bucketed.repartition(parts, *dealt, "_bucket"))
     away = F.col(value) - _bucket_base(F.col("_bucket"))
     placed = _placed(
         bucketed,
