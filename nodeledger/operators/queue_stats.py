@@ -92,12 +92,14 @@ def metric_stats(
     for key in keys:
         named = named.filter(F.col(key).isNotNull())
 
-    pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics])
+    # a metric is its number until the end: rows of counts are shorter by its name
+    pairs = F.array(*[F.struct(F.lit(i).alias("_metric"), F.col(m).alias("value")) for i, m in enumerate(metrics, start=1)])
     values = named.select(*period_keys(slices), *keys, F.inline(pairs)).filter(F.col("value").isNotNull())
-    counts = values.groupBy(*period_keys(slices), *keys, "metric", "value").agg(F.count("*").alias("n"))
+    counts = values.groupBy(*period_keys(slices), *keys, "_metric", "value").agg(F.count("*").alias("n"))
     spread = (lambda by_period: fan_out(by_period, slices)) if slices else None
-    stats = described(counts, [*groups, "metric"], "value", "n", _QUANTILES, spread, [*keys, "metric"])
-    return stats.select(*groups, "metric", *_STATISTICS)
+    stats = described(counts, [*groups, "_metric"], "value", "n", _QUANTILES, spread, [*keys, "_metric"])
+    metric = F.element_at(F.array(*[F.lit(m) for m in metrics]), F.col("_metric")).alias("metric")
+    return stats.select(*groups, metric, *_STATISTICS)
 
 
 def efficiency_metric() -> dict[str, Column]:
